@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 #: Rows a side may have at most to be broadcast; beyond that, joins shuffle.
 BROADCAST_ROWS = 100_000
@@ -80,3 +84,24 @@ WORD_BYTES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else
 def words(text: bytes | None) -> list[bytes]:
     """Lower-case A-Z, then the runs of [0-9a-z] and characters beyond ASCII."""
     return text.translate(WORD_BYTES).split() if text else []
+
+
+def with_computed(df: DataFrame, inputs: list[str], outputs: str, make: Callable[[], Callable[..., list[list]]], drop: tuple[str, ...] = ()) -> DataFrame:
+    """df with columns (outputs: DDL) that Python computes from the inputs; all others pass through as Arrow, untouched.
+
+    make() runs once a task and returns what maps lists of input values to a list of values for each output. Columns to
+    drop aren't sent back.
+    """
+    added = StructType.fromDDL(outputs)
+    df = df.drop(*added.names)
+    types = [to_arrow_type(f.dataType) for f in added]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = make()
+        for batch in batches:
+            new = compute(*(batch.column(c).to_pylist() for c in inputs))
+            arrays = [pa.array(x, type=t) for x, t in zip(new, types, strict=True)]
+            old = [k for k, name in enumerate(batch.schema.names) if name not in drop]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in old), *arrays], names=[*(batch.schema.names[k] for k in old), *added.names])
+
+    return df.mapInArrow(run, StructType([*(f for f in df.schema.fields if f.name not in drop), *added.fields]))

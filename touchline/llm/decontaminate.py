@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle, words
+from .common import settle, with_computed, words
 
 WINDOW = 10
 #: Benchmark words a broadcast index may hold: about 100 MB in a Python worker.
@@ -102,33 +102,40 @@ def blocks(benchmark: DataFrame, most: int = INDEX_WORDS) -> Iterator[list[tuple
         yield block
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: int = INDEX_WORDS) -> DataFrame:
-    """docs (text, ...) plus _n_words, _hits (merged starts and ends, in words) and _items (item ids); these names are reserved."""
-    state = docs.drop("_n_words", "_hits", "_items").withColumns(
-        {"_n_words": F.lit(0).cast("long"), "_hits": F.array().cast("array<int>"), "_items": F.array().cast("array<string>")}
-    )
-    schema, out = state.schema, None
-    for block in blocks(benchmark, most):
+def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: int = INDEX_WORDS, drop: tuple[str, ...] = ()) -> DataFrame:
+    """docs (text, ...), without the columns to drop, plus _n_words, _hits (merged starts and ends, in words) and _items (item ids); these names are reserved."""
+    sc = docs.sparkSession.sparkContext
+    out, inputs, added = docs, ["text", "_hits0", "_items0"], "_n_words long, _hits array<int>, _items array<string>"
+    found: Iterator = blocks(benchmark, most)
+    block: list | None = next(found, [])
+    out = out.withColumns({"_hits0": F.array().cast("array<int>"), "_items0": F.array().cast("array<string>")})
+    while block is not None:
         vocabulary = frozenset(w for _, text in block for w in words(text))
-        index = docs.sparkSession.sparkContext.broadcast(WindowIndex(block, vocabulary_counts(docs, vocabulary), size))
-        out = (settle(out, "decontaminate") if out else state).mapInPandas(_matcher(index), schema)
-    return out or state.mapInPandas(_matcher(docs.sparkSession.sparkContext.broadcast(WindowIndex([], {}, size))), schema)
+        index = sc.broadcast(WindowIndex(block, vocabulary_counts(docs, vocabulary) if vocabulary else {}, size))
+        block = next(found, None)
+        out = with_computed(out, inputs, added, _matcher(index), ("_hits0", "_items0", *(drop if block is None else ())))
+        if block is not None:
+            out = settle(out, "decontaminate").withColumnsRenamed({"_hits": "_hits0", "_items": "_items0"})
+    return out
 
 
 def _matcher(index):
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         at = index.value
-        for batch in batches:
-            n_words, hits, items = [], [], []
-            for text, old, had in zip(batch["text"], batch["_hits"], batch["_items"], strict=True):
-                tokens = words(text.encode()) if isinstance(text, str) else []
+
+        def match(texts: list[str | None], hits: list[list[int]], items: list[list[str]]) -> list[list]:
+            out: list[list] = [[], [], []]
+            for text, old, had in zip(texts, hits, items, strict=True):
+                tokens = words(text.encode()) if text else []
                 spans, found = at.find(tokens)
-                n_words.append(len(tokens))
-                hits.append(merged([*zip(old[::2], old[1::2], strict=True), *spans]))
-                items.append(sorted({*had, *(str(x) for x in found if x is not None)}))
-            yield batch.assign(_n_words=n_words, _hits=hits, _items=items)
+                out[0].append(len(tokens))
+                out[1].append(merged([*zip(old[::2], old[1::2], strict=True), *spans]))
+                out[2].append(sorted({*had, *(str(x) for x in found if x is not None)}))
+            return out
+
+        return match
 
-    return match
+    return make
 
 
 def merged(spans: list[tuple[int, int]]) -> list[int]:
@@ -148,7 +155,7 @@ def digest(items: list[str]) -> str:
 
 def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """One row a document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    found = decontaminate(docs.select("doc_id", "text"), benchmark, size)
+    found = decontaminate(docs.select("doc_id", "text"), benchmark, size, drop=("text",))
     n_hit = F.aggregate(F.sequence(F.lit(0), (F.size("_hits") / 2 - 1).cast("int")), F.lit(0).cast("long"), lambda s, k: s + (F.element_at("_hits", 2 * k + 2) - F.element_at("_hits", 2 * k + 1)).cast("long"))
     n_hit = F.when(F.size("_hits") > 0, n_hit).otherwise(F.lit(0).cast("long"))
     return found.select(

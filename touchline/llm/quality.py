@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import with_computed
 from .learning import held_out, labelled_sample, logistic, sigmoid
 
 SAMPLE = 5_000
@@ -108,24 +109,27 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE) -> tuple[Discrim
     return model, logistic(tempered(model.log_ratio(x[rest]))[:, None], y[rest].astype(float), l2=0.1)
 
 
-def score(docs: DataFrame, labels: DataFrame, each: int = SAMPLE) -> DataFrame:
-    """docs (doc_id, text, ...) with _score; that name is reserved."""
+def score(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, drop: tuple[str, ...] = ()) -> DataFrame:
+    """docs (doc_id, text, ...) with _score, a reserved name, and without the columns to drop."""
     fitted = fit(docs, labels, each)
     docs = docs.drop("_score")
     if isinstance(fitted, float):
-        return docs.withColumn("_score", F.lit(fitted))
+        return docs.drop(*drop).withColumn("_score", F.lit(fitted))
     shared = docs.sparkSession.sparkContext.broadcast(fitted)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         model, weights = shared.value
-        for batch in batches:
-            x = np.array([statistics(t.encode() if isinstance(t, str) else None) for t in batch["text"]]).reshape(-1, len(NAMES))
-            yield batch.assign(_score=sigmoid(tempered(model.log_ratio(x)) * weights[0] + weights[1]))
 
-    return docs.mapInPandas(run, docs.withColumn("_score", F.lit(0.0)).schema)
+        def run(texts: list[str | None]) -> list:
+            x = np.array([statistics(t.encode() if t else None) for t in texts]).reshape(-1, len(NAMES))
+            return [sigmoid(tempered(model.log_ratio(x)) * weights[0] + weights[1])]
+
+        return run
+
+    return with_computed(docs, ["text"], "_score double", make, drop)
 
 
 def report(docs: DataFrame, labels: DataFrame, each: int = SAMPLE) -> DataFrame:
     """One row a document: doc_id, held_out, score, predicted."""
-    scored = score(docs.select("doc_id", "text"), labels, each)
+    scored = score(docs.select("doc_id", "text"), labels, each, ("text",))
     return scored.select("doc_id", held_out("doc_id", MOD, OUT).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))

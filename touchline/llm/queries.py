@@ -5,17 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality, secrets, toxicity
+from . import decontaminate, mixing, ppm, quality, secrets, sharding, topk, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.report(table(spark, sf_dir, "documents"))
+
+
+def op2_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -33,8 +50,26 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_secret_scan, op6_mix_sources, op7_toxicity, op8_decontaminate, op9_quality)}
+    return {f.__name__: f for f in (op1_ppm_score, op2_warc_zip, op3_shard, op4_secret_scan, op5_top_k, op6_mix_sources, op7_toxicity, op8_decontaminate, op9_quality)}
+
+
+#: The definition of exact search; quantised components are summed as integers.
+TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10"""
+
+#: What the archives' records must tell.
+WARC_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, octet_length(b) AS payload_bytes, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to FROM g"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mix_sources": mixing.mixing_sql()}
+    return {"op2_warc_zip": WARC_SQL, "op5_top_k": TOP_K_SQL, "op6_mix_sources": mixing.mixing_sql()}

@@ -14,11 +14,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import with_computed
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The vocabulary's own pre-tokenising pattern (a fixed value).
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -77,20 +77,20 @@ def find_secrets(docs: DataFrame, vocabulary: str = VOCABULARY, most: float = MO
     """docs (doc_id, text) -> doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         encode = encoding(ranks.value).encode_ordinary
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                text = text if isinstance(text, str) else ""
-                base = base_spans(text)
+
+        def scan(texts: list[str | None]) -> list[list]:
+            out: list[list] = [[], [], [], [], []]
+            for text in texts:
+                base = base_spans(text or "")
                 # A random string within a base span is that span's secret, not another one.
-                more = [x for x in random_spans(text, encode, most) if not any(b[0] <= x[0] and x[2] <= b[2] for b in base)]
-                counts = [sum(x[1] == k for x in base) for k in range(3)]
-                rows.append((*counts, hashlib.sha256(written(base).encode()).hexdigest(), written(base + more)))
-            out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(scan, f"doc_id {kind}, {COLUMNS}")
+                more = [x for x in random_spans(text or "", encode, most) if not any(b[0] <= x[0] and x[2] <= b[2] for b in base)]
+                row = (*(sum(x[1] == k for x in base) for k in range(3)), hashlib.sha256(written(base).encode()).hexdigest(), written(base + more))
+                for column, value in zip(out, row, strict=True):
+                    column.append(value)
+            return out
+
+        return scan
+
+    return with_computed(docs.select("doc_id", "text"), ["text"], COLUMNS, make, ("text",))
