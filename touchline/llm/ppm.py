@@ -200,25 +200,28 @@ class ByteModel:
 
 def models(grams: DataFrame, order: int = ORDER, most: int = BLOCK_GRAMS) -> Iterator[ByteModel]:
     """The model in blocks of at most `most` grams (more only where one pair of context bytes has more)."""
-    u64 = lambda x: x.to_numpy().astype(np.int64).view(np.uint64)
-    low_rows = grams.groupBy(F.col("gram").bitwiseAND(0xFFFF).alias("gram")).agg(F.sum("n").alias("n")).toPandas().sort_values("gram")  # 65,536 rows at most
-    low = (u64(low_rows["gram"]), low_rows["n"].to_numpy(np.int64))
+
+    def arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        rows = df.toArrow()
+        return rows["gram"].to_numpy().view(np.uint64), rows["n"].to_numpy()
+
+    low = _distinct(*arrays(grams.groupBy(F.col("gram").bitwiseAND(0xFFFF).alias("gram")).agg(F.sum("n").alias("n"))))  # 65,536 rows at most
     pair = F.shiftright("gram", 8).bitwiseAND(0xFFFF)
     sizes = grams.groupBy(pair.alias("pair")).count().toPandas().sort_values("pair")  # 65,536 rows at most
     block = (sizes["count"].cumsum() - 1) // most
     groups = [set(p) for _, p in sizes.groupby(block)["pair"]] or [set()]
     for pairs in groups:
         if len(groups) == 1:
-            rows, covers = grams.toPandas(), None
+            rows, covers = grams, None
         else:
-            rows = grams.filter((pair >= min(pairs)) & (pair <= max(pairs))).toPandas()
+            rows = grams.filter((pair >= min(pairs)) & (pair <= max(pairs)))
             covers = np.zeros(1 << 16, bool)
             covers[list(pairs)] = True
         if pairs is groups[-1] and covers is not None:  # pairs that were never seen belong to the last block
             seen = np.zeros(1 << 16, bool)
             seen[sizes["pair"].to_numpy(np.int64)] = True
             covers |= ~seen
-        yield ByteModel(u64(rows["gram"]), rows["n"].to_numpy(np.int64), low, order, covers)
+        yield ByteModel(*arrays(rows), low, order, covers)
 
 
 def ppm_scores(docs: DataFrame, grams: DataFrame, order: int = ORDER, most: int = BLOCK_GRAMS) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import with_computed, words
 from .learning import held_out, labelled_sample, logistic, sigmoid
 
-ORDER = 12
+ORDER, BACK = 12, 6
 SHARE = 0.02
 SAMPLE = 2_000
 #: Discounts of counts of none, one, two, and three or more.
@@ -64,12 +64,12 @@ def log_ratios(counts: tuple[dict[bytes, int], dict[bytes, int]]) -> tuple[dict[
     contexts, for bytes that neither has seen there: then both fall back on the same probability, and only what they
     give to it differs."""
     total = tuple(_contexts(c) for c in counts)
-    lower: Counter[bytes] = Counter()  # continuation counts, pooled over the classes, of all orders below the highest
-    seen = set(counts[0]) | set(counts[1])
-    every = sorted(seen)
+    lower: Counter[bytes] = Counter()  # continuation counts, pooled over the classes, of BACK bytes at most
+    every = sorted(set(counts[0]) | set(counts[1]))
+    seen = Counter(g[1:][-BACK:] for g in every if len(g) > 1)
     while seen:
-        seen = Counter(g[1:] for g in seen if len(g) > 1)
         lower.update(seen)
+        seen = Counter(g[1:] for g in seen if len(g) > 1)
     lower_total = _contexts(lower)
 
     def shared(gram: bytes) -> float:
@@ -82,7 +82,7 @@ def log_ratios(counts: tuple[dict[bytes, int], dict[bytes, int]]) -> tuple[dict[
 
     of_gram = {}
     for g in every:
-        back, p = shared(g[1:]), []
+        back, p = shared(g[1:][-BACK:]), []
         for c in (0, 1):
             n, taken = total[c].get(g[:-1], (0, 0.0))
             p.append((discounted(counts[c].get(g, 0)) + taken * back) / n if n else back)
@@ -151,8 +151,9 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE) -> tuple[Evidenc
     sample = labelled_sample(docs, labels, "toxic", MOD, OUT, each).withColumn("text", F.col("text").cast("binary"))
     counted = sample.filter("part > 0").mapInPandas(_count_grams, "label int, gram binary, n long")
     counts: tuple[dict, dict] = ({}, {})
-    for r in counted.groupBy("label", "gram").agg(F.sum("n").alias("n")).toPandas().itertuples():
-        counts[r.label][bytes(r.gram)] = r.n
+    for batch in counted.groupBy("label", "gram").agg(F.sum("n").alias("n")).toArrow().to_batches():
+        for label, gram, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            counts[label][gram] = n
     if not counts[0] or not counts[1]:
         return float(bool(counts[1]))
     model = Evidence(*log_ratios(counts))
