@@ -15,8 +15,8 @@ documents that adds to their scores. Distinct grams of a fixed order saturate, s
 
 The base score needs the corpus count of every token, a vocabulary without a bound, so nothing of it is broadcast:
 documents are packed in chunks of about CHUNK_BYTES as ids of the chunk's own vocabulary; each chunk's distinct tokens
-are joined with the counts by token, go back to their chunk, and are summed there by document. A token is asked for
-once a chunk, so frequent tokens are no hot keys.
+meet those of other chunks by token (a window sums their counts), go back to their chunk, and are summed there by
+document. A token comes once a chunk, so frequent tokens have as many rows as there are chunks, not documents.
 
 Null texts are empty: one end token. Rows with a null id count as training rows. Repeated rows are scored alike, and
 count as often as they stand in the training part. Without training rows the base is log10(1) and PPM codes uniformly.
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -41,8 +41,8 @@ ORDER = 5
 MOD, OUT = 7, 2
 END = b"\n"
 BLOCK_GRAMS = 4_000_000
-CHUNK_BYTES = 8 << 20
-FLUSH_GRAMS = 4_000_000
+CHUNK_BYTES = 6 << 20
+FLUSH_GRAMS = 2_000_000
 
 
 def coded(text: bytes | None) -> bytes:
@@ -89,7 +89,7 @@ def count_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
             return pa.RecordBatch.from_pydict({"gram": pa.array(keys.astype(np.int64)), "n": pa.array(n.astype(np.int64))})
 
         for batch in batches:
-            for piece in _slices(batch, CHUNK_BYTES):
+            for piece in _slices(batch, CHUNK_BYTES // 2):
                 held.append(_distinct(gram_keys(piece.column("text").to_pylist(), order)[0]))
                 if sum(len(k) for k, _ in held) > FLUSH_GRAMS:
                     held = [merged()]
@@ -250,7 +250,7 @@ def ppm_scores(docs: DataFrame, grams: DataFrame, order: int = ORDER, most: int
     return rows
 
 
-def _parts(texts: list[str | None], size: int = 4 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def _parts(texts: list[str | None], size: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of texts of about `size` bytes, encoded, and where they begin."""
     part, held, first = [], 0, 0
     for k, t in enumerate(texts):
@@ -266,6 +266,17 @@ def _parts(texts: list[str | None], size: int = 4 << 20) -> Iterator[tuple[int,
 CHUNK = "chunk long, doc_ids array<long>, held array<boolean>, scores array<double>, ends array<int>, ids binary, tokens array<binary>, counts array<long>"
 
 
+def packed(ids: np.ndarray) -> bytes:
+    """Differences of ids that ascend within a document, compressed; the first four bytes tell the length."""
+    raw = np.diff(ids, prepend=np.int32(0)).astype(np.int32).tobytes()
+    return np.int32(len(ids)).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = int(np.frombuffer(data[:4], np.int32)[0])
+    return np.cumsum(np.frombuffer(pa.decompress(data[4:], 4 * n, codec="zstd", asbytes=True), np.int32), dtype=np.int64)
+
+
 def pack_chunks(docs: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
     """(doc_id, text, _held, _score) -> chunks of documents as ids of their own vocabulary; counts: by token, of training rows."""
 
@@ -280,14 +291,14 @@ def pack_chunks(docs: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
                 held = piece.column("_held").to_pylist()
                 for text in piece.column("text").to_pylist():
                     tokens = [*space_tokens(text.encode() if text else None), END]
-                    ids.append(np.fromiter((known.setdefault(t, len(known)) for t in tokens), np.int32, len(tokens)))
+                    ids.append(np.sort(np.fromiter((known.setdefault(t, len(known)) for t in tokens), np.int32, len(tokens))))
                     at += len(tokens)
                     ends.append(at)
                 counts = np.zeros(len(known), np.int64)
                 trained = [x for x, out in zip(ids, held, strict=True) if not out]
                 if trained:
                     counts += np.bincount(np.concatenate(trained), minlength=len(known))
-                row = [(TaskContext.get().partitionId() << 32) + k, piece.column("doc_id").to_pylist(), held, piece.column("_score").to_pylist(), ends, np.concatenate(ids).tobytes(), list(known), counts.tolist()]
+                row = [(TaskContext.get().partitionId() << 32) + k, piece.column("doc_id").to_pylist(), held, piece.column("_score").to_pylist(), ends, packed(np.concatenate(ids)), list(known), counts.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array([x], type=f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
                 k += 1
 
@@ -296,35 +307,34 @@ def pack_chunks(docs: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
 
 def base_scores(chunks: DataFrame) -> DataFrame:
     """Settled chunks -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    pairs = chunks.select(F.explode(F.arrays_zip("tokens", "counts")).alias("x")).select("x.tokens", "x.counts")
-    vocabulary = settle(pairs.filter("counts > 0").groupBy(F.col("tokens").alias("token")).agg(F.sum("counts").alias("c")), "ppm-vocabulary")
-    total = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    asked = chunks.select("chunk", F.posexplode("tokens").alias("pos", "token"))
-    told = asked.join(vocabulary, "token").select("chunk", F.struct("pos", "c").alias("x"))
-    answers = told.groupBy("chunk").agg(F.collect_list("x").alias("x")).select("chunk", F.col("x.pos").alias("pos"), F.col("x.c").alias("c"))
-    both = chunks.select("chunk", "doc_ids", "held", "scores", "ends", "ids", F.size("tokens").alias("kinds")).join(answers, "chunk", "left")
-    n, v = int(total.n), int(total.v)
+    asked = chunks.select("chunk", F.posexplode(F.arrays_zip("tokens", "counts")).alias("pos", "x")).select("chunk", "pos", "x.tokens", "x.counts")
+    token = Window.partitionBy("tokens")
+    told = asked.select("chunk", "pos", F.sum("counts").over(token).alias("c"), (F.col("chunk") == F.min("chunk").over(token)).cast("long").alias("fresh")).filter("c > 0")
+    answers = told.groupBy("chunk").agg(F.collect_list(F.struct("pos", "c")).alias("x"), F.sum("fresh").alias("fresh"))
+    answers = answers.select("chunk", "fresh", F.col("x.pos").alias("pos"), F.col("x.c").alias("c"))
+    own = chunks.select("chunk", "doc_ids", "held", "scores", "ends", "ids", F.size("tokens").alias("kinds"), F.aggregate("counts", F.lit(0).cast("long"), lambda s, n: s + n).alias("trained"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = math.log10(n + v + 1)
         for batch in batches:
             for row in range(batch.num_rows):
                 x = {name: batch.column(name)[row] for name in batch.schema.names}
                 c = np.zeros(x["kinds"].as_py(), np.int64)
                 if x["pos"].is_valid:
                     c[x["pos"].values.to_numpy()] = x["c"].values.to_numpy()
-                ids = np.frombuffer(x["ids"].as_py(), np.int32)
+                ids = unpacked(x["ids"].as_py())
                 ends = x["ends"].values.to_numpy().astype(np.int64)
                 starts = np.concatenate([[0], ends[:-1]])
-                known = np.add.reduceat((c > 0).astype(np.int64)[ids], starts)
-                logs = np.add.reduceat((np.log10(c + 1.0) - base)[ids], starts)
-                n_tokens = ends - starts
+                once = lambda v: pa.array([v or 0] + [0] * (len(ends) - 1), pa.int64())  # noqa: B023, E731  a chunk's sums, with its first document
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": x["doc_ids"].values, "held_out": x["held"].values, "n_tokens": pa.array(n_tokens), "n_known": pa.array(known),
-                    "train_tokens": pa.array(np.full(len(ends), n, np.int64)), "base_score": pa.array(logs), "score": x["scores"].values,
+                    "doc_id": x["doc_ids"].values, "held_out": x["held"].values, "n_tokens": pa.array(ends - starts), "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64)[ids], starts)),
+                    "logs": pa.array(np.add.reduceat(np.log10(c + 1.0)[ids], starts)), "score": x["scores"].values, "fresh": once(x["fresh"].as_py()), "trained": once(x["trained"].as_py()),
                 })
 
-    return both.mapInArrow(measure, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, fresh long, trained long"
+    rows = settle(own.join(answers, "chunk", "left").mapInArrow(measure, schema), "ppm-scores")
+    total = rows.agg(F.coalesce(F.sum("trained"), F.lit(0)).alias("n"), F.coalesce(F.sum("fresh"), F.lit(0)).alias("v")).first()
+    base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(total.n + total.v + 1))
+    return rows.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(total.n)).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
 
 def report(docs: DataFrame, order: int = ORDER, most: int = BLOCK_GRAMS) -> DataFrame:
