@@ -224,30 +224,40 @@ def models(grams: DataFrame, order: int = ORDER, most: int = BLOCK_GRAMS) -> Ite
         yield ByteModel(*arrays(rows), low, order, covers)
 
 
-def ppm_scores(docs: DataFrame, grams: DataFrame, order: int = ORDER, most: int = BLOCK_GRAMS) -> DataFrame:
-    """docs (text, ...) with _score: log10 of the model's probability of each coded text."""
+def add_scores(model: ByteModel, texts: list[str | None], before: list[float]) -> np.ndarray:
+    scores = np.array(before, np.float64)
+    for first, part in _parts(texts):
+        keys, starts = gram_keys(part, model.order)
+        scores[first : first + len(part)] += np.add.reduceat(model.log10(keys), starts)
+    return scores
+
+
+def partly_scored(docs: DataFrame, grams: DataFrame, order: int = ORDER, most: int = BLOCK_GRAMS) -> tuple[DataFrame, object]:
+    """docs (text, ...) with _score0, what all blocks of the model but the last make of each text; and the last, broadcast."""
     rows, found = docs.withColumn("_score0", F.lit(0.0)), models(grams, order, most)
-    model = next(found, None)
-    while model is not None:
+    model = next(found)
+    while True:
         shared = docs.sparkSession.sparkContext.broadcast(model)
+        model = next(found, None)
+        if model is None:
+            return rows, shared
 
         def make(shared=shared):
             at = shared.value
+            return lambda texts, before: [add_scores(at, texts, before)]
 
-            def run(texts: list[str | None], before: list[float]) -> list:
-                scores = np.array(before, np.float64)
-                for first, part in _parts(texts):
-                    keys, starts = gram_keys(part, at.order)
-                    scores[first : first + len(part)] += np.add.reduceat(at.log10(keys), starts)
-                return [scores]
+        rows = settle(with_computed(rows, ["text", "_score0"], "_score double", make, ("_score0",)), "ppm-pass").withColumnRenamed("_score", "_score0")
 
-            return run
 
-        model = next(found, None)
-        rows = with_computed(rows, ["text", "_score0"], "_score double", make, ("_score0",))
-        if model is not None:
-            rows = settle(rows, "ppm-pass").withColumnRenamed("_score", "_score0")
-    return rows
+def score(docs: DataFrame, grams: DataFrame, order: int = ORDER, most: int = BLOCK_GRAMS) -> DataFrame:
+    """docs (text, ...) with _score: log10 of the model's probability of each coded text."""
+    rows, last = partly_scored(docs, grams, order, most)
+
+    def make():
+        at = last.value
+        return lambda texts, before: [add_scores(at, texts, before)]
+
+    return with_computed(rows, ["text", "_score0"], "_score double", make, ("_score0",))
 
 
 def _parts(texts: list[str | None], size: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
@@ -277,8 +287,9 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(pa.decompress(data[4:], 4 * n, codec="zstd", asbytes=True), np.int32), dtype=np.int64)
 
 
-def pack_chunks(docs: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
-    """(doc_id, text, _held, _score) -> chunks of documents as ids of their own vocabulary; counts: by token, of training rows."""
+def pack_chunks(docs: DataFrame, last, size: int = CHUNK_BYTES) -> DataFrame:
+    """(doc_id, text, _held, _score0) -> chunks of documents as ids of their own vocabulary; counts: by token, of training
+    rows; scores: with the model's last block, in the same pass."""
 
     schema = to_arrow_schema(StructType.fromDDL(CHUNK))
 
@@ -289,7 +300,8 @@ def pack_chunks(docs: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
                 known: dict[bytes, int] = {}
                 ids, ends, at = [], [], 0
                 held = piece.column("_held").to_pylist()
-                for text in piece.column("text").to_pylist():
+                texts = piece.column("text").to_pylist()
+                for text in texts:
                     tokens = [*space_tokens(text.encode() if text else None), END]
                     ids.append(np.sort(np.fromiter((known.setdefault(t, len(known)) for t in tokens), np.int32, len(tokens))))
                     at += len(tokens)
@@ -298,11 +310,11 @@ def pack_chunks(docs: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
                 trained = [x for x, out in zip(ids, held, strict=True) if not out]
                 if trained:
                     counts += np.bincount(np.concatenate(trained), minlength=len(known))
-                row = [(TaskContext.get().partitionId() << 32) + k, piece.column("doc_id").to_pylist(), held, piece.column("_score").to_pylist(), ends, packed(np.concatenate(ids)), list(known), counts.tolist()]
+                row = [(TaskContext.get().partitionId() << 32) + k, piece.column("doc_id").to_pylist(), held, add_scores(last.value, texts, piece.column("_score0").to_pylist()).tolist(), ends, packed(np.concatenate(ids)), list(known), counts.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array([x], type=f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
                 k += 1
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "_held", "_score").mapInArrow(pack, CHUNK)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "_held", "_score0").mapInArrow(pack, CHUNK)
 
 
 def base_scores(chunks: DataFrame) -> DataFrame:
@@ -341,4 +353,4 @@ def report(docs: DataFrame, order: int = ORDER, most: int = BLOCK_GRAMS) -> Data
     """One row a document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     rows = docs.select("doc_id", "text", (remainder("doc_id", MOD) == OUT).alias("_held"))
     grams = settle(count_grams(rows.filter(~F.col("_held")).select(F.col("text").cast("binary").alias("text")), order), "ppm-grams")
-    return base_scores(settle(pack_chunks(ppm_scores(rows, grams, order, most)), "ppm-chunks"))
+    return base_scores(settle(pack_chunks(*partly_scored(rows, grams, order, most)), "ppm-chunks"))
