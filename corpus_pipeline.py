@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import decontaminate, mixing, toxicity
+from touchline.llm import decontaminate, jaccard, mixing, sharding, toxicity
 from touchline.llm.common import settle, table
 
 
@@ -13,6 +13,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.ordinary(docs, table(spark, sf_dir, "labels"))
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    return jaccard.representatives(docs)
+
+
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold any window of a benchmark item go."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
@@ -23,10 +28,17 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.emit(mixing.mix(docs))
 
 
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in compacted shards under a committed manifest; one row each, read back: doc_id, n_bytes, shard and what the manifest tells of it."""
+    return sharding.report(docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
+    ("near copies", one_of_each),
     ("decontamination", drop_benchmark),
     ("mixing", mix),
+    ("sharding", shard),
 ]
 
 #: Trained scores and similarity groups are beyond SQL; tests hold the stages against brute force.
@@ -38,5 +50,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = settle(docs, f"pipeline-{name}")
+            docs = settle(docs, f"pipeline-{name.replace(' ', '-')}")
     return docs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, ppm, quality, secrets, sharding, topk, toxicity, warc
+from . import decontaminate, jaccard, mixing, ppm, quality, secrets, sharding, topk, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,8 +49,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_ppm_score, op2_warc_zip, op3_shard, op4_secret_scan, op5_top_k, op6_mix_sources, op7_toxicity, op8_decontaminate, op9_quality)}
+    return {f.__name__: f for f in (op1_ppm_score, op2_warc_zip, op3_shard, op4_secret_scan, op5_top_k, op6_mix_sources, op7_toxicity, op8_decontaminate, op9_quality, op10_jaccard_join)}
 
 
 #: The definition of exact search; quantised components are summed as integers.
