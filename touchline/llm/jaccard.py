@@ -8,9 +8,11 @@ by the hash of the set. Two nodes link at a similarity of 4/5 or more. The steps
    agree on the content of a part, and each part's content is a signature. Agreement on empty parts doesn't count: a set
    with too few filled parts for the argument, like any small set, also gives the least 1/5 of its hashes, of which
    linked sets share one (the prefix filter in hash order). No link is lost; a shared passage, though, seldom fills
-   whole parts. Tasks send one node a signature, and edges from it to their other nodes, so that a group of copies,
-   however large, has one row a task and signature.
-2. Candidate groups: the components of the signature edges. A link never leaves one.
+   whole parts. Exact copies are dropped where they meet, first in a task.
+2. Leaves. The nodes that share a signature are put in clusters, each with the OR of its bitmaps and its range of sizes;
+   a node gets an edge to each cluster that it could link with a member of, by the largest possible overlap. Signatures
+   with more than SLICE nodes are clustered by slices, then the slices' clusters with one another.
+   Candidate groups are the components of these edges: a link never leaves one.
 3. Verification: the sets of each group meet in a task, and a signature tree joins them: nodes hold the OR of their
    sets' bitmaps and their range of sizes, and the dual traversal drops a pair of nodes if the sizes are too far apart
    or the bits they share, with what bit collisions may hide, can't make the overlap. Pairs already connected are
@@ -24,6 +26,7 @@ component and link nothing. Rows of one id with different texts are nodes of the
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +35,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from .common import BROADCAST_ROWS, lookup, settle, space_tokens, with_computed
 from .components import components
@@ -115,34 +120,104 @@ def signatures(h: np.ndarray) -> np.ndarray:
 # Candidates
 
 
-def _edges_of(sigs: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """From signatures and their nodes: where the first of each signature stands (after sorting), and edges from it to the others."""
-    order = np.lexsort((nodes, sigs))
-    sigs, nodes = sigs[order], nodes[order]
-    start = np.concatenate([[True], sigs[1:] != sigs[:-1]]) if len(sigs) else np.zeros(0, bool)
-    first = np.flatnonzero(start)
-    hub = nodes[first][np.cumsum(start) - 1]
-    pairs = np.unique(np.stack([hub, nodes], 1)[hub != nodes], axis=0) if len(nodes) else np.zeros((0, 2), np.int64)
-    return order[first], pairs[:, 0], pairs[:, 1]
+#: Sets up to so many shingles have bitmaps of 2 to the power of so many bits; the last level holds all larger ones.
+LEVELS = ((400, 10), (3_200, 13), (1 << 62, 16))
+SLICE = 4_096
 
 
-_PACKED = "bucket int, x binary, y binary"
+def level_of(n: int) -> int:
+    return next(k for k, (most, _) in enumerate(LEVELS) if n <= most)
 
 
-def _packed(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {"bucket": pa.array([b for b, _, _ in rows], pa.int32()), "x": pa.array([x.tobytes() for _, x, _ in rows], pa.binary()), "y": pa.array([y.tobytes() for _, _, y in rows], pa.binary())}
-    )
+def bitmap(h: np.ndarray, log_width: int) -> int:
+    flags = np.zeros(1 << log_width, np.uint8)
+    flags[(h & np.uint64((1 << log_width) - 1)).astype(np.int64)] = 1
+    return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+
+
+def folded(bits: int, level: int, to: int) -> int:
+    """A bitmap at a lower level: bit k of it stands for all bits that are k modulo its width."""
+    while level > to:
+        level -= 1
+        width, out = 1 << LEVELS[level][1], 0
+        while bits:
+            out |= bits & ((1 << width) - 1)
+            bits >>= width
+        bits = out
+    return bits
+
+
+class Cluster:
+    """A leaf of the tree over one signature's sets: the OR of their bitmaps and their range of sizes. excess: by level,
+    how many shingles of a set its bit collisions hide at most."""
+
+    __slots__ = ("bits", "excess", "hub", "largest", "level", "smallest")
+
+    def __init__(self, hub: int, level: int, bits: int, smallest: int, largest: int, excess: tuple[int, ...]) -> None:
+        self.hub, self.level, self.bits, self.smallest, self.largest, self.excess = hub, level, bits, smallest, largest, excess
+
+    def may_link(self, x: Cluster) -> bool:
+        """Whether any of its sets could link with any of x's, by sizes and the largest possible overlap."""
+        if 5 * self.largest < 4 * x.smallest or 5 * x.largest < 4 * self.smallest:
+            return False
+        k = min(self.level, x.level)
+        common = (folded(self.bits, self.level, k) & folded(x.bits, x.level, k)).bit_count()
+        return 9 * (common + min(self.excess[k], x.excess[k])) >= 4 * (self.smallest + x.smallest)
+
+    def absorb(self, x: Cluster) -> None:
+        k = min(self.level, x.level)
+        self.bits = folded(self.bits, self.level, k) | folded(x.bits, x.level, k)
+        self.level, self.smallest, self.largest = k, min(self.smallest, x.smallest), max(self.largest, x.largest)
+        self.excess = tuple(max(a, b) for a, b in zip(self.excess[: k + 1], x.excess[: k + 1], strict=True))
+
+
+def leaf_of(node: int, h: np.ndarray) -> Cluster:
+    level = level_of(len(h))
+    bits = bitmap(h, LEVELS[level][1])
+    return Cluster(node, level, bits, len(h), len(h), tuple(len(h) - folded(bits, level, k).bit_count() for k in range(level + 1)))
+
+
+def clustered(leaves: list[Cluster]) -> tuple[list[tuple[int, int]], list[Cluster]]:
+    """Edges that connect all sets that could link, and the clusters. A set joins the first cluster that it could link
+    with a member of, and gets an edge to the hub of every other one: no pair that could link stays apart."""
+    edges, active, done = [], [], []
+    for x in sorted(leaves, key=lambda x: (x.smallest, x.hub)):
+        if any(5 * c.largest < 4 * x.smallest for c in active):
+            done += [c for c in active if 5 * c.largest < 4 * x.smallest]
+            active = [c for c in active if 5 * c.largest >= 4 * x.smallest]
+        home = None
+        for c in active:
+            if c.may_link(x):
+                if c.hub != x.hub:
+                    edges.append((c.hub, x.hub))
+                home = home or c
+        if home:
+            home.absorb(x)
+        else:
+            active.append(x)
+    return edges, done + active
+
+
+def _put(cluster: Cluster) -> tuple:
+    return cluster.hub, cluster.level, cluster.bits.to_bytes((1 << LEVELS[cluster.level][1]) // 8, "little"), cluster.smallest, cluster.largest, list(cluster.excess)
+
+
+def _got(row) -> Cluster:
+    return Cluster(int(row.node), int(row.level), int.from_bytes(row.bits, "little"), int(row.smallest), int(row.largest), tuple(int(x) for x in row.excess))
+
+
+_LEAF = "node long, level int, bits binary, smallest int, largest int, excess array<int>"
+_MET = f"run long, nodes array<long>, leaf struct<{_LEAF.replace(' ', ':').replace(',:', ',')}>"
 
 
 def candidate_edges(docs: DataFrame, buckets: int) -> DataFrame:
     """(text binary) -> a, b: edges whose components hold all links."""
+    met_schema = to_arrow_schema(StructType.fromDDL(_MET))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, seen = Shingler(), set()
         for batch in batches:
-            held: list[tuple[np.ndarray, int]] = []
-            size = 0
+            held, size = [], 0
             for text in batch.column("text").to_pylist():
                 h = shingle(text)
                 node = set_key(h) if len(h) else None
@@ -151,7 +226,7 @@ def candidate_edges(docs: DataFrame, buckets: int) -> DataFrame:
                 if len(seen) > 200_000:
                     seen.clear()
                 seen.add(node)
-                held.append((signatures(h), node))
+                held.append((signatures(h), node, _put(leaf_of(node, h))))
                 size += len(held[-1][0])
                 if size > SIGNATURES_A_BUCKET:
                     yield told(held)
@@ -159,32 +234,74 @@ def candidate_edges(docs: DataFrame, buckets: int) -> DataFrame:
             if held:
                 yield told(held)
 
-    def told(held: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
-        sigs = np.concatenate([s for s, _ in held])
-        nodes = np.repeat(np.array([n for _, n in held], np.int64), [len(s) for s, _ in held])
-        first, a, b = _edges_of(sigs, nodes)
-        sigs, nodes = sigs[first], nodes[first]
+    def told(held: list[tuple]) -> pa.RecordBatch:
+        """One row a bucket: signatures and nodes, packed; and the bitmaps, dealt over as many buckets below zero."""
+        sigs = np.concatenate([s for s, _, _ in held])
+        nodes = np.repeat(np.array([n for _, n, _ in held], np.int64), [len(s) for s, _, _ in held])
         at = (sigs % np.uint64(buckets)).astype(np.int32)
-        order = np.lexsort((nodes, at))  # a node's signatures side by side, which compresses
+        order = np.argsort(at, kind="stable")  # a node's signatures stay side by side, which compresses
         sigs, nodes, at = sigs[order], nodes[order], at[order]
         cuts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])).tolist() if len(at) else []
-        rows = [(int(at[i]), sigs[i:j], nodes[i:j]) for i, j in zip(cuts, [*cuts[1:], len(at)], strict=True)]
-        return _packed([(-1, a, b), *rows])
+        rows = [(int(at[i]), sigs[i:j].tobytes(), nodes[i:j].tobytes()) for i, j in zip(cuts, [*cuts[1:], len(at)], strict=True)]
+        leaves: dict[int, list] = {}
+        for _, n, leaf in held:
+            leaves.setdefault(-1 - n % buckets, []).append(leaf)
+        rows += [(b, pickle.dumps(x), b"") for b, x in leaves.items()]
+        return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "x", "y"])
 
     def meet(group: pa.Table) -> pa.Table:
-        sigs = np.concatenate([np.frombuffer(x, np.uint64) for x in group.column("x").to_pylist()])
-        nodes = np.concatenate([np.frombuffer(y, np.int64) for y in group.column("y").to_pylist()])
-        _, a, b = _edges_of(sigs, nodes)
-        return pa.table({"a": a, "b": b})
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                yield pa.RecordBatch.from_pydict({"a": np.frombuffer(x, np.int64), "b": np.frombuffer(y, np.int64)})
-
-    packed = settle(docs.mapInArrow(sign, _PACKED), "jaccard-signatures")
-    near = packed.filter("bucket = -1").mapInArrow(unpack, "a long, b long")
-    return near.unionByName(packed.filter("bucket >= 0").groupBy("bucket").applyInArrow(meet, "a long, b long"))
+        """Signatures that several nodes have, as lists of nodes; lists that return are told once. Bitmaps pass, once a node."""
+        xs, ys = group.column("x").to_pylist(), group.column("y").to_pylist()
+        if group.column("bucket")[0].as_py() < 0:
+            leaves = {leaf[0]: leaf for x in xs for leaf in pickle.loads(x)}
+            names = _LEAF.replace(" long", "").replace(" int", "").replace(" binary", "").replace(" array<int>", "").split(", ")
+            rows = [(None, None, dict(zip(names, leaf, strict=True))) for leaf in leaves.values()]
+        else:
+            sigs = np.concatenate([np.frombuffer(x, np.uint64) for x in xs])
+            nodes = np.concatenate([np.frombuffer(y, np.int64) for y in ys])
+            order = np.lexsort((nodes, sigs))
+            sigs, nodes = sigs[order], nodes[order]
+            keep = np.concatenate([[True], (sigs[1:] != sigs[:-1]) | (nodes[1:] != nodes[:-1])])  # a node comes from several tasks
+            sigs, nodes = sigs[keep], nodes[keep]
+            first = np.flatnonzero(np.concatenate([[True], sigs[1:] != sigs[:-1]]))
+            ends = np.append(first[1:], len(sigs))
+            runs = {}
+            for i, j in zip(first[ends - first > 1].tolist(), ends[ends - first > 1].tolist(), strict=True):
+                runs.setdefault(set_key(nodes[i:j]), nodes[i:j])
+            rows = [(k, v.tolist(), None) for k, v in runs.items()]
+        columns = zip(*rows, strict=True) if rows else ([], [], [])
+        return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, met_schema, strict=True)], schema=met_schema)
+
+    met = settle(docs.mapInArrow(sign, "bucket int, x binary, y binary").groupBy("bucket").applyInArrow(meet, _MET), "jaccard-signatures")
+    runs = met.filter("run IS NOT NULL").select("run", "nodes").dropDuplicates(["run"])
+    parts = F.ceil(F.size("nodes") / SLICE).cast("int")
+    members = runs.select("run", parts.alias("slices"), F.explode("nodes").alias("node")).withColumn("slice", F.pmod(F.xxhash64("node"), "slices"))
+    leaves = met.filter("leaf IS NOT NULL").select("leaf.*")
+    members = members.join(leaves, "node")
+
+    def cluster(group: pd.DataFrame) -> pd.DataFrame:
+        """Edges (a, b); and of runs in several slices the clusters, for the next step."""
+        edges, more = set(), []
+        for (run, _), one in group.groupby(["run", "slice"], sort=False):
+            found, clusters = clustered([_got(r) for r in one.itertuples()])
+            edges.update(found)
+            if one["slices"].iloc[0] > 1:
+                more += [(run, *_put(c)) for c in clusters]
+        return _frame(edges, more)
+
+    def _frame(edges: set, more: list) -> pd.DataFrame:
+        names = ["a", "b", "run", "node", "level", "bits", "smallest", "largest", "excess"]
+        rows = [(a, b, *[None] * 7) for a, b in edges] + [(None, None, *m) for m in more]
+        out = pd.DataFrame(rows, columns=names)
+        return out.astype({c: "Int64" for c in names if c not in ("bits", "excess")})
+
+    schema = f"a long, b long, run long, {_LEAF}"
+    bins = max(8, buckets)
+    first = members.withColumn("bin", F.pmod(F.xxhash64("run", "slice"), F.lit(bins)))
+    first = settle(first.groupBy("bin").applyInPandas(cluster, schema), "jaccard-edges")
+    second = first.filter("run IS NOT NULL").drop("a", "b").withColumns({"slice": F.lit(0), "slices": F.lit(1)})
+    second = second.withColumn("bin", F.pmod(F.xxhash64("run"), F.lit(bins))).groupBy("bin").applyInPandas(cluster, schema)
+    return first.filter("a IS NOT NULL").select("a", "b").unionByName(second.select("a", "b"))
 
 
 # Verification
