@@ -44,7 +44,7 @@ from .components import components
 WORDS = 5
 #: Sets up to this size use prefixes only; the size classes begin here.
 SMALL = 40
-SIGNATURES_A_BUCKET = 2_000_000
+SIGNATURES_A_BUCKET = 1_000_000
 GROUP_ITEMS = 3_000_000
 FANOUT = 8
 
@@ -120,8 +120,9 @@ def signatures(h: np.ndarray) -> np.ndarray:
 # Candidates
 
 
-#: Sets up to so many shingles have bitmaps of 2 to the power of so many bits; the last level holds all larger ones.
-LEVELS = ((400, 10), (3_200, 13), (1 << 62, 16))
+#: Sets up to so many shingles have bitmaps of 2 to the power of so many bits; the last level holds all larger ones. At
+#: one bit a shingle or more, unrelated sets can't seem to link.
+LEVELS = (*((1 << k, k) for k in range(7, 20)), (1 << 62, 20))
 SLICE = 4_096
 
 
