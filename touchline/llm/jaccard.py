@@ -121,8 +121,8 @@ def signatures(h: np.ndarray) -> np.ndarray:
 
 
 #: Sets up to so many shingles have bitmaps of 2 to the power of so many bits; the last level holds all larger ones. At
-#: one bit a shingle or more, unrelated sets can't seem to link.
-LEVELS = (*((1 << k, k) for k in range(7, 20)), (1 << 62, 20))
+#: two bits a shingle or more, unrelated sets hardly ever seem to link.
+LEVELS = (*((1 << k, k + 1) for k in range(6, 19)), (1 << 62, 20))
 SLICE = 4_096
 
 
@@ -282,15 +282,24 @@ def candidate_edges(docs: DataFrame, buckets: int) -> DataFrame:
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         """Edges (a, b); and of runs in several slices the clusters, for the next step."""
-        edges, more = set(), []
+        edges, more, over = [], [], {}
+
+        def top(x: int) -> int:
+            while (y := over.get(x, x)) != x:
+                over[x] = x = over.get(y, y)
+            return x
+
         for (run, _), one in group.groupby(["run", "slice"], sort=False):
             found, clusters = clustered([_got(r) for r in one.itertuples()])
-            edges.update(found)
+            for a, b in found:  # of the task's edges those that connect anything new
+                if (x := top(a)) != (y := top(b)):
+                    over[x] = y
+                    edges.append((a, b))
             if one["slices"].iloc[0] > 1:
                 more += [(run, *_put(c)) for c in clusters]
         return _frame(edges, more)
 
-    def _frame(edges: set, more: list) -> pd.DataFrame:
+    def _frame(edges: list, more: list) -> pd.DataFrame:
         names = ["a", "b", "run", "node", "level", "bits", "smallest", "largest", "excess"]
         rows = [(a, b, *[None] * 7) for a, b in edges] + [(None, None, *m) for m in more]
         out = pd.DataFrame(rows, columns=names)
@@ -438,7 +447,7 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, items: i
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     total = int(members.agg(F.coalesce(F.sum(F.col("n") * F.col("slices")), F.lit(0))).first()[0])
-    bins = max(1, -(-4 * total // items))  # a task gets the groups of a bin; a bin holds about a quarter of the largest group
+    bins = max(1, -(-16 * total // items))  # a task gets the groups of a bin; a bin holds about a sixteenth of the largest group
     bin_of = F.when(F.col("slices") > 1, F.xxhash64("root", "first", "second")).otherwise(F.pmod(F.xxhash64("root"), F.lit(bins)))
     return held.withColumn("bin", bin_of).groupBy("bin").applyInPandas(verify, "a long, b long")
 
