@@ -29,6 +29,8 @@ from .learning import held_out, labelled_sample, logistic, sigmoid
 
 ORDER, BACK = 12, 6
 SHARE = 0.02
+#: Contexts that the sample holds less often count as unseen.
+LEAST_CONTEXT = 2
 SAMPLE = 2_000
 #: Discounts of counts of none, one, two, and three or more.
 DISCOUNTS = (0.0, 0.9, 1.2, 1.4)
@@ -64,9 +66,11 @@ def log_ratios(counts: tuple[dict[bytes, int], dict[bytes, int]]) -> tuple[dict[
     contexts, for bytes that neither has seen there: then both fall back on the same probability, and only what they
     give to it differs."""
     total = tuple(_contexts(c) for c in counts)
+    total = tuple({c: x for c, x in t.items() if x[0] + total[1 - k].get(c, (0,))[0] >= LEAST_CONTEXT} for k, t in enumerate(total))
     lower: Counter[bytes] = Counter()  # continuation counts, pooled over the classes, of BACK bytes at most
-    every = sorted(set(counts[0]) | set(counts[1]))
+    every = set(counts[0]) | set(counts[1])
     seen = Counter(g[1:][-BACK:] for g in every if len(g) > 1)
+    every = sorted(g for g in every if g[:-1] in total[0] or g[:-1] in total[1])
     while seen:
         lower.update(seen)
         seen = Counter(g[1:] for g in seen if len(g) > 1)
@@ -111,7 +115,7 @@ class Evidence:
 
     def weight(self, word: bytes) -> float:
         """log(1 - SHARE + SHARE * likelihood ratio), remembered."""
-        if len(self.memo) >= 300_000:
+        if len(self.memo) >= 100_000:
             self.memo.clear()
         self.memo[word] = x = math.log1p(SHARE * math.expm1(min(self.log_ratio(word), 30)))
         return x
