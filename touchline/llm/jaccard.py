@@ -70,7 +70,7 @@ class Shingler:
         if not tokens:
             return np.zeros(0, np.uint64)
         known = self.memo
-        if len(known) > 500_000:
+        if len(known) > 200_000:
             known.clear()
         w = np.fromiter((x if (x := known.get(t)) is not None else known.setdefault(t, xxhash.xxh3_64_intdigest(t)) for t in tokens), np.uint64, len(tokens))
         k = min(self.n, len(w))
@@ -302,8 +302,9 @@ def candidate_edges(docs: DataFrame, buckets: int) -> DataFrame:
     def _frame(edges: list, more: list) -> pd.DataFrame:
         names = ["a", "b", "run", "node", "level", "bits", "smallest", "largest", "excess"]
         rows = [(a, b, *[None] * 7) for a, b in edges] + [(None, None, *m) for m in more]
-        out = pd.DataFrame(rows, columns=names)
-        return out.astype({c: "Int64" for c in names if c not in ("bits", "excess")})
+        columns = zip(*rows, strict=True) if rows else [[] for _ in names]
+        # Column by column: hashes among nulls must not pass through floats.
+        return pd.DataFrame({n: list(c) if n in ("bits", "excess") else pd.array(list(c), "Int64") for n, c in zip(names, columns, strict=True)})
 
     schema = f"a long, b long, run long, {_LEAF}"
     bins = max(8, buckets)

@@ -152,7 +152,7 @@ class ZipReader:
         """Where the central directory starts, its length and number of entries."""
         tail_at = max(0, self.size - 65_557)  # the record has 22 bytes and a comment of 65,535 at most
         tail = self._range(tail_at, self.size - tail_at)
-        at = tail.rfind(b"PK\x05\x06")
+        at = tail.rfind(b"PK\x05\x06", 0, max(0, len(tail) - 18))  # the comment may hold the signature too
         while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
             at = tail.rfind(b"PK\x05\x06", 0, at)
         if at < 0:
@@ -252,8 +252,10 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 yield frame(rows)
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
-        return out.astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "int64"})
+        names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
+        columns = zip(*rows, strict=True) if rows else [[] for _ in names]
+        # Column by column: ids among nulls must not pass through floats.
+        return pd.DataFrame({n: pd.array(list(c), "Int64") if n in ("page_id", "refers_to", "payload_bytes") else list(c) for n, c in zip(names, columns, strict=True)})
 
     n = max(1, archives.count())
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
