@@ -304,7 +304,7 @@ def candidate_edges(docs: DataFrame, buckets: int) -> DataFrame:
         rows = [(a, b, *[None] * 7) for a, b in edges] + [(None, None, *m) for m in more]
         columns = zip(*rows, strict=True) if rows else [[] for _ in names]
         # Column by column: hashes among nulls must not pass through floats.
-        return pd.DataFrame({n: list(c) if n in ("bits", "excess") else pd.array(list(c), "Int64") for n, c in zip(names, columns, strict=True)})
+        return pd.DataFrame({n: pd.Series(list(c), dtype=object) if n in ("bits", "excess") else pd.array(list(c), "Int64") for n, c in zip(names, columns, strict=True)})
 
     schema = f"a long, b long, run long, {_LEAF}"
     bins = max(8, buckets)

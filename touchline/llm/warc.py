@@ -255,7 +255,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
         columns = zip(*rows, strict=True) if rows else [[] for _ in names]
         # Column by column: ids among nulls must not pass through floats.
-        return pd.DataFrame({n: pd.array(list(c), "Int64") if n in ("page_id", "refers_to", "payload_bytes") else list(c) for n, c in zip(names, columns, strict=True)})
+        return pd.DataFrame({n: pd.array(list(c), "Int64") if n in ("page_id", "refers_to", "payload_bytes") else pd.Series(list(c), dtype=object) for n, c in zip(names, columns, strict=True)})
 
     n = max(1, archives.count())
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
