@@ -161,7 +161,8 @@ class ByteModel:
         self.n, self.context = [], []
         top = None
         for k, (keys, counts) in enumerate(table):
-            self.n.append(Lookup(keys, counts.astype(np.float64), 0.0) if k < order else None)
+            narrow = np.int32 if len(counts) == 0 or counts.max() < 1 << 31 else np.float64
+            self.n.append(Lookup(keys, counts.astype(narrow), 0) if k < order else None)
             contexts, first = np.unique(keys >> np.uint64(8), return_index=True)
             sums = lambda x: np.add.reduceat(x, first) if len(first) else x[:0]  # noqa: B023, E731
             total, kinds = sums(counts.astype(np.float64)), np.diff(np.append(first, len(keys))).astype(np.float64)
@@ -260,7 +261,7 @@ def score(docs: DataFrame, grams: DataFrame, order: int = ORDER, most: int = BLO
     return with_computed(rows, ["text", "_score0"], "_score double", make, ("_score0",))
 
 
-def _parts(texts: list[str | None], size: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def _parts(texts: list[str | None], size: int = 1 << 18) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of texts of about `size` bytes, encoded, and where they begin."""
     part, held, first = [], 0, 0
     for k, t in enumerate(texts):
