@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from touchline import catalog
 from touchline.functions import geometry as g
-from touchline.operators import crossings, identity, sequence, series
+from touchline.__main__ import main
+from touchline.operators import crossings, drawing, identity, projection, sequence, series, splits
 from touchline.plans.runner import Runner, Stage, fingerprint
 
 DATA = "/root/testdata/sf0.01"
@@ -156,3 +157,74 @@ def test_runner_caches_by_upstream_and_goes_on_after_a_failure(spark, tmp_path):
     assert runs == [5, 6]
     assert r.manifest().filter("status = 'cached'").count() == 2
     assert fingerprint({"a": 1, "runtime": 2}) == fingerprint({"a": 1})
+
+
+def test_truncated_feet_are_found_by_height(spark):
+    camera, up = catalog.CAMERA, catalog.UP
+    h = np.array(camera).reshape(3, 3)
+    ground = np.array([2.0, -27.0, 1.0])
+    foot = h @ ground
+    head = foot + 1.8 * np.array(up)
+    u, low, top = (float(v) for v in (foot[0] / foot[2], foot[1] / foot[2], head[1] / head[2]))
+    assert low > 360 > top > 3
+    boxes = spark.createDataFrame([(u - 5, top, u + 5, 360.0), (u - 5, 1.0, u + 5, 360.0), (u - 5, 100.0, u + 5, 200.0)], "x1 double, y1 double, x2 double, y2 double")
+    found = {r.y1: r for r in projection.feet(boxes, camera, up, 640, 360).collect()}
+    cut = found[top]
+    assert cut.cut and abs(cut.px - 2.0) < 0.3 and abs(cut.py + 27.0) < 0.3
+    border = np.linalg.inv(h) @ np.array([u, 360.0, 1.0])
+    assert found[1.0].cut and abs(found[1.0].px - border[0] / border[2]) < 1e-6
+    assert not found[100.0].cut
+
+
+def test_footprint_is_what_the_camera_sees():
+    camera = g.camera_homography(0.0, -60.0, 18.0, 0.3, 0.28, 900.0, 640, 360)
+    polygon = projection.footprint(camera, 640, 360)
+    assert (np.abs(polygon) <= [62.5 + 1e-9, 42 + 1e-9]).all()
+    x, y = polygon.T
+    area = 0.5 * abs(np.dot(x, np.roll(y, 1)) - np.dot(y, np.roll(x, 1)))
+    gx, gy = np.meshgrid(np.linspace(-62.5, 62.5, 501), np.linspace(-42, 42, 337))
+    u, v, w = np.array(camera).reshape(3, 3) @ np.stack([gx.ravel(), gy.ravel(), np.ones(gx.size)])
+    seen = ((w > 0) & (u >= 0) & (u <= 640 * w) & (v >= 0) & (v <= 360 * w)).mean() * 125 * 84
+    assert area == pytest.approx(seen, rel=0.03)
+    assert projection.footprint(g.camera_homography(0.0, -60.0, 18.0, 0.0, -0.9, 900.0, 640, 360), 640, 360) is None
+
+
+def test_footprints_pass_nulls(spark):
+    c = spark.createDataFrame([(1, None), (2, 0.0)], "frame long, pan double").selectExpr("frame", "pan", "0.28D tilt", "900D focal", "0D cx", "-60D cy", "18D cz")
+    found = {r.frame: r.polygon for r in projection.footprints(c, 640, 360).collect()}
+    assert found[1] is None and len(found[2]) >= 3
+
+
+SEGMENTS = "shot_no long, track_id long, start_frame long, end_frame long, n_frames long, emb array<double>, split_frame long, cands array<long>"
+
+
+def test_split_groups_join_their_identities_and_feed_later_groups(spark):
+    a, b = [1.0, 0.0], [0.0, 1.0]
+    both = [0.7, 0.7]
+    t = [
+        (1, 1, 0, 40, 40, a, None, None), (1, 2, 0, 40, 40, b, None, None),
+        (1, 3, 50, 90, 40, b, 45, [1, 2]), (1, 4, 50, 90, 40, a, 45, [2, 1]),
+        (1, 5, 100, 120, 20, a, 95, [3, 4]), (1, 6, 100, 120, 20, b, 95, [3, 4]),
+        (1, 7, 130, 140, 10, both, 125, [5, 6]), (1, 8, 130, 140, 10, both, 125, [5, 6]),
+        (2, 1, 0, 9, 9, None, None, None), (2, 2, 20, 30, 10, a, 15, [1]), (2, 3, 20, 30, 10, None, 16, [1]),
+    ]
+    found = rows(splits.link_splits(spark.createDataFrame(t, SEGMENTS)))
+    assert [x[:3] for x in found] == [(1, 1, 4), (1, 2, 3), (1, 3, 6), (1, 4, 5)]
+    assert all(x[3] == pytest.approx(0.98) for x in found)  # shot 2 has no anchor with a vector; tracks 7 and 8 abstain
+    assert rows(splits.link_splits(spark.createDataFrame([], SEGMENTS))) == []
+
+
+def test_flashes_last_a_number_of_rows(spark):
+    t = [(f, 1, 0, 0.0, 0.0, 1.0, 1.0, 0.8, 0.1, int(f == 2)) for f in range(6)] + [(0, -1, 1, 0.0, 0.0, 1.0, 1.0, 0.0, 0.5, 0)]
+    fused = spark.createDataFrame(t, "frame long, identity_id long, team long, x1 double, y1 double, x2 double, y2 double, conf double, link_err_p double, reentry int")
+    found = drawing.draw_list(fused, 3).collect()
+    assert sorted(r.frame for r in found if r.kind == "flash") == [2, 3, 4]
+    assert sum(r.kind == "box" for r in found) == 7 and not any(r.kind == "dot" for r in found)
+    unknown = next(r for r in found if r.identity_id == -1)
+    assert (unknown.colour, unknown.label, unknown.thickness, unknown.percent) == (-1, "?", 1, None)
+
+
+def test_command_line_lists_and_writes(spark, tmp_path, capsys):
+    assert main(["list"]) == 0 and "fused_positions" in capsys.readouterr().out
+    assert main(["run", "tracklet_summary", "--tables", DATA, "--out", f"{tmp_path}/out"]) == 0
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 400

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from .functions import geometry as g
 from .functions.vectors import unit
-from .operators import identity, sequence, series
+from .operators import drawing, identity, projection, sequence, series, splits
 from .sources import adapter as src
 
 Query = Callable[[SparkSession, str], DataFrame]
 CAMERA = g.camera_homography(0.0, -60.0, 18.0, 0.0, 0.28, 900.0, src.WIDTH, src.HEIGHT)
 INVERSE = g.inverse(CAMERA)
+UP = g.camera_up(0.28, 900.0, src.WIDTH, src.HEIGHT)
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
@@ -85,6 +86,29 @@ def off_pitch_filter(spark, d):
     return rows.filter(F.when(F.col("distrusted"), F.col("grass")).otherwise(F.col("calib"))).select("det_id", "frame", "px", "py", "distrusted")
 
 
+_W = f"({INVERSE[6]!r}*fx+{INVERSE[7]!r}*v+{INVERSE[8]!r})"
+_DET = CAMERA[0] * INVERSE[0] + CAMERA[1] * INVERSE[3] + CAMERA[2] * INVERSE[6]
+
+
+@query(f"""WITH b AS (SELECT det_id, y1, y2, (x1+x2)/2 AS fx, {projection.REACH} * greatest(y2 - y1, CAST({projection.LEAST_BOX} AS DOUBLE)) / {projection.SAMPLES - 1} AS step FROM detections WHERE cls <> 'ball'),
+k AS (SELECT *, unnest(range({projection.SAMPLES})) AS k FROM b WHERE y2 >= {src.HEIGHT - projection.EDGE} AND y1 > {projection.EDGE}), v AS (SELECT *, y2 + k * step AS v FROM k),
+s AS (SELECT *, {_DET!r} / nullif({_W}, 0) AS s FROM v), o AS (SELECT det_id, k, v, abs((v * s + {projection.PERSON * UP[1]!r}) / (s + {projection.PERSON * UP[2]!r}) - y1) AS miss FROM s),
+best AS (SELECT *, row_number() OVER (PARTITION BY det_id ORDER BY miss NULLS LAST, k) AS rn FROM o),
+foot AS (SELECT b.det_id, b.y2 >= {src.HEIGHT - projection.EDGE} AS cut, fx, coalesce(v, y2) AS fy FROM b LEFT JOIN best ON best.det_id = b.det_id AND rn = 1)
+SELECT det_id, cut, {_XY} FROM foot""")
+def truncated_feet(spark, d):
+    """Pitch positions of feet, those of boxes that the lower border cuts searched by a person's height."""
+    rows = projection.feet(src.detections(spark, d).filter("cls <> 'ball'"), CAMERA, UP, src.WIDTH, src.HEIGHT)
+    return rows.select("det_id", "cut", (F.round("px", 6) + F.lit(0.0)).alias("px"), (F.round("py", 6) + F.lit(0.0)).alias("py"))
+
+
+@query()
+def camera_footprints(spark, d):
+    """What each frame's camera sees of the pitch and its surroundings, the camera turning with the mean score."""
+    pan = src.detections(spark, d).groupBy("frame").agg((F.avg("score") - 0.5).alias("pan"))
+    return projection.footprints(pan.selectExpr("frame", "pan", "0.28D AS tilt", "900D AS focal", "0D AS cx", "-60D AS cy", "18D AS cz"), src.WIDTH, src.HEIGHT)
+
+
 @query("""WITH f AS (SELECT det_id, frame FROM detections WHERE frame % 7 = 0) SELECT t.det_id, t.frame FROM tracks t WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.frame = t.frame)""")
 def distrusted_antijoin(spark, d):
     bad = src.detections(spark, d).filter("frame % 7 = 0").select("frame").distinct()
@@ -389,6 +413,18 @@ def pitch2d_frames(spark, d):
     return rows.groupBy("frame").agg(F.count("*").alias("n_players"), told.alias("p")).select("frame", "n_players", F.array_join(F.transform("p", lambda s: F.concat_ws(":", s["identity_id"], s["team"])), ",").alias("players"))
 
 
+@query(f"""WITH {_FUSED}, n AS (SELECT *, row_number() OVER w AS n FROM j WINDOW w AS (PARTITION BY identity_id ORDER BY frame, x1, y1, x2, y2)),
+s AS (SELECT *, n - max(CASE WHEN reentry = 1 THEN n END) OVER (PARTITION BY identity_id ORDER BY n) AS since FROM n),
+c AS (SELECT *, identity_id <> -1 AS known, coalesce(identity_id <> -1 AND since < 25, false) AS flash, CASE WHEN identity_id <> -1 THEN team ELSE -1 END AS colour FROM s)
+SELECT frame, identity_id, colour, 'box' AS kind, CASE WHEN known AND conf > 0.75 THEN 2 ELSE 1 END AS thickness, CASE WHEN known THEN CASE WHEN flash THEN '<- ' ELSE '' END || CAST(identity_id AS VARCHAR) ELSE '?' END AS label,
+ CASE WHEN known THEN CAST(floor(conf * 100 + 0.5) AS BIGINT) END AS percent, x1, y1, x2, y2 FROM c
+UNION ALL SELECT frame, identity_id, colour, 'flash', 2, NULL, NULL, x1 - 4, y1 - 4, x2 + 4, y2 + 4 FROM c WHERE flash
+UNION ALL SELECT frame, identity_id, colour, 'dot', 1, NULL, NULL, x1, y1, x2, y2 FROM c WHERE known AND link_err_p > 0.25""")
+def draw_list(spark, d):
+    """The overlay's primitives."""
+    return drawing.draw_list(_fused(spark, d))
+
+
 # Unions, preferences, reports
 
 
@@ -469,6 +505,17 @@ def relabel_effective_dated(spark, d):
     return sequence.relabel(t, w)
 
 
+@query()
+def split_links(spark, d):
+    """Pairs of tracks split at each hundredth frame and linked again by vectors, over stretches of five shots."""
+    t = identity.summarize(src.tracks(spark, d)).withColumn("_part", F.col("shot_no") % 5)
+    pair = (F.col("_part") - 1) * 1000 + F.col("track_id") - F.col("track_id") % 2
+    v = src.vectors(spark, d).filter("vec_id < 500").select("vec_id", F.col("v").alias("emb"))
+    t = t.withColumn("vec_id", (F.col("track_id") * 7 + F.col("shot_no")) % 500).join(F.broadcast(v), "vec_id", "left")  # 500 vectors
+    split = F.when((F.col("_part") > 0) & (F.col("track_id") % 4 < 2), F.col("shot_no") * 100 - 1)
+    return splits.link_splits(t.select(F.floor(F.col("shot_no") / 5).alias("shot_no"), (F.col("_part") * 1000 + F.col("track_id")).alias("track_id"), "start_frame", "end_frame", "n_frames", "emb", split.alias("split_frame"), F.array(pair, pair + 1).alias("cands")))
+
+
 @query()
 def crossing_resolution(spark, d):
     """Decisions on ambiguous crossings, by vectors that stand for the tracks' appearance every five frames."""

@@ -44,6 +44,12 @@ def camera_homography(cx: float, cy: float, cz: float, pan: float, tilt: float,
     return [v for row in mul([[f, 0, w / 2], [0, f, h / 2], [0, 0, 1]], plane) for v in row]
 
 
+def camera_up(tilt: float, f: float, w: float, h: float) -> list[float]:
+    """The image of the vertical direction, the column that camera_homography leaves out."""
+    ct, st = math.cos(tilt), math.sin(tilt)
+    return [-st * w / 2, -f * ct - st * h / 2, -st]
+
+
 def inverse(h: list) -> list:
     """The adjugate, which as a homography is the inverse; of numbers or columns."""
     a, b, c, d, e, f, g, k, m = h
