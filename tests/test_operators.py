@@ -79,6 +79,26 @@ def test_greedy_chain_takes_one_successor_and_predecessor(spark):
     assert [r.belief for r in identity.greedy_chain(e).collect()] == [0.9]
 
 
+def test_greedy_chain_commits_split_links_first(spark):
+    schema = "team int, shot_a long, track_a long, shot_b long, track_b long, belief double"
+    e = [(1, 0, 1, 1, 2, 0.9), (1, 0, 1, 2, 3, 0.8), (1, 0, 4, 1, 2, 0.7), (1, 1, 5, 2, 3, 0.95), (1, 0, 6, 1, 5, 0.99)]
+    edges = spark.createDataFrame(e, schema)
+    links = spark.createDataFrame([(1, 0, 1, 1, 5, 0.2, 0), (1, 0, 1, 1, 7, 0.98, 1), (0, 0, 8, 2, 3, 0.6, 0)], f"{schema}, place long")
+    segments = spark.createDataFrame([(1, 5), (1, 7)], "shot_no long, track_id long")
+    committed = [(0, 0, 8, 2, 3, 0.6), (1, 0, 1, 1, 5, 0.2)]
+    assert rows(identity.greedy_chain(edges, splits=links, segments=segments)) == sorted([*committed, (1, 0, 4, 1, 2, 0.7)])
+    assert rows(identity.greedy_chain(edges, segments=segments)) == [(1, 0, 1, 1, 2, 0.9)]
+
+
+def test_greedy_chain_query_holds_what_split_links_found(spark):
+    at = lambda shot, node: (shot * 5 + node // 1000, node % 1000)
+    found = {(*at(r.shot_no, r.pred), *at(r.shot_no, r.succ)) for r in catalog.queries()["split_links"](spark, DATA).collect()}
+    chain = [(r.shot_a, r.track_a, r.shot_b, r.track_b) for r in catalog.queries()["greedy_chain"](spark, DATA).collect()]
+    assert found and {x[:2] for x in found} <= {x[:2] for x in chain}
+    assert len({x[:2] for x in chain}) == len({x[2:] for x in chain}) == len(chain)
+    assert all(x in found for x in chain if x[2] % 5 and x[3] % 4 < 2)
+
+
 def test_assignment_is_cheapest():
     rng = np.random.default_rng(3)
     for n, m in ((1, 1), (3, 3), (4, 6), (6, 4), (5, 5)):

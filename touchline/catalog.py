@@ -331,8 +331,15 @@ def link_belief_edges(spark, d):
 
 @query()
 def greedy_chain(spark, d):
-    edges = identity.link_edges(identity.summarize(src.tracks(spark, d)), src.vectors(spark, d))
-    return identity.greedy_chain(edges, 0.3)
+    """Chains of tracklets: the links of split_links first, then edges by belief."""
+    t = identity.summarize(src.tracks(spark, d))
+    parts = _parts(spark, d)
+    at = lambda c: ((F.col("shot_no") * 5 + F.floor(F.col(c) / 1000)), F.col(c) % 1000)
+    (shot_a, track_a), (shot_b, track_b), (shot, track) = at("pred"), at("succ"), at("track_id")
+    links = splits.link_splits(parts).select(shot_a.alias("shot_a"), track_a.alias("track_a"), shot_b.alias("shot_b"), track_b.alias("track_b"), "belief", "place")
+    links = links.join(t.selectExpr("shot_no AS shot_a", "track_id AS track_a", "team"), ["shot_a", "track_a"])
+    segments = parts.filter("split_frame IS NOT NULL").select(shot.alias("shot_no"), track.alias("track_id"))
+    return identity.greedy_chain(identity.link_edges(t, src.vectors(spark, d)), 0.3, links, segments)
 
 
 @query("""WITH t AS (SELECT shot_no * 1000 + track_id AS node, track_id, start_frame, end_frame, mean_margin, row_number() OVER (PARTITION BY track_id ORDER BY start_frame) AS k FROM tracklets),
@@ -505,15 +512,20 @@ def relabel_effective_dated(spark, d):
     return sequence.relabel(t, w)
 
 
-@query()
-def split_links(spark, d):
-    """Pairs of tracks split at each hundredth frame and linked again by vectors, over stretches of five shots."""
+def _parts(spark, d) -> DataFrame:
+    """Tracklets over stretches of five shots, pairs of tracks split at each hundredth frame."""
     t = identity.summarize(src.tracks(spark, d)).withColumn("_part", F.col("shot_no") % 5)
     pair = (F.col("_part") - 1) * 1000 + F.col("track_id") - F.col("track_id") % 2
     v = src.vectors(spark, d).filter("vec_id < 500").select("vec_id", F.col("v").alias("emb"))
     t = t.withColumn("vec_id", (F.col("track_id") * 7 + F.col("shot_no")) % 500).join(F.broadcast(v), "vec_id", "left")  # 500 vectors
     split = F.when((F.col("_part") > 0) & (F.col("track_id") % 4 < 2), F.col("shot_no") * 100 - 1)
-    return splits.link_splits(t.select(F.floor(F.col("shot_no") / 5).alias("shot_no"), (F.col("_part") * 1000 + F.col("track_id")).alias("track_id"), "start_frame", "end_frame", "n_frames", "emb", split.alias("split_frame"), F.array(pair, pair + 1).alias("cands")))
+    return t.select(F.floor(F.col("shot_no") / 5).alias("shot_no"), (F.col("_part") * 1000 + F.col("track_id")).alias("track_id"), "start_frame", "end_frame", "n_frames", "emb", split.alias("split_frame"), F.array(pair, pair + 1).alias("cands"))
+
+
+@query()
+def split_links(spark, d):
+    """Pairs of tracks split at each hundredth frame and linked again by vectors, over stretches of five shots."""
+    return splits.link_splits(_parts(spark, d)).drop("place")
 
 
 @query()

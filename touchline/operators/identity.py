@@ -50,9 +50,22 @@ def link_edges(tracklets: DataFrame, vectors: DataFrame, reid: bool = True) -> D
     return out.filter("belief > 0")
 
 
-def greedy_chain(edges: DataFrame, least: float = ABSTAIN) -> DataFrame:
-    """Links by descending belief, each tracklet with one successor and one predecessor. Links stay within a team, so
-    teams are decided side by side."""
+def greedy_chain(edges: DataFrame, least: float = ABSTAIN, splits: DataFrame | None = None, segments: DataFrame | None = None) -> DataFrame:
+    """Links by descending belief, each tracklet with one successor and one predecessor. Edges stay within a team, so
+    teams are decided side by side.
+
+    splits: links of crossings, like edges with their place in the order of decisions; they are committed first, whatever
+    their belief and teams. segments (shot_no, track_id): what crossings split; only such links join them to others."""
+    if segments is not None:
+        for side in "ab":
+            edges = edges.join(segments.select(F.col("shot_no").alias(f"shot_{side}"), F.col("track_id").alias(f"track_{side}")), [f"shot_{side}", f"track_{side}"], "left_anti")
+    if splits is not None:
+        # A segment is one link's successor, so links meet only at a predecessor.
+        first = Window.partitionBy("shot_a", "track_a").orderBy("place", "shot_b", "track_b")
+        splits = splits.withColumn("_k", F.row_number().over(first)).filter("_k = 1").select(*edges.columns)
+        for side in "ab":
+            edges = edges.join(splits.select(f"shot_{side}", f"track_{side}"), [f"shot_{side}", f"track_{side}"], "left_anti")
+    edges = edges.select("team", "shot_a", "track_a", "shot_b", "track_b", "belief")
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
         after, before, kept = set(), set(), []
@@ -65,7 +78,8 @@ def greedy_chain(edges: DataFrame, least: float = ABSTAIN) -> DataFrame:
                 kept.append(k)
         return group.loc[sorted(kept)]
 
-    return edges.filter(F.col("belief") >= least).groupBy("team").applyInPandas(choose, edges.schema)
+    chosen = edges.filter(F.col("belief") >= least).groupBy("team").applyInPandas(choose, edges.schema)
+    return chosen if splits is None else chosen.unionByName(splits)
 
 
 def chain_labels(nodes: DataFrame, links: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from .sequence import assignment_margin
 
-LINKS = "shot_no long, pred long, succ long, belief double"
+LINKS = "shot_no long, pred long, succ long, belief double, place long"
 
 
 def _groups(rows: pd.DataFrame) -> list[tuple[int, tuple[int, ...], list[int]]]:
@@ -51,7 +51,8 @@ def link_shot(rows: pd.DataFrame, least: float) -> list[tuple[int, int, float]]:
 
 
 def link_splits(tracklets: DataFrame, least: float = 0.03) -> DataFrame:
-    """tracklets (shot_no, track_id, start_frame, end_frame, n_frames, emb, split_frame, cands) -> shot_no, pred, succ, belief.
+    """tracklets (shot_no, track_id, start_frame, end_frame, n_frames, emb, split_frame, cands) -> shot_no, pred, succ, belief
+    and the link's place in the order of a shot's decisions.
 
     emb may be null (takes no part), as may split_frame (not a segment). Groups of one shot depend on one another, so a
     shot is one task's work; its tracklets are a few hundred rows.
@@ -59,7 +60,7 @@ def link_splits(tracklets: DataFrame, least: float = 0.03) -> DataFrame:
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         shot = int(rows["shot_no"].iloc[0])
-        return pd.DataFrame([(shot, *x) for x in link_shot(rows, least)], columns=["shot_no", "pred", "succ", "belief"])
+        return pd.DataFrame([(shot, *x, k) for k, x in enumerate(link_shot(rows, least))], columns=["shot_no", "pred", "succ", "belief", "place"])
 
     columns = ["shot_no", "track_id", "start_frame", "end_frame", "n_frames", "emb", "split_frame", "cands"]
     return tracklets.select(*columns).filter("shot_no IS NOT NULL").groupBy("shot_no").applyInPandas(run, LINKS)
