@@ -244,6 +244,20 @@ def test_flashes_last_a_number_of_rows(spark):
     assert (unknown.colour, unknown.label, unknown.thickness, unknown.percent) == (-1, "?", 1, None)
 
 
+def test_team_clusters_are_the_best_of_ten(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    t = spark.read.parquet(f"{DATA}/embeddings.parquet").select("vec_id", F.col("embedding").cast("array<double>").alias("v"), (F.col("vec_id") % 7 + 1).cast("double").alias("w")).persist()
+    features = t.withColumn("features", array_to_vector("v")).persist()
+    best = min(KMeans(k=2, seed=s, weightCol="w", maxIter=30).fit(features).summary.trainingCost for s in range(10))
+    p = t.join(sequence.cluster_teams(t, 2), "vec_id").toPandas()
+    v, w, team = np.stack(p.v), p.w.to_numpy(), p.team.to_numpy()
+    assert set(team) == {0, 1}
+    cost = sum((w[m] * ((v[m] - np.average(v[m], 0, w[m])) ** 2).sum(1)).sum() for m in (team == 0, team == 1))
+    assert cost <= best + 0.05
+
+
 def test_command_line_lists_and_writes(spark, tmp_path, capsys):
     assert main(["list"]) == 0 and "fused_positions" in capsys.readouterr().out
     assert main(["run", "tracklet_summary", "--tables", DATA, "--out", f"{tmp_path}/out"]) == 0
