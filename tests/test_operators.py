@@ -138,6 +138,31 @@ def test_tracks_of_a_scene_are_stable(spark):
     assert out.groupby("frame").size().median() >= 5
 
 
+BOXES = "det_id long, shot_no long, frame long, x1 double, y1 double, x2 double, y2 double, score double, hist array<double>"
+
+
+def test_appearance_decides_between_overlapping_players(spark):
+    data = []
+    for f in range(40):
+        for k, x in enumerate((100.0, 108.0) if f < 15 else (108.0, 100.0)):
+            data.append((f * 10 + k, 0, f, x, 100.0, x + 18, 144.0, 0.9, [1.0, 0.0] if k == 0 else [0.0, 1.0]))
+    out = sequence.track(spark.createDataFrame(data, BOXES)).toPandas()
+    assert out.track_id.nunique() == 2
+    for _, t in out.sort_values("frame").groupby("track_id"):
+        assert (t.x1.iloc[0] < 104) != (t.x1.iloc[-1] < 104)
+
+
+def test_teams_settle_and_gate(spark):
+    data = [(f * 100 + k, 0, f, 50.0 * k, 100.0, 50.0 * k + 18, 144.0, 0.9, [0.9, 0.1] if k % 2 else [0.1, 0.9]) for f in range(30) for k in range(12)]
+    out = sequence.track(spark.createDataFrame(data, BOXES)).toPandas()
+    end = out[out.frame == 29].sort_values("x1").team_online.to_list()
+    assert sorted(set(end)) == [0, 1] and end[::2] == [end[0]] * 6 and end[1::2] == [end[1]] * 6
+    one = sequence._Track(1, np.array([0.0, 0, 18, 44]), np.array([1.0, 0.0]))
+    one.votes[:] = 0, 3
+    ask = lambda team: sequence.associate([one], np.array([[0.0, 0, 18, 44]]), np.zeros(1), hists=np.array([[1.0, 0.0]]), teams=np.array([team]))
+    assert ask(0) == [] and len(ask(1)) == len(ask(-1)) == 1
+
+
 def crossing(spark, after):
     e = {1: [1.0, 0.0], 2: [0.0, 1.0]}
     data = []

@@ -496,7 +496,11 @@ def ball_gating(spark, d):
 
 @query()
 def track_boxes(spark, d):
-    return sequence.track(src.detections(spark, d).filter("cls <> 'ball'"))
+    """Tracks of the persons on the pitch, with the histograms of vectors that stand for their appearance."""
+    rows = src.detections(spark, d).filter("cls <> 'ball'").join(off_pitch_filter(spark, d).select("det_id"), "det_id")
+    v = src.vectors(spark, d).filter("vec_id < 500").select("vec_id", "hist")
+    rows = rows.withColumn("vec_id", (F.col("track_id") * 7 + F.col("shot_no")) % 500).join(F.broadcast(v), "vec_id", "left")  # 500 vectors
+    return sequence.track(rows.select("det_id", "shot_no", "frame", "x1", "y1", "x2", "y2", "score", "hist"))
 
 
 @query()
