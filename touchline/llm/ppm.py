@@ -9,17 +9,22 @@ are also seen after its suffixes, so what exclusion takes from a context's total
 (E below), and the code length of a byte is a closed expression of a few table entries.
 
 Counting: tasks sort their (ORDER + 1)-byte grams and send each distinct one once; the sums are a table in the shared
-folder. Scoring: the table is cut into blocks by the two context bytes next to the predicted byte (which no back-off
-above order 1 changes), of at most BLOCK_GRAMS grams, a proven bound for a broadcast; each block is one pass over the
-documents that adds to their scores. Distinct grams of a fixed order saturate, so blocks are few, and one up to GBs.
+folder. Scoring: a model of at most BLOCK_GRAMS grams, which is counted, is broadcast and every chunk of documents scored
+where it is packed. A larger one stays in the shared folder, cut into blocks of at most so many grams by the two context
+bytes next to the predicted byte, or more of them where two have too many (no back-off above the shared orders crosses
+such a cut; the few counts of the shared orders go with each block). Then every chunk asks for its distinct grams, a
+packed list a block; tasks that each load a block's model one after another answer; and the answers return to their
+chunk. So the documents are read and packed once, whatever the model's size, and no task holds more than a block and a chunk.
 
 The base score needs the corpus count of every token, a vocabulary without a bound, so nothing of it is broadcast:
-documents are packed in chunks of about CHUNK_BYTES as ids of the chunk's own vocabulary; each chunk's distinct tokens
-meet those of other chunks by token (a window sums their counts), go back to their chunk, and are summed there by
-document. A token comes once a chunk, so frequent tokens have as many rows as there are chunks, not documents.
-
-Null texts are empty: one end token. Rows with a null id count as training rows. Repeated rows are scored alike, and
-count as often as they stand in the training part. Without training rows the base is log10(1) and PPM codes uniformly.
+documents are packed in chunks of about CHUNK_BYTES as ids of the chunk's own vocabulary; the chunks' counts are summed
+by token, with partial sums before the shuffle, looked up from every chunk (frequent tokens dealt over salts), and summed
+there by document. A token comes once a chunk, so frequent tokens have as many rows as there are chunks, not documents.
+
+Null texts are empty: one end token. Texts are bytes, so what is no UTF-8 is scored like anything else; long texts are
+scored whole. Rows with a null id count as training rows. Repeated rows are scored alike, and count as often as they
+stand in the training part. Without training rows the base is log10(1) and PPM codes uniformly. An empty table gives an
+empty result. Only doc_id and text are read, so other columns can't clash.
 """
 
 from __future__ import annotations
@@ -29,13 +34,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import remainder, settle, space_tokens, with_computed
+from .common import fresh_path, lookup, remainder, settle, space_tokens
+from .stores import open_store
+from .tables import Lookup
 
 ORDER = 5
 MOD, OUT = 7, 2
@@ -107,57 +116,24 @@ def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(k, rows)
 
 
-class Lookup:
-    """A vectorised hash table from 64-bit keys to one value each; keys that aren't in it get the missing value."""
-
-    FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray, missing: float) -> None:
-        self.bits = max(4, int(2 * len(keys) + 1).bit_length())
-        self.mask = np.int64((1 << self.bits) - 1)
-        self.keys = np.full(1 << self.bits, self.FREE)
-        self.values = np.full(1 << self.bits, missing, values.dtype)
-        self.missing = missing
-        at, left = self._home(keys), np.arange(len(keys))
-        while len(left):
-            free = left[self.keys[at[left]] == self.FREE]
-            self.keys[at[free]] = keys[free]
-            placed = self.keys[at[left]] == keys[left]
-            self.values[at[left[placed]]] = values[left[placed]]
-            left = left[~placed]
-            at[left] = (at[left] + 1) & self.mask
-
-    def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        at = self._home(keys)
-        there = self.keys[at]
-        out = self.values[at]
-        off = np.flatnonzero(there != keys)
-        out[off] = self.missing
-        off = off[there[off] != self.FREE]
-        while len(off):
-            at[off] = (at[off] + 1) & self.mask
-            there_now = self.keys[at[off]]
-            hit = there_now == keys[off]
-            out[off[hit]] = self.values[at[off[hit]]]
-            off = off[~hit & (there_now != self.FREE)]
-        return out
-
-
 class ByteModel:
-    """PPM code lengths from gram counts. covers: which pairs of next context bytes this block holds (None: all).
+    """PPM code lengths from gram counts of the whole corpus or of a block.
 
     Of each order k: n by gram, and T (total), D (distinct bytes) and E (what exclusion takes one order below) by context.
     """
 
-    def __init__(self, grams: np.ndarray, n: np.ndarray, low: tuple[np.ndarray, np.ndarray], order: int = ORDER, covers: np.ndarray | None = None) -> None:
-        """low: the counts of the two-byte grams of the whole corpus, which all blocks need for orders 1 and 0."""
-        self.order, self.covers = order, covers
+    def __init__(self, grams: np.ndarray, n: np.ndarray, low: tuple[np.ndarray, np.ndarray], order: int = ORDER, shared: dict[int, tuple[np.ndarray, np.ndarray]] | None = None) -> None:
+        """low: the counts of the two-byte grams of the whole corpus, which all blocks need for orders 1 and 0; shared: by
+        order, the counts that this block has in common with others."""
+        self.order = order
         table = [_distinct(low[0] & np.uint64(0xFF), low[1]), low]
         for k in range(2, order + 1):
-            table.append(_distinct(grams & np.uint64((1 << 8 * (k + 1)) - 1), n))
+            held = _distinct(grams & np.uint64((1 << 8 * (k + 1)) - 1), n)
+            if shared and k in shared:  # what the block holds of these contexts is a part; contexts of its own stay
+                full = _distinct(*shared[k])
+                keep = ~np.isin(held[0] >> np.uint64(8), np.unique(full[0] >> np.uint64(8)))
+                held = _distinct(np.concatenate([held[0][keep], full[0]]), np.concatenate([held[1][keep], full[1]]))
+            table.append(held)
         self.n, self.context = [], []
         top = None
         for k, (keys, counts) in enumerate(table):
@@ -175,12 +151,10 @@ class ByteModel:
                 self.top = Lookup(keys, top, 1.0)
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
-        """Of each gram, log10 of the probability of its last byte after the others; 0 where another block has it."""
+        """Of each gram, log10 of the probability of its last byte after the others."""
         out = self.top(keys)
         left = np.flatnonzero(out > 0)
         out[left] = 0
-        if self.covers is not None:
-            left = left[self.covers[((keys[left] >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64)]]
         gone_total, gone_kinds = np.zeros(len(left)), np.zeros(len(left))
         for k in range(self.order, -1, -1):
             g = keys[left] & np.uint64((1 << 8 * (k + 1)) - 1)
@@ -199,73 +173,121 @@ class ByteModel:
         return out
 
 
-def models(grams: DataFrame, order: int = ORDER, most: int = BLOCK_GRAMS) -> Iterator[ByteModel]:
-    """The model in blocks of at most `most` grams (more only where one pair of context bytes has more)."""
-
-    def arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        rows = df.toArrow()
-        return rows["gram"].to_numpy().view(np.uint64), rows["n"].to_numpy()
-
-    low = _distinct(*arrays(grams.groupBy(F.col("gram").bitwiseAND(0xFFFF).alias("gram")).agg(F.sum("n").alias("n"))))  # 65,536 rows at most
-    pair = F.shiftright("gram", 8).bitwiseAND(0xFFFF)
-    sizes = grams.groupBy(pair.alias("pair")).count().toPandas().sort_values("pair")  # 65,536 rows at most
-    block = (sizes["count"].cumsum() - 1) // most
-    groups = [set(p) for _, p in sizes.groupby(block)["pair"]] or [set()]
-    for pairs in groups:
-        if len(groups) == 1:
-            rows, covers = grams, None
-        else:
-            rows = grams.filter((pair >= min(pairs)) & (pair <= max(pairs)))
-            covers = np.zeros(1 << 16, bool)
-            covers[list(pairs)] = True
-        if pairs is groups[-1] and covers is not None:  # pairs that were never seen belong to the last block
-            seen = np.zeros(1 << 16, bool)
-            seen[sizes["pair"].to_numpy(np.int64)] = True
-            covers |= ~seen
-        yield ByteModel(*arrays(rows), low, order, covers)
-
-
-def add_scores(model: ByteModel, texts: list[str | None], before: list[float]) -> np.ndarray:
-    scores = np.array(before, np.float64)
+def _arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    rows = df.toArrow()
+    return rows["gram"].to_numpy().view(np.uint64), rows["n"].to_numpy()
+
+
+class Blocks:
+    """Which block of the model a gram belongs to, by its nearest context bytes: two, and more where two have too many grams."""
+
+    def __init__(self, grams: DataFrame, order: int, most: int) -> None:
+        self.levels: list[tuple[int, Lookup]] = []
+        self.shared: list[tuple[int, int, int]] = []  # (block, order, context): counts that the block shares with others
+        n_blocks, split = 0, {0: []}  # contexts to cut further, and the longer contexts they lie under
+        rows = grams
+        for depth in range(2, max(order, 2) + 1):
+            mask = (1 << 8 * depth) - 1
+            if depth > 2:
+                over = rows.sparkSession.createDataFrame([(k,) for k in split], "over long")  # each has more than `most` grams
+                rows = grams.withColumn("over", F.shiftright("gram", 8).bitwiseAND((1 << 8 * (depth - 1)) - 1)).join(F.broadcast(over), "over").drop("over")
+            sizes = rows.groupBy(F.shiftright("gram", 8).bitwiseAND(mask).alias("context")).count().orderBy("context").toArrow()
+            contexts, counts = sizes["context"].to_numpy(), sizes["count"].to_numpy()
+            parents = contexts & ((1 << 8 * (depth - 1)) - 1) if depth > 2 else np.zeros(len(contexts), np.int64)
+            at = np.full(len(contexts), -1, np.int64)
+            deeper = {}
+            for parent in np.unique(parents):
+                held = most
+                for k in np.flatnonzero(parents == parent):
+                    if counts[k] > most and depth < order:
+                        deeper[int(contexts[k])] = [*split[int(parent)], *([(depth - 1, int(parent))] if depth > 2 else [])]
+                        continue
+                    if held + counts[k] > most:
+                        held, n_blocks = 0, n_blocks + 1
+                        self.shared += [(n_blocks - 1, o, c) for o, c in (*split[int(parent)], *([(depth - 1, int(parent))] if depth > 2 else []))]
+                    held += counts[k]
+                    at[k] = n_blocks - 1
+            self.levels.append((depth, Lookup(contexts.astype(np.uint64), at, -2)))
+            split = deeper
+            if not split:
+                break
+        self.n = max(n_blocks, 1)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """A gram under an unseen context belongs to the block of a sibling that it may fall back to, or to block 0."""
+        out = np.full(len(keys), -1, np.int64)
+        left = np.arange(len(keys))
+        for k, (depth, found) in enumerate(self.levels):
+            at = found((keys[left] >> np.uint64(8)) & np.uint64((1 << 8 * depth) - 1))
+            new = at == -2
+            at[new] = 0 if k == 0 else self.first[k](keys[left[new]] >> np.uint64(8) & np.uint64((1 << 8 * (depth - 1)) - 1))
+            out[left] = at
+            left = left[at == -1]
+        return out
+
+    @property
+    def first(self) -> list[Lookup | None]:
+        """By level, a block under each cut context of the level before."""
+        if not hasattr(self, "_first"):
+            self._first = [None]
+            for depth, found in self.levels[1:]:
+                used = (found.keys != Lookup.FREE) & (found.values >= 0)
+                parents, at = np.unique(found.keys[used] & np.uint64((1 << 8 * (depth - 1)) - 1), return_index=True)
+                self._first.append(Lookup(parents, found.values[used][at], 0))
+        return self._first
+
+
+class StoredModel:
+    """A model in the shared folder, by block."""
+
+    def __init__(self, grams: DataFrame, low: tuple[np.ndarray, np.ndarray], order: int, most: int) -> None:
+        self.low, self.order, self.blocks = low, order, Blocks(grams, order, most)
+        spark, blocks = grams.sparkSession, grams.sparkSession.sparkContext.broadcast(self.blocks)
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = blocks.value(batch.column("gram").to_numpy().view(np.uint64))
+                yield pa.RecordBatch.from_pydict({"block": at, "k": pa.array(np.full(len(at), order, np.int32)), "gram": batch.column("gram"), "n": batch.column("n")})
+
+        rows = grams.select("gram", "n").mapInArrow(place, "block long, k int, gram long, n long")
+        for k in sorted({o for _, o, _ in self.blocks.shared}):
+            asked = spark.createDataFrame([(b, c) for b, o, c in self.blocks.shared if o == k], "block long, context long")
+            some = grams.withColumn("context", F.shiftright("gram", 8).bitwiseAND((1 << 8 * k) - 1)).join(F.broadcast(asked.select("context").distinct()), "context")
+            some = some.groupBy("context", F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("gram")).agg(F.sum("n").alias("n"))
+            rows = rows.unionByName(some.join(F.broadcast(asked), "context").select("block", F.lit(k).alias("k"), "gram", "n"))
+        self.path = fresh_path(spark, "ppm-model")
+        rows.repartition(min(self.blocks.n, 2000), "block").write.partitionBy("block").option("compression", "zstd").parquet(self.path)
+
+    def load(self, block: int) -> ByteModel:
+        fs, path = open_store(f"{self.path}/block={block}")
+        files = [f.path for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)) if f.base_name.endswith(".parquet")]
+        tables = [pq.ParquetFile(fs.open_input_file(f)).read() for f in files]
+        k, gram, n = (np.concatenate([t[c].to_numpy() for t in tables]) if tables else np.zeros(0, np.int64) for c in ("k", "gram", "n"))
+        gram = gram.view(np.uint64)
+        shared = {int(o): (gram[k == o], n[k == o]) for o in np.unique(k) if o < self.order}
+        return ByteModel(gram[k == self.order], n[k == self.order], self.low, self.order, shared)
+
+
+def model_of(grams: DataFrame, order: int = ORDER, most: int = BLOCK_GRAMS) -> ByteModel | StoredModel:
+    low = _distinct(*_arrays(grams.groupBy(F.col("gram").bitwiseAND(0xFFFF).alias("gram")).agg(F.sum("n").alias("n"))))  # 65,536 rows at most
+    if grams.limit(most + 1).count() <= most:
+        return ByteModel(*_arrays(grams), low, order)
+    return StoredModel(grams, low, order, most)
+
+
+def scores_of(model: ByteModel, texts: list[bytes | None]) -> np.ndarray:
+    scores = np.zeros(len(texts))
     for first, part in _parts(texts):
         keys, starts = gram_keys(part, model.order)
-        scores[first : first + len(part)] += np.add.reduceat(model.log10(keys), starts)
+        scores[first : first + len(part)] = np.add.reduceat(model.log10(keys), starts)
     return scores
 
 
-def partly_scored(docs: DataFrame, grams: DataFrame, order: int = ORDER, most: int = BLOCK_GRAMS) -> tuple[DataFrame, object]:
-    """docs (text, ...) with _score0, what all blocks of the model but the last make of each text; and the last, broadcast."""
-    rows, found = docs.withColumn("_score0", F.lit(0.0)), models(grams, order, most)
-    model = next(found)
-    while True:
-        shared = docs.sparkSession.sparkContext.broadcast(model)
-        model = next(found, None)
-        if model is None:
-            return rows, shared
-
-        def make(shared=shared):
-            at = shared.value
-            return lambda texts, before: [add_scores(at, texts, before)]
-
-        rows = settle(with_computed(rows, ["text", "_score0"], "_score double", make, ("_score0",)), "ppm-pass").withColumnRenamed("_score", "_score0")
-
-
-def score(docs: DataFrame, grams: DataFrame, order: int = ORDER, most: int = BLOCK_GRAMS) -> DataFrame:
-    """docs (text, ...) with _score: log10 of the model's probability of each coded text."""
-    rows, last = partly_scored(docs, grams, order, most)
-
-    def make():
-        at = last.value
-        return lambda texts, before: [add_scores(at, texts, before)]
-
-    return with_computed(rows, ["text", "_score0"], "_score double", make, ("_score0",))
-
-
-def _parts(texts: list[str | None], size: int = 1 << 18) -> Iterator[tuple[int, list[bytes]]]:
-    """Runs of texts of about `size` bytes, encoded, and where they begin."""
+def _parts(texts: list[bytes | None], size: int = 1 << 18) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of texts of about `size` bytes, and where they begin."""
     part, held, first = [], 0, 0
     for k, t in enumerate(texts):
-        part.append((t or "").encode() if not isinstance(t, bytes) else t)
+        part.append(t or b"")
         held += len(part[-1])
         if held > size:
             yield first, part
@@ -274,7 +296,7 @@ def _parts(texts: list[str | None], size: int = 1 << 18) -> Iterator[tuple[int,
         yield first, part
 
 
-CHUNK = "chunk long, doc_ids array<long>, held array<boolean>, scores array<double>, ends array<int>, ids binary, tokens array<binary>, counts array<long>"
+CHUNK = "chunk long, doc_ids array<long>, held array<boolean>, scores array<double>, ends array<int>, ids binary, tokens array<binary>, counts array<long>, raw binary"
 
 
 def packed(ids: np.ndarray) -> bytes:
@@ -288,11 +310,23 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(pa.decompress(data[4:], 4 * n, codec="zstd", asbytes=True), np.int32), dtype=np.int64)
 
 
-def pack_chunks(docs: DataFrame, last, size: int = CHUNK_BYTES) -> DataFrame:
-    """(doc_id, text, _held, _score0) -> chunks of documents as ids of their own vocabulary; counts: by token, of training
-    rows; scores: with the model's last block, in the same pass."""
+def _squeezed(texts: list[bytes | None]) -> bytes:
+    """Coded texts, which end in a mark that none holds, in one."""
+    data = b"".join(coded(t) for t in texts)
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _texts(data: bytes) -> list[bytes]:
+    whole = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return whole.split(END)[:-1]
+
+
+def pack_chunks(docs: DataFrame, model: ByteModel | StoredModel, size: int = CHUNK_BYTES) -> DataFrame:
+    """(doc_id, text, _held) -> chunks of documents as ids of their own vocabulary; counts: by token, of training rows;
+    scores: in the same pass, by a model that is broadcast; else raw: the chunk's texts."""
 
     schema = to_arrow_schema(StructType.fromDDL(CHUNK))
+    whole = docs.sparkSession.sparkContext.broadcast(model) if isinstance(model, ByteModel) else None
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = 0
@@ -303,7 +337,7 @@ def pack_chunks(docs: DataFrame, last, size: int = CHUNK_BYTES) -> DataFrame:
                 held = piece.column("_held").to_pylist()
                 texts = piece.column("text").to_pylist()
                 for text in texts:
-                    tokens = [*space_tokens(text.encode() if text else None), END]
+                    tokens = [*space_tokens(text), END]
                     ids.append(np.sort(np.fromiter((known.setdefault(t, len(known)) for t in tokens), np.int32, len(tokens))))
                     at += len(tokens)
                     ends.append(at)
@@ -311,21 +345,69 @@ def pack_chunks(docs: DataFrame, last, size: int = CHUNK_BYTES) -> DataFrame:
                 trained = [x for x, out in zip(ids, held, strict=True) if not out]
                 if trained:
                     counts += np.bincount(np.concatenate(trained), minlength=len(known))
-                row = [(TaskContext.get().partitionId() << 32) + k, piece.column("doc_id").to_pylist(), held, add_scores(last.value, texts, piece.column("_score0").to_pylist()).tolist(), ends, packed(np.concatenate(ids)), list(known), counts.tolist()]
+                scores, raw = (scores_of(whole.value, texts).tolist(), None) if whole else (None, _squeezed(texts))
+                row = [(TaskContext.get().partitionId() << 32) + k, piece.column("doc_id").to_pylist(), held, scores, ends, packed(np.concatenate(ids)), list(known), counts.tolist(), raw]
                 yield pa.RecordBatch.from_arrays([pa.array([x], type=f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
                 k += 1
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "_held", "_score0").mapInArrow(pack, CHUNK)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), "_held").mapInArrow(pack, CHUNK)
+
+
+def _by_block(texts: list[bytes], stored: StoredModel) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct grams ordered by block, their blocks, of each coded byte the place of its gram, and where texts begin."""
+    keys, starts = gram_keys(texts, stored.order)
+    distinct, at = np.unique(keys, return_inverse=True)
+    block = stored.blocks(distinct)
+    order = np.argsort(block, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return distinct[order], block[order], place[at], starts
 
 
-def base_scores(chunks: DataFrame) -> DataFrame:
+def answers_of(chunks: DataFrame, model: StoredModel) -> DataFrame:
+    """Settled chunks -> chunk, told: of the chunk's distinct grams log10 of their probabilities, packed, a block each."""
+    stored = chunks.sparkSession.sparkContext.broadcast(model)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, raw in zip(batch.column("chunk").to_pylist(), batch.column("raw").to_pylist(), strict=True):
+                keys, block, _, _ = _by_block(_texts(raw), stored.value)
+                first = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, np.int64)
+                parts = [keys[i:j].tobytes() for i, j in zip(first, np.append(first[1:], len(keys)), strict=True)]
+                yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk] * len(parts), pa.int64()), "block": pa.array(block[first], pa.int64()), "x": pa.array(parts, pa.binary())})
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, at = None, None
+        for batch in batches:
+            told = []
+            for block, x in zip(batch.column("block").to_pylist(), batch.column("x").to_pylist(), strict=True):
+                if block != now:
+                    now, at = block, None  # the last block's tables go before the next one's come
+                    at = stored.value.load(block)
+                told.append(at.log10(np.frombuffer(x, np.uint64)).tobytes())
+            yield pa.RecordBatch.from_pydict({"chunk": batch.column("chunk"), "block": batch.column("block"), "x": pa.array(told, pa.binary())})
+
+    asked = chunks.select("chunk", "raw").mapInArrow(ask, "chunk long, block long, x binary")
+    n = chunks.count()
+    deals = 1 + n // 1000  # a block is asked by every chunk, so its questions are dealt over tasks as chunks grow in number
+    asked = asked.repartition(int(min(model.blocks.n * deals, 20_000)), "block", F.pmod(F.xxhash64("chunk"), F.lit(deals))).sortWithinPartitions("block")
+    told = settle(asked.mapInArrow(answer, "chunk long, block long, x binary"), "ppm-answers")
+    return told.groupBy("chunk").agg(F.transform(F.array_sort(F.collect_list(F.struct("block", "x"))), lambda x: x["x"]).alias("told"))
+
+
+def base_scores(chunks: DataFrame, model: ByteModel | StoredModel) -> DataFrame:
     """Settled chunks -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     asked = chunks.select("chunk", F.posexplode(F.arrays_zip("tokens", "counts")).alias("pos", "x")).select("chunk", "pos", "x.tokens", "x.counts")
-    token = Window.partitionBy("tokens")
-    told = asked.select("chunk", "pos", F.sum("counts").over(token).alias("c"), (F.col("chunk") == F.min("chunk").over(token)).cast("long").alias("fresh")).filter("c > 0")
-    answers = told.groupBy("chunk").agg(F.collect_list(F.struct("pos", "c")).alias("x"), F.sum("fresh").alias("fresh"))
-    answers = answers.select("chunk", "fresh", F.col("x.pos").alias("pos"), F.col("x.c").alias("c"))
-    own = chunks.select("chunk", "doc_ids", "held", "scores", "ends", "ids", F.size("tokens").alias("kinds"), F.aggregate("counts", F.lit(0).cast("long"), lambda s, n: s + n).alias("trained"))
+    totals = settle(asked.groupBy("tokens").agg(F.sum("counts").alias("c"), F.count("*").alias("n")).filter("c > 0"), "ppm-tokens")
+    sums = totals.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    n, v = int(sums.n), int(sums.v)
+    answers = lookup(asked.select("chunk", "pos", "tokens"), totals, "tokens", "n").filter("c IS NOT NULL")
+    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("pos", "c")).alias("x")).select("chunk", F.col("x.pos").alias("pos"), F.col("x.c").alias("c"))
+    own = chunks.select("chunk", "doc_ids", "held", "scores", "ends", "ids", F.size("tokens").alias("kinds"), "raw").join(answers, "chunk", "left")
+    stored = None
+    if isinstance(model, StoredModel):
+        stored = chunks.sparkSession.sparkContext.broadcast(model)
+        own = own.join(answers_of(chunks, model), "chunk")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,21 +419,24 @@ def base_scores(chunks: DataFrame) -> DataFrame:
                 ids = unpacked(x["ids"].as_py())
                 ends = x["ends"].values.to_numpy().astype(np.int64)
                 starts = np.concatenate([[0], ends[:-1]])
-                once = lambda v: pa.array([v or 0] + [0] * (len(ends) - 1), pa.int64())  # noqa: B023, E731  a chunk's sums, with its first document
+                scores = x["scores"].values
+                if stored is not None:
+                    _, _, place, first = _by_block(_texts(x["raw"].as_py()), stored.value)
+                    told = np.concatenate([np.frombuffer(t, np.float64) for t in x["told"].as_py()])
+                    scores = pa.array(np.add.reduceat(told[place], first))
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": x["doc_ids"].values, "held_out": x["held"].values, "n_tokens": pa.array(ends - starts), "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64)[ids], starts)),
-                    "logs": pa.array(np.add.reduceat(np.log10(c + 1.0)[ids], starts)), "score": x["scores"].values, "fresh": once(x["fresh"].as_py()), "trained": once(x["trained"].as_py()),
+                    "logs": pa.array(np.add.reduceat(np.log10(c + 1.0)[ids], starts)), "score": scores,
                 })
 
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, fresh long, trained long"
-    rows = settle(own.join(answers, "chunk", "left").mapInArrow(measure, schema), "ppm-scores")
-    total = rows.agg(F.coalesce(F.sum("trained"), F.lit(0)).alias("n"), F.coalesce(F.sum("fresh"), F.lit(0)).alias("v")).first()
-    base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(total.n + total.v + 1))
-    return rows.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(total.n)).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    rows = own.mapInArrow(measure, "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double")
+    base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(n + v + 1))
+    return rows.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
 
 def report(docs: DataFrame, order: int = ORDER, most: int = BLOCK_GRAMS) -> DataFrame:
     """One row a document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     rows = docs.select("doc_id", "text", (remainder("doc_id", MOD) == OUT).alias("_held"))
     grams = settle(count_grams(rows.filter(~F.col("_held")).select(F.col("text").cast("binary").alias("text")), order), "ppm-grams")
-    return base_scores(settle(pack_chunks(*partly_scored(rows, grams, order, most)), "ppm-chunks"))
+    model = model_of(grams, order, most)
+    return base_scores(settle(pack_chunks(rows, model), "ppm-chunks"), model)
