@@ -11,8 +11,9 @@ the central directory with ZIP64 extras, then the local header of a member for w
 stored; the index gives ranges within the data member, and only those bytes are read, one record at a time.
 
 Null html is an empty payload. A null page id counts as larger than any: it is the response only if its whole group has
-null ids. Rows that repeat id and payload are alike: those with the group's smallest id are all responses. An empty
-table gives no archives and an empty result.
+null ids. Rows that repeat id and payload are alike: those with the group's smallest id are all responses. Payloads are
+kept byte by byte, whatever their length; a URL's bytes that are no UTF-8 become U+FFFD. Only page_id, url and html are
+read, so other columns can't clash. An empty table gives no archives and an empty result.
 """
 
 from __future__ import annotations
@@ -108,7 +109,7 @@ def write_archives(pages: DataFrame, folder: str, records: int = RECORDS) -> Dat
             def some() -> Iterator[tuple]:
                 nonlocal row, left
                 while row is not None and left:
-                    yield whole(row.page_id), row.url, bytes(row.payload), row.digest, row.kind, whole(row.refers_to)
+                    yield whole(row.page_id), None if row.url is None else bytes(row.url).decode("utf-8", "replace"), bytes(row.payload), row.digest, row.kind, whole(row.refers_to)
                     row, left = next(held, None), left - 1
 
             with writing(folder, name) as out:
@@ -117,7 +118,7 @@ def write_archives(pages: DataFrame, folder: str, records: int = RECORDS) -> Dat
             k += 1
 
     # Ids travel as strings: pandas would turn integers among nulls into floats.
-    rows = annotated(pages).withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")})
+    rows = annotated(pages).withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")}).withColumn("url", F.col("url").cast("binary"))
     return settle(rows.mapInPandas(write, "path string, records long"), "warc-list")
 
 
@@ -257,7 +258,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
         # Column by column: ids among nulls must not pass through floats.
         return pd.DataFrame({n: pd.array(list(c), "Int64") if n in ("page_id", "refers_to", "payload_bytes") else pd.Series(list(c), dtype=object) for n, c in zip(names, columns, strict=True)})
 
-    n = max(1, archives.count())
+    n = min(max(1, archives.count()), 10_000)
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
     return archives.select("path").repartition(n, F.col("path")).mapInPandas(read, schema)
 
