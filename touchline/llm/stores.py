@@ -30,8 +30,9 @@ def join(folder: str, name: str) -> str:
 def writing(folder: str, name: str):
     """An output stream of a new file in the folder."""
     fs, path = open_store(folder)
-    fs.create_dir(path, recursive=True)
-    with fs.open_output_stream(join(path, name)) as out:
+    whole = join(path, name)
+    fs.create_dir(whole.rpartition("/")[0], recursive=True)
+    with fs.open_output_stream(whole) as out:
         yield out
 
 
@@ -64,6 +65,13 @@ def names(spark: SparkSession, uri: str) -> list[str]:
     return sorted(x.getPath().getName() for x in fs.listStatus(path)) if fs.exists(path) else []
 
 
+def write_text(spark: SparkSession, uri: str, text: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def read_text(spark: SparkSession, uri: str) -> str:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
     stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
