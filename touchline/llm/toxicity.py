@@ -1,22 +1,28 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two byte models over words, one of toxic and one of ordinary documents. At the highest order each class has its own
-counts, discounted as Kneser and Ney do; below it both share one back-off model of continuation counts, pooled over the
-classes, so that an expression too rare in either class is given nearly the same probability by both and decides
-nothing. A word's evidence e is the difference of its log-likelihoods. A toxic document is mostly ordinary words, so each
-distinct word counts as log(1 - SHARE + SHARE * exp(e)); a document's features are the sum of these over its distinct
-words, normalised by their number and by its root (so that a few insults count in a long text). A logistic calibration of these on labelled rows that the counts have not seen turns them into a score from 0 to 1.
-
-Labels are learnt from at most SAMPLE rows of each class; that bound is a parameter. Counting and calibration run on the
-executors; the driver gets the gram counts of the sample and its documents' features. Every text is scored whole, and
-its language, source and id are no inputs. Null and empty texts have no evidence and get the calibration's intercept.
-Without labelled rows of both classes all scores are the share of toxic rows (0 without any).
+P(word | word before, class) is a Kneser-Ney bigram of words that backs off to a byte model of the word, so expressions of
+several words count where the sample has them and spellings never seen still do. At the byte model's highest order (ORDER
+bytes, anchored at the word's start) each class has its own counts; below it both share one back-off model of continuation
+counts pooled over the classes, so that what is too rare in either class is given nearly the same probability by both
+and decides nothing. Discounts of counts of one, two, and three or more are estimated from the counts of counts.
+
+A word's evidence is the difference of its log-likelihoods. A document has four features: the length-normalised
+difference itself (a word), and, since a toxic document is mostly ordinary words, sums over its distinct words of
+log(1 - SHARE + SHARE * exp(a word's greatest evidence)): of spellings by their number and by its root (so that a few
+insults count in a long text), and of words after words by its root. A logistic calibration on labelled rows that the counts have not seen turns them into a score from
+0 to 1.
+
+Labels are learnt from a sample bounded in rows and bytes (labelled_sample), both parameters; the driver gets the
+sample's bigram counts and the features of its calibration rows. All tables are packed arrays of 64-bit hashes. Every
+text is scored whole; its language, source and id are no inputs. Null and empty texts have no evidence and get the
+calibration's intercept. Bytes that are no UTF-8 are parts of words. Rows are scored on their own: repeated rows alike, an
+empty table gives an empty result. Without labelled rows of both classes all scores are the share of toxic rows (0
+without any).
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,168 +30,270 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_computed, words
-from .learning import held_out, labelled_sample, logistic, sigmoid
+from .common import own, unused, with_computed, words
+from .learning import SAMPLE_BYTES, held_out, labelled_sample, logistic, sigmoid
+from .tables import Lookup
 
-ORDER, BACK = 12, 6
+ORDER, BACK = 12, 11
 SHARE = 0.02
-#: Contexts that the sample holds less often count as unseen.
-LEAST_CONTEXT = 2
 SAMPLE = 2_000
-#: Discounts of counts of none, one, two, and three or more.
-DISCOUNTS = (0.0, 0.9, 1.2, 1.4)
+MOST_EVIDENCE = 30.0
 MOD, OUT, THRESHOLD = 5, 0, 0.5
-
-
-def framed(word: bytes) -> bytes:
-    """A word between its start and end marks (0x20 and 0x0A, which no word holds)."""
-    return b" " + word + b"\n"
-
-
-def grams(word: bytes, order: int = ORDER) -> list[bytes]:
-    """For each byte after the start mark: it and at most order - 1 bytes before it."""
-    w = framed(word)
-    return [w[max(0, k - order + 1) : k + 1] for k in range(1, len(w))]
-
-
-def discounted(n: int) -> float:
-    return n - DISCOUNTS[min(n, 3)]
-
-
-def _contexts(counts: dict[bytes, int]) -> dict[bytes, tuple[int, float]]:
-    """Of each context: its count and what the discounts take from it for the back-off."""
-    total, taken = defaultdict(int), defaultdict(float)
-    for g, n in counts.items():
-        total[g[:-1]] += n
-        taken[g[:-1]] += DISCOUNTS[min(n, 3)]
-    return {c: (n, taken[c]) for c, n in total.items()}
-
-
-def log_ratios(counts: tuple[dict[bytes, int], dict[bytes, int]]) -> tuple[dict[bytes, float], dict[bytes, float]]:
-    """log P(byte | context, toxic) - log P(byte | context, ordinary), of the grams either class has seen, and of the
-    contexts, for bytes that neither has seen there: then both fall back on the same probability, and only what they
-    give to it differs."""
-    total = tuple(_contexts(c) for c in counts)
-    total = tuple({c: x for c, x in t.items() if x[0] + total[1 - k].get(c, (0,))[0] >= LEAST_CONTEXT} for k, t in enumerate(total))
-    lower: Counter[bytes] = Counter()  # continuation counts, pooled over the classes, of BACK bytes at most
-    every = set(counts[0]) | set(counts[1])
-    seen = Counter(g[1:][-BACK:] for g in every if len(g) > 1)
-    every = sorted(g for g in every if g[:-1] in total[0] or g[:-1] in total[1])
-    while seen:
-        lower.update(seen)
-        seen = Counter(g[1:] for g in seen if len(g) > 1)
-    lower_total = _contexts(lower)
-
-    def shared(gram: bytes) -> float:
-        p = 1 / 256
-        for k in range(len(gram) - 1, -1, -1):
-            n, taken = lower_total.get(gram[k:-1], (0, 0.0))
-            if n:
-                p = (discounted(lower.get(gram[k:], 0)) + taken * p) / n
-        return p
-
-    of_gram = {}
-    for g in every:
-        back, p = shared(g[1:][-BACK:]), []
-        for c in (0, 1):
-            n, taken = total[c].get(g[:-1], (0, 0.0))
-            p.append((discounted(counts[c].get(g, 0)) + taken * back) / n if n else back)
-        of_gram[g] = math.log(p[1] / p[0])
-    left = [{c: taken / n for c, (n, taken) in t.items()} for t in total]
-    of_context = {c: math.log(left[1].get(c, 1.0) / left[0].get(c, 1.0)) for c in left[0].keys() | left[1].keys()}
-    return of_gram, of_context
+#: Marks around a word and the word before the first; no word holds them.
+START, END = b" ", b"\n"
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    return h ^ (h >> np.uint64(29))
+
+
+class Framed:
+    """Words between their marks as one buffer, with hashes of any run of bytes within a word."""
+
+    def __init__(self, listed: list[bytes]) -> None:
+        data = np.frombuffer(START + (END + START).join(listed) + END, np.uint8) if listed else np.zeros(0, np.uint8)
+        sizes = np.fromiter((len(w) + 2 for w in listed), np.int64, len(listed))
+        ends = np.cumsum(sizes)
+        self.data, self.starts = data, ends - sizes
+        self.place = np.arange(len(data)) - np.repeat(self.starts, sizes)
+        self.word = np.repeat(np.arange(len(listed)), sizes)
+        self.coded = np.flatnonzero(self.place > 0)  # every byte after a start mark is predicted
+        self.powers = np.full(ORDER + 2, _BASE, np.uint64)
+        self.powers[0] = 1
+        self.powers = np.multiply.accumulate(self.powers)
+
+    def runs(self, last: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+        """Hashes of the n (at most ORDER) bytes that end with position last, by position and length."""
+        n = np.broadcast_to(np.asarray(n, np.int64), last.shape)
+        h = n.astype(np.uint64)
+        for k in range(int(n.max(initial=0))):
+            inside = n > k
+            h = h + np.where(inside, (self.data[np.maximum(last - k, 0)].astype(np.uint64) + np.uint64(1)) * self.powers[k + 1], np.uint64(0))
+        return _mixed(h)
+
+    def hashes(self) -> np.ndarray:
+        """One hash a word, of all its bytes."""
+        if not len(self.starts):
+            return np.zeros(0, np.uint64)
+        with np.errstate(over="ignore"):
+            h = (self.data.astype(np.uint64) + np.uint64(1)) * _mixed(self.place.astype(np.uint64) + np.uint64(0x51ED27))
+        return _mixed(np.add.reduceat(_mixed(h), self.starts))
+
+
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return _mixed(before * np.uint64(0xD6E8FEB86659FD93) ^ word)
+
+
+#: The hash of "no word before".
+FIRST = np.uint64(0x1F0E3DAD99908345)
+
+
+def discounts(counts: np.ndarray) -> np.ndarray:
+    """What counts of 0, 1, 2 and 3 or more lose, from the counts of counts (Chen and Goodman's estimate, kept in (0, count))."""
+    n1, n2, n3, n4 = (float((counts == k).sum()) for k in (1, 2, 3, 4))
+    y = n1 / (n1 + 2 * n2) if n1 else 0.5
+    told = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
+    return np.array([0.0, *(min(max(d, 0.1), k - 0.05) for d, k in zip(told, (1, 2, 3), strict=True))])
+
+
+class Level:
+    """Discounted counts by gram, and total and what discounts free by context, as sorted arrays."""
+
+    def __init__(self, grams: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> None:
+        """Distinct grams with a context and a count each (counts of 0 hold nothing)."""
+        some = counts > 0
+        grams, contexts, counts = grams[some], contexts[some], counts[some]
+        d = discounts(counts)[np.minimum(counts, 3)]
+        order = np.argsort(grams)
+        self.grams, self.left = grams[order], (counts - d)[order]
+        self.contexts, at = np.unique(contexts, return_inverse=True)
+        self.total = np.bincount(at, counts, len(self.contexts))
+        self.free = np.bincount(at, d, len(self.contexts))
+
+    @staticmethod
+    def _find(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(keys, asked), max(len(keys) - 1, 0))
+        return at, keys[at] == asked if len(keys) else np.zeros(len(asked), bool)
+
+    def share(self, contexts: np.ndarray) -> np.ndarray:
+        """The share left to the back-off: 1 in unseen contexts."""
+        at, known = self._find(self.contexts, contexts)
+        return np.where(known, self.free[at] / self.total[at], 1.0) if len(self.contexts) else np.ones(len(contexts))
+
+    def p(self, grams: np.ndarray, contexts: np.ndarray, back: np.ndarray) -> np.ndarray:
+        """Probability of each gram's last element after its context, given that of the back-off."""
+        if not len(self.grams):
+            return back
+        c, known = self._find(self.contexts, contexts)
+        g, seen = self._find(self.grams, grams)
+        return np.where(known, (np.where(seen, self.left[g], 0.0) + self.free[c] * back) / np.where(known, self.total[c], 1.0), back)
 
 
 class Evidence:
-    """What words tell of a document's class, from the tables of log_ratios."""
-
-    def __init__(self, of_gram: dict[bytes, float], of_context: dict[bytes, float]) -> None:
-        self.of_gram, self.of_context, self.memo = of_gram, of_context, {}
-
-    def log_ratio(self, word: bytes) -> float:
-        """log P(word | toxic) - log P(word | ordinary)."""
-        w, total = framed(word), 0.0
-        for k in range(1, len(w)):
-            g = w[max(0, k - ORDER + 1) : k + 1]
-            x = self.of_gram.get(g)
-            if x is None:
-                x = self.of_context.get(g[:-1])
-            total += x or 0.0  # an unseen context tells nothing
-        return total
-
-    def weight(self, word: bytes) -> float:
-        """log(1 - SHARE + SHARE * likelihood ratio), remembered."""
-        if len(self.memo) >= 100_000:
+    """What words tell of a document's class: the tables of log-likelihood differences."""
+
+    def __init__(self, listed: list[bytes], before: np.ndarray, word: np.ndarray, counts: np.ndarray) -> None:
+        """listed: the sample's distinct words; before and word: bigrams as places in it (-1: none before); counts: theirs by
+        class (a row each)."""
+        framed, self.memo = Framed(listed), {}
+        hashes = framed.hashes()
+        by_word = np.stack([np.bincount(word, counts[:, c], len(listed)) for c in (0, 1)]) if len(listed) else np.zeros((2, 0))
+        at = framed.coded
+        n = np.minimum(framed.place[at] + 1, ORDER)
+        top, context = framed.runs(at, n), framed.runs(at - 1, n - 1)
+        # The shared back-off: of each run of up to BACK bytes, how many different bytes (or none) stand before it.
+        lower = np.full(len(at), 1 / 256)
+        for k in range(1, BACK + 1):
+            there = np.flatnonzero(n - 1 >= k)
+            last = at[there]
+            run, its_context = framed.runs(last, k), framed.runs(last - 1, k - 1)
+            ahead = np.where(framed.place[last] >= k, framed.data[np.maximum(last - k, 0)].astype(np.uint64) + np.uint64(1), np.uint64(0))
+            _, first = np.unique(pair_keys(run, ahead), return_index=True)
+            kinds, one, times = np.unique(run[first], return_index=True, return_counts=True)
+            lower[there] = Level(kinds, its_context[first][one], times).p(run, its_context, lower[there])
+        grams, first, of = np.unique(top, return_index=True, return_inverse=True)
+        levels = [Level(grams, context[first], np.bincount(of, by_word[c][framed.word[at]], len(grams)).astype(np.int64)) for c in (0, 1)]
+        p = [x.p(grams, context[first], lower[first]) for x in levels]
+        told = np.log(p[1] / p[0])
+        self.of_gram = Lookup(grams, told.astype(np.float32), np.nan)
+        contexts = np.unique(context)
+        self.of_context = Lookup(contexts, np.log(levels[1].share(contexts) / levels[0].share(contexts)).astype(np.float32), 0.0)
+        # Words after words: the byte model is the back-off of each class.
+        spelt = [np.exp(np.bincount(framed.word[at], np.log(x[of]), len(listed))) if len(listed) else np.zeros(0) for x in p]
+        previous = np.where(before < 0, FIRST, hashes[np.maximum(before, 0)]) if len(listed) else np.zeros(0, np.uint64)
+        pairs = pair_keys(previous, hashes[word]) if len(listed) else np.zeros(0, np.uint64)
+        pooled, both = Level(pairs, previous, counts.sum(1)), [Level(pairs, previous, counts[:, c]) for c in (0, 1)]
+        q = [x.p(pairs, previous, pooled.p(pairs, previous, s[word])) for x, s in zip(both, spelt, strict=True)]
+        self.of_pair = Lookup(pairs, np.log(q[1] / q[0]).astype(np.float32), np.nan)
+        contexts = np.unique(previous)
+        self.of_previous = Lookup(contexts, np.log(both[1].share(contexts) / both[0].share(contexts)).astype(np.float32), 0.0)
+
+    def spelling(self, listed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word its hash and log P(word | toxic) - log P(word | ordinary), by its bytes alone."""
+        framed = Framed(listed)
+        at = framed.coded
+        n = np.minimum(framed.place[at] + 1, ORDER)
+        told = self.of_gram(framed.runs(at, n)).astype(np.float64)
+        new = np.flatnonzero(np.isnan(told))
+        told[new] = self.of_context(framed.runs(at[new] - 1, n[new] - 1))
+        return framed.hashes(), np.bincount(framed.word[at], told, len(listed))
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"memo": {}}
+
+    def _known(self, listed: list[list[bytes]]) -> dict[bytes, tuple[int, float]]:
+        """hash and spelling of all words of some texts, remembered."""
+        if len(self.memo) > 200_000:
             self.memo.clear()
-        self.memo[word] = x = math.log1p(SHARE * math.expm1(min(self.log_ratio(word), 30)))
-        return x
-
-    def features(self, text: bytes | None) -> tuple[float, float]:
-        distinct = set(words(text))
-        if not distinct:
-            return 0.0, 0.0
-        known, missing = self.memo.get, self.weight
-        total = math.fsum([missing(w) if (x := known(w)) is None else x for w in distinct])
-        return 20 * total / len(distinct), total / len(distinct) ** 0.5
-
-
-def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        new = sorted(set().union(*listed) - self.memo.keys())
+        for k in range(0, len(new), 50_000):
+            part = new[k : k + 50_000]
+            hashes, told = self.spelling(part)
+            self.memo.update(zip(part, zip(hashes.tolist(), told.tolist(), strict=True), strict=True))
+        return self.memo
+
+    def features(self, texts: list[bytes | None]) -> np.ndarray:
+        """A row a text: the difference of the log-likelihoods a word, and three sums over distinct words."""
+        out = np.zeros((len(texts), 4))
+        for first, listed in _parts([words(t) for t in texts]):
+            sizes = np.array([len(w) for w in listed])
+            if not sizes.any():
+                continue
+            memo = self._known(listed)
+            both = [memo[w] for one in listed for w in one]
+            hashes = np.fromiter((x[0] for x in both), np.uint64, len(both))
+            spelt = np.fromiter((x[1] for x in both), np.float64, len(both))
+            of = np.repeat(np.arange(len(listed)), sizes)
+            previous = np.concatenate([[FIRST], hashes[:-1]])
+            previous[(np.cumsum(sizes) - sizes)[sizes > 0]] = FIRST
+            told = self.of_pair(pair_keys(previous, hashes)).astype(np.float64)
+            new = np.flatnonzero(np.isnan(told))
+            told[new] = spelt[new] + self.of_previous(previous[new])
+            some = sizes > 0
+            here = out[first : first + len(listed)]
+            here[some, 0] = np.bincount(of, told, len(listed))[some] / sizes[some]
+            for column, evidence in ((1, spelt), (3, told)):
+                order = np.lexsort((evidence, hashes, of))
+                last = np.append((hashes[order][1:] != hashes[order][:-1]) | (of[order][1:] != of[order][:-1]), True)
+                chosen = order[last]  # of each distinct word of a text its greatest evidence
+                weight = np.log1p(SHARE * np.expm1(np.minimum(evidence[chosen], MOST_EVIDENCE)))
+                sums, kinds = np.bincount(of[chosen], weight, len(listed))[some], np.bincount(of[chosen], minlength=len(listed))[some]
+                if column == 1:
+                    here[some, 1] = 20 * sums / kinds
+                here[some, 3 if column == 3 else 2] = sums / np.sqrt(kinds)
+        return out
+
+
+def _parts(listed: list[list[bytes]], most: int = 200_000) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """Runs of texts of about `most` words, and where they begin."""
+    first, held = 0, 0
+    for k, one in enumerate(listed):
+        held += len(one)
+        if held > most or k + 1 == len(listed):
+            yield first, listed[first : k + 1]
+            first, held = k + 1, 0
+
+
+def _count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     seen = (Counter(), Counter())
     for batch in batches:
         for label, text in zip(batch["label"], batch["text"], strict=True):
-            for word, n in Counter(words(text)).items():
-                for g in grams(word):
-                    seen[label][g] += n
+            w = words(text)
+            seen[label].update(set(zip([b"", *w], w, strict=False)))
     for label in (0, 1):
-        yield pd.DataFrame({"label": label, "gram": list(seen[label]), "n": list(seen[label].values())})
-
+        keys = list(seen[label])
+        yield pd.DataFrame({"label": label, "before": [k[0] for k in keys], "word": [k[1] for k in keys], "n": list(seen[label].values())})
 
-def _measurer(model):
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at = model.value
-        for batch in batches:
-            found = [at.features(t) for t in batch["text"]]
-            yield batch.drop(columns="text").assign(mean=[x[0] for x in found], root=[x[1] for x in found])
 
-    return measure
+def learnt(sample: DataFrame) -> Evidence | None:
+    """sample (label, text binary) -> the models; None where a class has no words."""
+    counted = sample.select("label", "text").mapInPandas(_count_pairs, "label int, before binary, word binary, n long")
+    rows = counted.groupBy("before", "word").agg(*(F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1))).toArrow()
+    counts = np.column_stack([rows["n0"].to_numpy(), rows["n1"].to_numpy()]).astype(np.int64).reshape(-1, 2)
+    if not counts.sum(0).all():
+        return None
+    spellings = rows["word"].combine_chunks().dictionary_encode()
+    listed = spellings.dictionary.to_pylist()
+    place = {w: k for k, w in enumerate(listed)}
+    before = np.fromiter((place.get(b, -1) for b in rows["before"].to_pylist()), np.int64, rows.num_rows)
+    return Evidence(listed, before, spellings.indices.to_numpy().astype(np.int64), counts)
 
 
-def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE) -> tuple[Evidence, np.ndarray] | float:
+def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> tuple[Evidence, np.ndarray] | float:
     """The models and the calibration's weights; or the share of toxic rows where one class is missing."""
-    sample = labelled_sample(docs, labels, "toxic", MOD, OUT, each).withColumn("text", F.col("text").cast("binary"))
-    counted = sample.filter("part > 0").mapInPandas(_count_grams, "label int, gram binary, n long")
-    counts: tuple[dict, dict] = ({}, {})
-    for batch in counted.groupBy("label", "gram").agg(F.sum("n").alias("n")).toArrow().to_batches():
-        for label, gram, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            counts[label][gram] = n
-    if not counts[0] or not counts[1]:
-        return float(bool(counts[1]))
-    model = Evidence(*log_ratios(counts))
+    sample = labelled_sample(docs, labels, "toxic", MOD, OUT, each, most_bytes)
+    model = learnt(sample.filter("part > 0"))
+    if model is None:
+        told = sample.agg(F.avg("label")).first()[0]
+        return float(told or 0.0)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rest = sample.filter("part = 0").select("label", "text").mapInPandas(_measurer(shared), "label int, mean double, root double").toPandas()
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at = shared.value
+        for batch in batches:
+            yield pd.DataFrame({"label": batch["label"], "x": at.features(batch["text"].to_list()).tolist()})
+
+    rest = sample.filter("part = 0").select("label", "text").mapInPandas(measure, "label int, x array<double>").toPandas()
     if rest["label"].nunique() < 2:
-        return model, np.array([3.0, 6.0, -5.0])
-    return model, logistic(rest[["mean", "root"]].to_numpy(), rest["label"].to_numpy(float), l2=0.1)
+        return model, np.array([0.0, 4.0, 4.0, 4.0, -6.0])
+    return model, logistic(np.array(rest["x"].to_list()), rest["label"].to_numpy(float), l2=0.1)
 
 
-def score(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, drop: tuple[str, ...] = ()) -> DataFrame:
-    """docs (doc_id, text, ...) with _score, a reserved name, and without the columns to drop."""
+def score(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, drop: tuple[str, ...] = (), out: str = "_score") -> DataFrame:
+    """docs (doc_id, text, ...) with a column out, which docs must not have, and without the columns to drop."""
     fitted = fit(docs, labels, each)
-    docs = docs.drop("_score")
     if isinstance(fitted, float):
-        return docs.drop(*drop).withColumn("_score", F.lit(fitted))
+        return docs.drop(*drop).withColumn(out, F.lit(fitted))
     shared = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def make():
         model, weights = shared.value
+        return lambda texts: [sigmoid(model.features(texts) @ weights[:-1] + weights[-1])]
 
-        def run(texts: list[str | None]) -> list:
-            found = np.array([model.features(t.encode() if t else None) for t in texts]).reshape(-1, 2)
-            return [sigmoid(found @ weights[:-1] + weights[-1])]
-
-        return run
-
-    return with_computed(docs, ["text"], "_score double", make, drop)
+    return with_computed(docs, ["text"], f"`{out}` double", make, drop)
 
 
 def report(docs: DataFrame, labels: DataFrame, each: int = SAMPLE) -> DataFrame:
@@ -196,4 +304,5 @@ def report(docs: DataFrame, labels: DataFrame, each: int = SAMPLE) -> DataFrame:
 
 def ordinary(docs: DataFrame, labels: DataFrame, each: int = SAMPLE) -> DataFrame:
     """The documents that score below the threshold, with their own columns."""
-    return score(docs, labels, each).filter(F.col("_score") < THRESHOLD).select(*docs.columns)
+    out = unused(docs, "_score") + "_score"
+    return score(docs, labels, each, out=out).filter(F.col(out) < THRESHOLD).select(*own(docs))
