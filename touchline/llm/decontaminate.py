@@ -10,8 +10,10 @@ Words are kept as ids of the benchmark's own vocabulary, so a window is compared
 broadcast; its size is checked, and a benchmark beyond INDEX_WORDS is joined in blocks of at most so many words, each
 block reading what the last one left (in the shared folder) and adding to the hits.
 
-Null texts, empty texts and texts without words have no windows and no hits; items without words never match. Repeated
-documents get repeated rows. Items with one id count as one item in n_items. Null item ids are left out of the item list.
+Null texts, empty texts and texts without words have no windows and no hits; items without words never match. Bytes that
+are no UTF-8 are parts of words. Texts are searched whole. Repeated documents get repeated rows, and an empty table gives
+an empty one. Items with one id count as one item in n_items. Null item ids are left out of the item list. Columns of any
+name pass through clean(); decontaminate() takes a prefix for its own.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle, with_computed, words
+from .common import own, settle, unused, with_computed, words
 
 WINDOW = 10
 #: Benchmark words a broadcast index may hold: about 100 MB in a Python worker.
@@ -102,20 +104,27 @@ def blocks(benchmark: DataFrame, most: int = INDEX_WORDS) -> Iterator[list[tuple
         yield block
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: int = INDEX_WORDS, drop: tuple[str, ...] = ()) -> DataFrame:
-    """docs (text, ...), without the columns to drop, plus _n_words, _hits (merged starts and ends, in words) and _items (item ids); these names are reserved."""
+NAMES = ("_n_words", "_hits", "_items")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: int = INDEX_WORDS, drop: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
+    """docs (text, ...), without the columns to drop, plus _n_words, _hits (merged starts and ends, in words) and _items (item
+    ids), with the prefix before their names; docs must not have columns of these names."""
     sc = docs.sparkSession.sparkContext
-    out, inputs, added = docs, ["text", "_hits0", "_items0"], "_n_words long, _hits array<int>, _items array<string>"
+    now = [prefix + n for n in NAMES]
+    ddl = ", ".join(f"`{n}` {t}" for n, t in zip(now, ("long", "array<int>", "array<string>"), strict=True))
+    before = unused(docs, *now, "_hits0", "_items0")
+    old = (before + "_hits0", before + "_items0")
     found: Iterator = blocks(benchmark, most)
     block: list | None = next(found, [])
-    out = out.withColumns({"_hits0": F.array().cast("array<int>"), "_items0": F.array().cast("array<string>")})
+    out = docs.withColumns({old[0]: F.array().cast("array<int>"), old[1]: F.array().cast("array<string>")})
     while block is not None:
         vocabulary = frozenset(w for _, text in block for w in words(text))
         index = sc.broadcast(WindowIndex(block, vocabulary_counts(docs, vocabulary) if vocabulary else {}, size))
         block = next(found, None)
-        out = with_computed(out, inputs, added, _matcher(index), ("_hits0", "_items0", *(drop if block is None else ())))
+        out = with_computed(out, ["text", *old], ddl, _matcher(index), (*old, *(drop if block is None else ())))
         if block is not None:
-            out = settle(out, "decontaminate").withColumnsRenamed({"_hits": "_hits0", "_items": "_items0"})
+            out = settle(out, "decontaminate").drop(now[0]).withColumnsRenamed(dict(zip(now[1:], old, strict=True)))
     return out
 
 
@@ -123,13 +132,13 @@ def _matcher(index):
     def make():
         at = index.value
 
-        def match(texts: list[str | None], hits: list[list[int]], items: list[list[str]]) -> list[list]:
+        def match(texts: list[bytes | None], hits: list[list[int]], items: list[list[str]]) -> list[list]:
             out: list[list] = [[], [], []]
-            for text, old, had in zip(texts, hits, items, strict=True):
-                tokens = words(text.encode()) if text else []
+            for text, had_hits, had in zip(texts, hits, items, strict=True):
+                tokens = words(text)
                 spans, found = at.find(tokens)
                 out[0].append(len(tokens))
-                out[1].append(merged([*zip(old[::2], old[1::2], strict=True), *spans]))
+                out[1].append(merged([*zip(had_hits[::2], had_hits[1::2], strict=True), *spans]))
                 out[2].append(sorted({*had, *(str(x) for x in found if x is not None)}))
             return out
 
@@ -166,4 +175,5 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFra
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents without any benchmark window, with their own columns."""
-    return decontaminate(docs, benchmark, size).filter(F.size("_hits") == 0).select(*docs.columns)
+    prefix = unused(docs, *NAMES)
+    return decontaminate(docs, benchmark, size, prefix=prefix).filter(F.size(prefix + "_hits") == 0).select(*own(docs))
