@@ -5,9 +5,11 @@ to be near normal. Each class has a mean and a covariance, shrunk towards the po
 diagonal; a score is the logistic of the difference of the Gaussian log-densities, by Mahalanobis distances from the
 classes' cached Cholesky factors, tempered by a calibration on labelled rows that the covariances have not seen.
 
-Labels are learnt from at most SAMPLE rows of each class; that bound is a parameter. The driver gets the sample's
-statistics (a few MB), never texts. Language, source and id are no inputs. Null and empty texts are described as texts
-without words, and score by the same rule. Without labelled rows of both classes all scores are the share of good rows
+Labels are learnt from a sample bounded in rows (SAMPLE a class) and bytes (labelled_sample), both parameters. The driver
+gets the sample's statistics (a few MB), never texts. Language, source and id are no inputs. Statistics are of bytes, so
+texts that are no UTF-8 are described like others. Null and empty texts are described as texts without words, and score
+by the same rule. Texts are read whole. Rows are scored on their own: repeated rows alike, an empty table gives an empty
+result. Without labelled rows of both classes all scores are the share of good rows
 (0 without any).
 """
 
@@ -98,7 +100,7 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE) -> tuple[Discrim
         for batch in batches:
             yield batch.drop(columns="text").assign(x=[statistics(t) for t in batch["text"]])
 
-    sample = labelled_sample(docs, labels, "quality", MOD, OUT, each).withColumn("text", F.col("text").cast("binary"))
+    sample = labelled_sample(docs, labels, "quality", MOD, OUT, each)
     rows = sample.select("label", "part", "text").mapInPandas(measure, "label int, part int, x array<double>").toPandas()
     if rows["label"].nunique() < 2:
         return float(rows["label"].mean()) if len(rows) else 0.0
@@ -109,24 +111,23 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE) -> tuple[Discrim
     return model, logistic(tempered(model.log_ratio(x[rest]))[:, None], y[rest].astype(float), l2=0.1)
 
 
-def score(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, drop: tuple[str, ...] = ()) -> DataFrame:
-    """docs (doc_id, text, ...) with _score, a reserved name, and without the columns to drop."""
+def score(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, drop: tuple[str, ...] = (), out: str = "_score") -> DataFrame:
+    """docs (doc_id, text, ...) with a column out, which docs must not have, and without the columns to drop."""
     fitted = fit(docs, labels, each)
-    docs = docs.drop("_score")
     if isinstance(fitted, float):
-        return docs.drop(*drop).withColumn("_score", F.lit(fitted))
+        return docs.drop(*drop).withColumn(out, F.lit(fitted))
     shared = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def make():
         model, weights = shared.value
 
-        def run(texts: list[str | None]) -> list:
-            x = np.array([statistics(t.encode() if t else None) for t in texts]).reshape(-1, len(NAMES))
+        def run(texts: list[bytes | None]) -> list:
+            x = np.array([statistics(t) for t in texts]).reshape(-1, len(NAMES))
             return [sigmoid(tempered(model.log_ratio(x)) * weights[0] + weights[1])]
 
         return run
 
-    return with_computed(docs, ["text"], "_score double", make, drop)
+    return with_computed(docs, ["text"], f"`{out}` double", make, drop)
 
 
 def report(docs: DataFrame, labels: DataFrame, each: int = SAMPLE) -> DataFrame:
