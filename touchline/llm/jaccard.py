@@ -11,17 +11,18 @@ by the hash of the set. Two nodes link at a similarity of 4/5 or more. The steps
    whole parts. Exact copies are dropped where they meet, first in a task.
 2. Leaves. The nodes that share a signature are put in clusters, each with the OR of its bitmaps and its range of sizes;
    a node gets an edge to each cluster that it could link with a member of, by the largest possible overlap. Signatures
-   with more than SLICE nodes are clustered by slices, then the slices' clusters with one another.
+   with more than SLICE nodes are clustered by slices, then the slices' clusters with one another, a task a pair of slices.
    Candidate groups are the components of these edges: a link never leaves one.
 3. Verification: the sets of each group meet in a task, and a signature tree joins them: nodes hold the OR of their
    sets' bitmaps and their range of sizes, and the dual traversal drops a pair of nodes if the sizes are too far apart
    or the bits they share, with what bit collisions may hide, can't make the overlap. Pairs already connected are
-   skipped; the others are counted exactly. Groups beyond GROUP_ITEMS shingles are dealt in slices, a task a pair of
-   slices.
+   skipped; the others are counted exactly. Groups beyond CUT_ITEMS shingles are dealt in slices, a task a pair of
+   slices: in a few, and beyond GROUP_ITEMS in as many as keep a task below that.
 4. The components of the verified links give every document the smallest id it reaches.
 
-Texts are read whole. Documents without words are linked with nothing. Rows with a null id get their set's size but no
-component and link nothing. Rows of one id with different texts are nodes of their own. Repeated rows get repeated results; an empty table gives an empty one. Shingles and sets count as equal if their 64-bit hashes are.
+Texts are read whole, as bytes. Documents without words are linked with nothing. Rows with a null id get their set's size
+but no component and link nothing. Rows of one id with different texts are nodes of their own. Repeated rows get
+repeated results; an empty table gives an empty one. Shingles and sets count as equal if their 64-bit hashes are.
 """
 
 from __future__ import annotations
@@ -38,14 +39,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import BROADCAST_ROWS, lookup, settle, space_tokens, with_computed
+from .common import discard, is_small, lookup, own, settle, space_tokens, with_computed
 from .components import components
 
 WORDS = 5
 #: Sets up to this size use prefixes only; the size classes begin here.
 SMALL = 40
 SIGNATURES_A_BUCKET = 1_000_000
-GROUP_ITEMS = 3_000_000
+#: Shingles of a verification task at most, and from which on a candidate group is dealt over several tasks.
+GROUP_ITEMS, CUT_ITEMS = 3_000_000, 200_000
 FANOUT = 8
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -276,7 +278,7 @@ def candidate_edges(docs: DataFrame, buckets: int) -> DataFrame:
     met = settle(docs.mapInArrow(sign, "bucket int, x binary, y binary").groupBy("bucket").applyInArrow(meet, _MET), "jaccard-signatures")
     runs = met.filter("run IS NOT NULL").select("run", "nodes").dropDuplicates(["run"])
     parts = F.ceil(F.size("nodes") / SLICE).cast("int")
-    members = runs.select("run", parts.alias("slices"), F.explode("nodes").alias("node")).withColumn("slice", F.pmod(F.xxhash64("node"), "slices"))
+    members = runs.select("run", parts.alias("slices"), F.explode("nodes").alias("node")).withColumn("slice", F.pmod(F.xxhash64("node"), "slices").cast("int"))
     leaves = met.filter("leaf IS NOT NULL").select("leaf.*")
     members = members.join(leaves, "node")
 
@@ -289,29 +291,31 @@ def candidate_edges(docs: DataFrame, buckets: int) -> DataFrame:
                 over[x] = x = over.get(y, y)
             return x
 
-        for (run, _), one in group.groupby(["run", "slice"], sort=False):
+        for (run, *at), one in group.groupby(["run", "slice", "other"], sort=False):
             found, clusters = clustered([_got(r) for r in one.itertuples()])
             for a, b in found:  # of the task's edges those that connect anything new
                 if (x := top(a)) != (y := top(b)):
                     over[x] = y
                     edges.append((a, b))
-            if one["slices"].iloc[0] > 1:
-                more += [(run, *_put(c)) for c in clusters]
+            slices = one["slices"].iloc[0]
+            if slices > 1 and at[0] == at[1]:
+                more += [(run, at[0], slices, *_put(c)) for c in clusters]
         return _frame(edges, more)
 
     def _frame(edges: list, more: list) -> pd.DataFrame:
-        names = ["a", "b", "run", "node", "level", "bits", "smallest", "largest", "excess"]
-        rows = [(a, b, *[None] * 7) for a, b in edges] + [(None, None, *m) for m in more]
+        names = ["a", "b", "run", "slice", "slices", "node", "level", "bits", "smallest", "largest", "excess"]
+        rows = [(a, b, *[None] * 9) for a, b in edges] + [(None, None, *m) for m in more]
         columns = zip(*rows, strict=True) if rows else [[] for _ in names]
         # Column by column: hashes among nulls must not pass through floats.
         return pd.DataFrame({n: pd.Series(list(c), dtype=object) if n in ("bits", "excess") else pd.array(list(c), "Int64") for n, c in zip(names, columns, strict=True)})
 
-    schema = f"a long, b long, run long, {_LEAF}"
-    bins = max(8, buckets)
-    first = members.withColumn("bin", F.pmod(F.xxhash64("run", "slice"), F.lit(bins)))
+    schema = f"a long, b long, run long, slice int, slices int, {_LEAF}"
+    bins = max(64, buckets)
+    first = members.withColumn("other", F.col("slice")).withColumn("bin", F.pmod(F.xxhash64("run", "slice"), F.lit(bins)))
     first = settle(first.groupBy("bin").applyInPandas(cluster, schema), "jaccard-edges")
-    second = first.filter("run IS NOT NULL").drop("a", "b").withColumns({"slice": F.lit(0), "slices": F.lit(1)})
-    second = second.withColumn("bin", F.pmod(F.xxhash64("run"), F.lit(bins))).groupBy("bin").applyInPandas(cluster, schema)
+    held = first.filter("run IS NOT NULL").drop("a", "b").withColumn("_x", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).filter("_x <> slice")
+    held = held.withColumn("other", F.greatest("slice", "_x")).withColumn("slice", F.least("slice", "_x")).drop("_x")
+    second = held.groupBy("run", "slice", "other").applyInPandas(cluster, schema)
     return first.filter("a IS NOT NULL").select("a", "b").unionByName(second.select("a", "b"))
 
 
@@ -416,13 +420,13 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, items: i
     members = settle(members.join(firsts, "node"), "jaccard-members")
     sizes = members.groupBy("root").agg(F.sum("n").alias("items"), F.count("*").alias("n_sets"))
     members = settle(lookup(members, settle(sizes, "jaccard-groups"), "root", "n_sets"), "jaccard-members")
-    slices = F.ceil(F.col("items") / (items // 2)).cast("int")
-    own = F.when(F.col("items") > items, F.pmod(F.xxhash64("node"), slices)).otherwise(0).cast("int")
-    members = members.withColumn("slices", F.when(F.col("items") > items, slices).otherwise(1)).withColumn("slice", own)
+    cut = min(items, CUT_ITEMS)
+    needed, wanted = F.ceil(F.col("items") / (items // 2)), F.least(F.lit(6), F.ceil(F.col("items") / (cut // 4)))
+    slices = F.when(F.col("items") > cut, F.greatest(needed, wanted)).otherwise(1).cast("int")
+    members = members.withColumn("slices", slices).withColumn("slice", F.pmod(F.xxhash64("node"), "slices").cast("int"))
     brought = members.select("doc_id", "node", "root", "slices", "slice")
-    small = brought.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    texts = texts.join(F.broadcast(brought) if small else brought, "doc_id")
+    texts = texts.join(F.broadcast(brought) if is_small(brought) else brought, "doc_id")
 
     def bring():
         shingle = Shingler()
@@ -448,7 +452,7 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, items: i
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     total = int(members.agg(F.coalesce(F.sum(F.col("n") * F.col("slices")), F.lit(0))).first()[0])
-    bins = max(1, -(-16 * total // items))  # a task gets the groups of a bin; a bin holds about a sixteenth of the largest group
+    bins = max(64, -(-16 * total // items))  # a task gets the groups of a bin; a bin holds about a sixteenth of the largest group
     bin_of = F.when(F.col("slices") > 1, F.xxhash64("root", "first", "second")).otherwise(F.pmod(F.xxhash64("root"), F.lit(bins)))
     return held.withColumn("bin", bin_of).groupBy("bin").applyInPandas(verify, "a long, b long")
 
@@ -460,8 +464,8 @@ def report(docs: DataFrame) -> DataFrame:
     def measure():
         shingle = Shingler()
 
-        def run(texts: list[str | None]) -> list[list]:
-            found = [shingle(t.encode() if t else None) for t in texts]
+        def run(texts: list[bytes | None]) -> list[list]:
+            found = [shingle(t) for t in texts]
             return [[len(h) for h in found], [set_key(h) if len(h) else None for h in found]]
 
         return run
@@ -484,6 +488,5 @@ def representatives(docs: DataFrame) -> DataFrame:
 
     A document that a repeated id brings twice stays twice only if its texts differ."""
     kept = settle(report(docs).filter("doc_id = component_id").select("doc_id").distinct(), "jaccard-kept")
-    small = kept.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    rows = docs.filter("doc_id IS NOT NULL").join(F.broadcast(kept) if small else kept, "doc_id", "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"]).select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    rows = docs.filter("doc_id IS NOT NULL").join(F.broadcast(kept) if is_small(kept) else kept, "doc_id", "left_semi")
+    return rows.dropDuplicates(["doc_id", "text"]).select(*own(docs)).unionByName(docs.filter("doc_id IS NULL"))
