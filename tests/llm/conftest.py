@@ -11,3 +11,24 @@ EDGE = [
 @pytest.fixture(scope="session")
 def edge(spark):
     return spark.createDataFrame(EDGE, "doc_id long, text string, source string, size long, hits long").repartition(3)
+
+
+#: Names that the operators use themselves.
+CLASHING = (
+    "_score", "_Size", "_source_size", "_target", "_rate", "_copies", "_taken", "_copy", "_key", "_k", "_hash", "_salt", "_salts", "_n_words", "_hits", "_items", "_hits0", "_items0",
+    "_shard", "shard", "n", "node", "root", "a", "b", "held_out", "label", "part", "a.dot", "_order",
+)
+
+
+@pytest.fixture(scope="session")
+def odd(spark, edge, tmp_path_factory):
+    """The edge rows, bytes that are no UTF-8, a text of 10 MB, and columns of all the names that operators use."""
+    from pyspark.sql import functions as F
+
+    broken = spark.range(2).select(F.lit(20).cast("long").alias("doc_id"), F.expr("CAST(X'ff41622063fe' AS STRING)").alias("text"), F.lit("a").alias("source"))
+    long = spark.range(1).select(F.lit(21).cast("long").alias("doc_id"), F.expr("repeat('lorem ipsum dolor sit amet ', 400000)").alias("text"), F.lit("b").alias("source"))
+    rows = edge.select("doc_id", "text", "source").unionByName(broken).unionByName(long).withColumn("lang", F.lit("en"))
+    path = str(tmp_path_factory.mktemp("odd") / "rows")
+    rows = rows.select("*", *(F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in CLASHING))
+    rows.repartition(3).write.parquet(path)
+    return spark.read.parquet(path)

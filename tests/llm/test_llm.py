@@ -131,10 +131,56 @@ def test_shards_hold_all_rows_in_tiers(spark, edge):
     assert store.append(docs.limit(3)) == before + 1 and store.read(docs.schema).count() == docs.count() + 3
     assert store.read(docs.schema, before).count() == docs.count()
     assert store.commit(store.manifest(), before) is None  # the version is taken
+    assert sorted(r.shard for r in store.read(docs.schema, columns=["doc_id"], shard_column="shard").select("shard").distinct().collect()) == sorted(r.shard for r in store.manifest().collect())
     assert sorted(map(str, sharding.shard(edge).read(edge.schema).drop("_shard").collect())) == sorted(map(str, edge.collect()))
     assert sharding.report(docs.limit(0)).count() == 0
 
 
+def test_shard_report_equals_its_files(spark):
+    import pyarrow.parquet as pq
+
+    docs = read(spark, "documents").repartition(4)
+    folder = sharding.fresh_path(spark, "t")
+    store = sharding.shard(docs, folder, arrival=20_000, target=200_000)
+    size = {r.shard: (r.rows, r.bytes, r.tier) for r in store.manifest().collect()}
+    own = {}
+    for shard, (rows, held, tier) in size.items():
+        t = pq.read_table(f"{folder.removeprefix('file://')}/shards/{shard}")
+        assert t.num_rows == rows and tier == (math.floor(math.log(max(held / 20_000, 1), 4)))
+        for i, text in zip(t["doc_id"].to_pylist(), t["text"].to_pylist(), strict=True):
+            own.setdefault((i, len((text or "").encode()), shard), 0)
+            own[i, len((text or "").encode()), shard] += 1
+    got = Counter((r.doc_id, r.n_bytes, r.shard) for r in store.read(docs.schema).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"), F.col("_shard").alias("shard")).collect())
+    assert got == own and {r.doc_id for r in docs.collect()} == {k[0] for k in own}
+    report = sharding.report(docs, arrival=20_000, target=200_000).toPandas()
+    assert report.groupby("shard").agg(n=("doc_id", "size"), rows=("shard_rows", "first")).eval("n == rows").all()
+    assert set(report.version) == {max(store.versions())} and sorted(report.n_bytes) == sorted(k[1] for k, n in own.items() for _ in range(n))
+    assert (report.tier == np.floor(np.log(np.maximum(report.shard_bytes / 20_000, 1)) / math.log(4)).astype(int)).all()
+
+
+def test_vacuum_spares_writers_and_listed_versions(spark, monkeypatch):
+    docs = read(spark, "documents").repartition(4)
+    store = sharding.shard(docs, arrival=20_000, target=200_000)
+    n, versions = docs.count(), sorted(store.versions())
+    assert store.vacuum(least_age=0) == 0 and all(store.read(docs.schema, v).count() == n for v in versions)
+    plain = store.commit
+    told = {}
+
+    def interrupted(shards, after):  # between the writing of the shards and their commit, another run cleans up
+        if not told:
+            told["expired"] = sharding.ShardStore(spark, store.folder).expire()
+            told["gone"] = sharding.ShardStore(spark, store.folder).vacuum(least_age=0)
+        return plain(shards, after)
+
+    monkeypatch.setattr(store, "commit", interrupted)
+    store.append(docs)
+    assert told["expired"] == versions[:-1] and told["gone"] > 0
+    assert store.read(docs.schema).count() == 2 * n and store.read(docs.schema, versions[-1]).count() == n
+    assert store.vacuum(least_age=3600) == 0
+    with pytest.raises(ValueError):
+        store.read(docs.schema, shard_column="text")
+
+
 # 4
 
 
@@ -154,6 +200,10 @@ def test_random_strings_but_no_digests_or_identifiers():
     encode = secrets.encoding(secrets.load_ranks()).encode_ordinary
     find = lambda t: [t[a:b] for a, _, b in secrets.random_spans(t, encode)]
     assert find("key kJ8sd9Q2mXz71LpRtB4v here") == ["kJ8sd9Q2mXz71LpRtB4v"]
+    assert find("qxzvkjwpbtmfghrdyncl and QxZvKjWpBtMfGhRd") == ["qxzvkjwpbtmfghrdyncl", "QxZvKjWpBtMfGhRd"]
+    rng, letters = np.random.default_rng(3), list("abcdefghijklmnopqrstuvwxyz")
+    assert sum(bool(find("".join(rng.choice(letters, 24)))) for _ in range(300)) > 290
+    assert not find("internationalization getElementByIdAndClassName AbstractSingletonProxyFactoryBean erteachlichschheit part-12-of-a-34-part-b")
     assert not find("d41d8cd98f00b204e9800998ecf8427e 123e4567-e89b-12d3-a456-426614174000 my_long_identifier_name_v2 4111111111111111111111")
 
 
@@ -174,6 +224,12 @@ def test_top_k_equals_sorting(spark):
             best = [j for j in np.lexsort((ids, -s)) if ids[j] != ids[k]][:10]
             g = got[got.query_id == ids[k]].sort_values("rank")
             assert list(zip(g.vec_id, g.score)) == list(zip(ids[best], s[best]))
+    huge = spark.createDataFrame([(0, [1e18, 0.0], "x"), (1, [1e18, 1.0], "x"), (2, [-1e18, 5.0], "x"), (3, [1e-3, 3e15], "x"), (4, [0.0, 2.0], "x"), (4, [0.0, 2.0], "x"), (5, [1e306, 0.0], "x")], "vec_id long, embedding array<double>, block string")
+    exact = {i: [math.floor(1024 * c) for c in x] for i, x in ((0, (10**18, 0)), (1, (10**18, 1)), (2, (-(10**18), 5)), (3, (1e-3, 3 * 10**15)), (4, (0, 2)))}
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(huge, F.col("vec_id") < 5, 10).collect()}
+    for q, x in exact.items():
+        held = sorted(((-max(min(sum(a * b for a, b in zip(x, y)), 2**63 - 1), -(2**63)), i) for i, y in [*exact.items(), (4, exact[4])] if i != q))
+        assert [got[q, k + 1] for k in range(len(held))] == [(i, -s) for s, i in held]
     few = topk.top_k(e.filter("vec_id < 4"), F.col("vec_id") == 0, 10).collect()
     assert sorted(r.vec_id for r in few) == [1, 2, 3]
     assert topk.top_k(e.limit(0), F.lit(True)).count() == 0
@@ -191,6 +247,15 @@ def test_mixing_equals_its_sql(spark, edge, tmp_path):
         assert sorted(str(tuple(r)) for r in mixing.report(docs).collect()) == want
 
 
+def test_mix_comes_near_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = mixing.report(docs).withColumn("source", F.lit(0)).toPandas()
+    rows["source"] = docs.select("doc_id", "source").toPandas().set_index("doc_id").loc[rows["doc_id"], "source"].to_numpy()
+    per = rows.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"))
+    off = (per.taken / per.target - 1).abs()
+    assert off.max() < 0.1 and (rows.taken <= 3 * rows["size"]).all()
+
+
 def test_mix_keeps_limits_and_columns(spark, edge):
     m = mixing.mix(edge)
     assert m.filter("_copies > 3 OR _taken > 3 * _size").count() == 0
@@ -217,6 +282,107 @@ def test_classifiers_on_held_out_rows(spark, edge, module, target, least):
     assert module.report(edge, labels.limit(0)).agg(F.max("score")).first()[0] == 0.0
 
 
+def naive_evidence(docs):
+    """The same models by definition, as dicts: evidence(previous word or None, word)."""
+    pairs = [Counter(), Counter()]
+    for label, w in docs:
+        pairs[label].update(set(zip([None, *w], w)))
+    spelt = [Counter(), Counter()]
+    top, ahead = [Counter(), Counter()], [defaultdict(set) for _ in range(toxicity.ORDER)]
+
+    def grams(word):
+        x = b" " + word + b"\n"
+        return [x[max(0, k - toxicity.ORDER + 1) : k + 1] for k in range(1, len(x))]
+
+    for word in {w for _, w in pairs[0] | pairs[1]}:
+        n = [sum(c for (_, v), c in pairs[k].items() if v == word) for k in (0, 1)]
+        for g in grams(word):
+            for k in (0, 1):
+                top[k][g] += n[k]
+            for size in range(1, min(len(g) - 1, toxicity.BACK) + 1):
+                ahead[size][g[-size:]].add(g[-size - 1])
+
+    def model(counts, split):
+        counts = {g: n for g, n in counts.items() if n}
+        d = toxicity.discounts(np.array(list(counts.values()), int))
+        total, free = Counter(), Counter()
+        for g, n in counts.items():
+            total[split(g)] += n
+            free[split(g)] += d[min(n, 3)]
+        return lambda g, back: ((counts.get(g, 0) - d[min(counts.get(g, 0), 3)]) + free[split(g)] * back) / total[split(g)] if total[split(g)] else back
+
+    lower = [model({g: len(x) for g, x in a.items()}, lambda g: g[:-1]) for a in ahead]
+    classes = [model(c, lambda g: g[:-1]) for c in top]
+
+    def spelling(word, k):
+        total = 0.0
+        for g in grams(word):
+            p = 1 / 256
+            for size in range(1, min(len(g) - 1, toxicity.BACK) + 1):
+                p = lower[size](g[-size:], p)
+            total += math.log(classes[k](g, p))
+        return total
+
+    pooled, own = model(pairs[0] + pairs[1], lambda g: g[0]), [model(c, lambda g: g[0]) for c in pairs]
+
+    def evidence(before, word):
+        back = [math.exp(spelling(word, k)) for k in (0, 1)]
+        p = [own[k]((before, word), pooled((before, word), back[k])) for k in (0, 1)]
+        return math.log(p[1] / p[0])
+
+    return evidence, lambda w: spelling(w, 1) - spelling(w, 0)
+
+
+def test_toxicity_models_equal_their_definition(spark):
+    from touchline.llm.common import words
+
+    listed = [(k % 3 == 0, words((t or "")[:400].encode())) for k, (_, t) in enumerate(texts(read(spark, "documents").limit(24)))]
+    listed[0][1].extend([b"stupid", b"clown", b"of", b"a", b"stupid", b"clown"])
+    sample = spark.createDataFrame([(int(k), bytearray(b" ".join(w))) for k, w in listed], "label int, text binary")
+    model = toxicity.learnt(sample)
+    evidence, spelling = naive_evidence([(int(k), w) for k, w in listed])
+    asked = [w for _, one in listed[:6] for w in one][:60] + [b"clowns", b"stupidest", b"never-seen", "ä".encode(), b"x" * 40]
+    _, told = model.spelling(asked)
+    assert told == pytest.approx([spelling(w) for w in asked], abs=1e-4)
+    for text in (b"a stupid clown of nothing", b"", b"the stupid", b" ".join(listed[1][1][:30])):
+        w = words(text)
+        e = [evidence(p, x) for p, x in zip([None, *w], w)]
+        weigh = lambda x: math.log1p(toxicity.SHARE * math.expm1(min(x, toxicity.MOST_EVIDENCE)))
+        plain = sum(weigh(spelling(x)) for x in set(w))
+        paired = sum(weigh(max(v for v, y in zip(e, w) if y == x)) for x in set(w))
+        kinds = max(len(set(w)), 1)
+        want = [sum(e) / max(len(w), 1), 20 * plain / kinds, plain / kinds**0.5, paired / kinds**0.5]
+        assert model.features([text])[0] == pytest.approx(want, abs=1e-3)
+
+
+def test_discriminant_equals_gaussian_densities():
+    rng = np.random.default_rng(4)
+    x = np.vstack([rng.normal(0, 1, (80, 4)) @ rng.normal(0, 1, (4, 4)), rng.normal(1, 2, (50, 4)) @ rng.normal(0, 1, (4, 4))])
+    y = np.repeat([0, 1], [80, 50])
+    model = quality.Discriminant(x, y)
+    z = (x - x.mean(0)) / (x.std(0) + 1e-6)
+    cov = [np.cov(z[y == c].T, bias=True) for c in (0, 1)]
+    pooled = sum(c * (y == k).mean() for k, c in enumerate(cov))
+    pooled = (1 - quality.SHRINK_DIAGONAL) * pooled + quality.SHRINK_DIAGONAL * np.diag(np.diag(pooled)) + 1e-3 * np.eye(4)
+    told = []
+    for k in (0, 1):
+        s = (1 - quality.SHRINK_CLASS) * cov[k] + quality.SHRINK_CLASS * pooled
+        d = z - z[y == k].mean(0)
+        told.append(-0.5 * np.einsum("ij,ij->i", d @ np.linalg.inv(s), d) - 0.5 * np.linalg.slogdet(s)[1])
+    assert model.log_ratio(x) == pytest.approx(told[1] - told[0], rel=1e-9)
+
+
+def test_labelled_sample_keeps_its_bounds(spark):
+    from touchline.llm.learning import labelled_sample
+
+    docs = spark.createDataFrame([(k % 8, "x" * (k + 1)) for k in range(64)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(8)] * 3, "doc_id long, toxic int")
+    one = labelled_sample(docs, labels, "toxic", 5, 9, 2).collect()
+    assert sorted(r.label for r in one) == [0, 0, 1, 1] and all(len(r.text) == r.doc_id + 1 for r in one)
+    few = labelled_sample(docs, labels, "toxic", 5, 9, 4, most_bytes=96).collect()
+    assert few and all(sum(len(r.text) for r in few if r.label == k) <= 96 and max(len(r.text) for r in few) <= 6 for k in (0, 1))
+
+
 # 8
 
 
@@ -348,6 +514,39 @@ def test_pipeline_stages_keep_columns_and_decide(spark, tmp_path):
     assert all(b <= a for n, a, b in rows if n != "mixing") and rows[-1][2] == rows[-1][1]
 
 
+def untouched(out, docs, key="doc_id"):
+    """Whether rows of out are rows of docs, with all their columns."""
+    assert out.columns == docs.columns
+    rows = lambda df: Counter(map(str, df.select(*(F.md5(F.col(f"`{c}`").cast("binary")).alias(f"c{k}") if t == "string" else F.col(f"`{c}`").alias(f"c{k}") for k, (c, t) in enumerate(df.dtypes))).collect()))
+    assert set(rows(out)) <= set(rows(docs))
+
+
+def test_every_report_bears_odd_rows(spark, odd, edge):
+    labels, benchmark = read(spark, "labels"), read(spark, "benchmark")
+    labels = labels.select("*", F.lit(1).alias("_order"), F.lit("x").alias("text"))
+    reports = [
+        ppm.report, lambda d: ppm.report(d, 5, 500), sharding.report, secrets.find_secrets, mixing.report, lambda d: toxicity.report(d, labels), lambda d: quality.report(d, labels),
+        lambda d: decontaminate.report(d, benchmark), jaccard.report,
+    ]
+    for k, f in enumerate(reports):
+        got = f(odd)
+        assert sorted(str(r.doc_id) for r in got.collect()) == sorted(str(r.doc_id) for r in odd.collect()), k
+        assert f(odd.limit(0)).count() == 0
+    told = {r.doc_id: r for r in jaccard.report(odd).collect()}
+    assert told[20].component_id == 20 and told[20].n_shingles == 1
+    assert {r.doc_id: r.n_tokens for r in ppm.report(odd).collect()}[20] == 3
+    pages = odd.select(F.col("doc_id").alias("page_id"), F.col("text").alias("url"), F.col("text").alias("html"), "_score", "n", F.lit("x").alias("digest"), F.lit("x").alias("payload"))
+    assert warc.round_trip(pages).count() == odd.count()
+
+
+def test_every_stage_bears_odd_rows(spark, odd, tmp_path):
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, SF)
+        if name != "sharding":
+            untouched(out, odd)
+        assert stage(spark, odd.limit(0), SF).count() == 0
+
+
 def test_every_operator_has_a_query():
     assert {q.split("_")[0] for q in queries.queries()} == {f"op{n}" for n in range(1, 11)}
     assert set(queries.oracle_sql()) <= set(queries.queries())
