@@ -25,7 +25,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated, kept or dropped so that sources come near their target shares."""
-    return mixing.emit(mixing.mix(docs))
+    return mixing.mixture(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
