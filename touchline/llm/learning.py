@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import remainder
+from .common import remainder, settle
 
 #: Bytes of text a class may bring to a labelled sample; with the number of rows, the bound on what the driver learns from.
 SAMPLE_BYTES = 16 << 20
@@ -30,7 +30,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, mod: int, o
     rows = rows.withColumn("_n", F.octet_length("text")).filter(F.col("_n") <= most_bytes // 16)
     before = Window.partitionBy("label").orderBy("_order", "doc_id")  # at most `each` rows a class
     rows = rows.withColumn("_upto", F.sum("_n").over(before)).filter(F.col("_upto") <= most_bytes)
-    return rows.select("doc_id", "text", "label", F.pmod("_order", F.lit(3)).cast("int").alias("part"))
+    # Settled, so the documents are scanned once for all that is learnt.
+    return settle(rows.select("doc_id", "text", "label", F.pmod("_order", F.lit(3)).cast("int").alias("part")), "labelled-sample")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, rounds: int = 50) -> np.ndarray:

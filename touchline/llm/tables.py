@@ -11,6 +11,19 @@ class Lookup:
     FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
     def __init__(self, keys: np.ndarray, values: np.ndarray, missing: float) -> None:
+        self._fill(keys, values, missing)
+
+    def __getstate__(self) -> tuple:
+        """Only what is held, without free places, for broadcasts."""
+        used = self.keys != self.FREE
+        return self.keys[used], self.values[used], self.missing, {k: v for k, v in self.__dict__.items() if k not in ("keys", "values", "bits", "mask", "missing")}
+
+    def __setstate__(self, state: tuple) -> None:
+        keys, values, missing, more = state
+        self._fill(keys, values, missing)
+        self.__dict__.update(more)
+
+    def _fill(self, keys: np.ndarray, values: np.ndarray, missing: float) -> None:
         self.bits = max(4, int(2 * len(keys) + 1).bit_length())
         self.mask = np.int64((1 << self.bits) - 1)
         self.keys = np.full(1 << self.bits, self.FREE)

@@ -262,8 +262,8 @@ def learnt(sample: DataFrame) -> Evidence | None:
     return Evidence(listed, before, spellings.indices.to_numpy().astype(np.int64), counts)
 
 
-def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> tuple[Evidence, np.ndarray] | float:
-    """The models and the calibration's weights; or the share of toxic rows where one class is missing."""
+def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, most_bytes: int = SAMPLE_BYTES):
+    """The models, broadcast, and the calibration's weights; or the share of toxic rows where one class is missing."""
     sample = labelled_sample(docs, labels, "toxic", MOD, OUT, each, most_bytes)
     model = learnt(sample.filter("part > 0"))
     if model is None:
@@ -278,8 +278,8 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, most_bytes: int
 
     rest = sample.filter("part = 0").select("label", "text").mapInPandas(measure, "label int, x array<double>").toPandas()
     if rest["label"].nunique() < 2:
-        return model, np.array([0.0, 4.0, 4.0, 4.0, -6.0])
-    return model, logistic(np.array(rest["x"].to_list()), rest["label"].to_numpy(float), l2=0.1)
+        return shared, np.array([0.0, 4.0, 4.0, 4.0, -6.0])
+    return shared, logistic(np.array(rest["x"].to_list()), rest["label"].to_numpy(float), l2=0.1)
 
 
 def score(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, drop: tuple[str, ...] = (), out: str = "_score") -> DataFrame:
@@ -287,10 +287,10 @@ def score(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, drop: tuple[st
     fitted = fit(docs, labels, each)
     if isinstance(fitted, float):
         return docs.drop(*drop).withColumn(out, F.lit(fitted))
-    shared = docs.sparkSession.sparkContext.broadcast(fitted)
+    shared, weights = fitted
 
     def make():
-        model, weights = shared.value
+        model = shared.value
         return lambda texts: [sigmoid(model.features(texts) @ weights[:-1] + weights[-1])]
 
     return with_computed(docs, ["text"], f"`{out}` double", make, drop)
