@@ -172,7 +172,7 @@ def crossing(spark, after):
             data.append((0, f, t, float(f), y, float(f) + 18, y + 44, v))
     tracks = spark.createDataFrame(data, "shot_no long, frame long, track_id long, x1 double, y1 double, x2 double, y2 double, emb array<double>")
     w = spark.createDataFrame([(0, 1, 2, 100, 104)], "shot_no long, a long, b long, f0 long, f1 long")
-    return crossings.resolve(tracks, w).first()
+    return crossings.decisions(crossings.resolve(tracks, w)).first()
 
 
 def test_crossing_decisions(spark):

@@ -540,4 +540,4 @@ def crossing_resolution(spark, d):
     v = src.vectors(spark, d).select("vec_id", F.col("v").alias("emb"))
     t = src.tracks(spark, d).withColumn("vec_id", F.when(F.col("frame") % 5 == 0, F.col("track_id") * 7 % 500)).join(F.broadcast(v.filter("vec_id < 500")), "vec_id", "left")  # 500 vectors
     w = _windows(spark, d).withColumn("shot_no", F.floor(F.col("f0") / 100))
-    return crossings.resolve(t.select("shot_no", "frame", "track_id", "x1", "y1", "x2", "y2", "emb"), w)
+    return crossings.decisions(crossings.resolve(t.select("shot_no", "frame", "track_id", "x1", "y1", "x2", "y2", "emb"), w))

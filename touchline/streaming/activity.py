@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.sequence import BALL_REACH, BallPath
+
 
 def activity(events: DataFrame, window: str = "10 minutes", late: str = "30 minutes") -> DataFrame:
     """Rows by window and event type; events later than the watermark are dropped."""
@@ -16,30 +17,18 @@ def activity(events: DataFrame, window: str = "10 minutes", late: str = "30 minu
     return rows.groupBy(F.window("ts", window).alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "event_type", "n")
 
 
-def gated_balls(balls: DataFrame, speed: float = 90.0) -> DataFrame:
+def gated_balls(balls: DataFrame, speed: float = BALL_REACH) -> DataFrame:
     """(shot_no, frame, x, y, score) in frame order -> accepted positions; the last position and velocity are a shot's state."""
 
     def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        x, y, vx, vy, last = state.get if state.exists else (np.nan, np.nan, 0.0, 0.0, -1)
-        out = []
+        path, out = BallPath(*(state.get if state.exists else ()), reach=speed), []
         for batch in batches:
-            for frame, g in batch.sort_values("frame").groupby("frame"):
-                if frame <= last:
-                    continue
-                p, s = g[["x", "y"]].to_numpy(), g["score"].to_numpy()
-                if last < 0:
-                    k = int(np.argmax(s))
-                else:
-                    gap = frame - last
-                    d = np.linalg.norm(p - (np.array([x, y]) + gap * np.array([vx, vy])), axis=1)
-                    fits = np.where(d <= speed * gap, d - 40 * s, np.inf)
-                    k = int(np.argmin(fits))
-                    if not np.isfinite(fits[k]):
-                        continue
-                    vx, vy = (p[k] - (x, y)) / gap
-                (x, y), last = p[k], int(frame)
-                out.append((key[0], last, float(x), float(y)))
-        state.update((float(x), float(y), float(vx), float(vy), last))
+            batch = batch.sort_values("frame", ignore_index=True)
+            points, scores = batch[["x", "y"]].to_numpy(float), batch["score"].to_numpy(float)
+            for frame, at in batch.groupby("frame").indices.items():
+                if frame > path.last and path.choose(int(frame), points[at], scores[at]) is not None:
+                    out.append((key[0], path.last, *map(float, path.place)))
+        state.update(path.state())
         yield pd.DataFrame(out, columns=["shot_no", "frame", "x", "y"])
 
     return balls.groupBy("shot_no").applyInPandasWithState(step, "shot_no long, frame long, x double, y double", "x double, y double, vx double, vy double, last long", "append", "NoTimeout")
