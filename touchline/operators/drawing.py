@@ -16,7 +16,8 @@ def draw_list(fused: DataFrame, fps: int = 25) -> DataFrame:
     for `fps` of its rows. percent: the confidence a label shows, in hundredths; null for abstained rows.
     """
     known = F.col("identity_id") != -1
-    order = Window.partitionBy("identity_id").orderBy("frame", "x1", "y1", "x2", "y2")
+    # Abstained rows never flash: they needn't meet in one partition.
+    order = Window.partitionBy("identity_id", F.when(known, 0).otherwise(F.col("frame"))).orderBy("frame", "x1", "y1", "x2", "y2")
     past = order.rowsBetween(Window.unboundedPreceding, 0)
     rows = fused.withColumn("_n", F.row_number().over(order))
     rows = rows.withColumn("_since", F.col("_n") - F.max(F.when(F.col("reentry") == 1, F.col("_n"))).over(past))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dot, l1
+from ..sources.files import settle
 
 MOST_GAP = 750
 ABSTAIN = 0.55
@@ -40,19 +41,36 @@ def belief(gap, colour, cosine, dist, shorter):
 
 
 def link_edges(tracklets: DataFrame, vectors: DataFrame, reid: bool = True) -> DataFrame:
-    """Candidate links with a belief above 0; cheap bounds first, vectors last."""
+    """Candidate links with a belief above 0: tracklets joined with vectors, pairs by team and bucket, each pair's distances
+    computed once."""
     v = tracklets.join(vectors, F.pmod(F.col("track_id") * 7 + F.col("shot_no"), F.lit(500)) == F.col("vec_id"))
-    pairs = candidates(v)
-    dist = F.hypot(F.col("a.lx") - F.col("b.fx"), F.col("a.ly") - F.col("b.fy"))
+    return believed(candidates(v), reid)
+
+
+def believed(pairs: DataFrame, reid: bool = True) -> DataFrame:
+    """Pairs a, b with v and hist -> team, shot_a, track_a, shot_b, track_b, belief, where belief is above 0."""
     cosine = dot("a.v", "b.v") if reid else F.lit(None).cast("double")
-    value = belief(F.col("gap").cast("double"), l1("a.hist", "b.hist"), cosine, dist, F.least("a.n_frames", "b.n_frames").cast("double"))
-    out = pairs.select(F.col("a.team").alias("team"), F.col("a.shot_no").alias("shot_a"), F.col("a.track_id").alias("track_a"), F.col("b.shot_no").alias("shot_b"), F.col("b.track_id").alias("track_b"), F.round(value, 6).alias("belief"))
-    return out.filter("belief > 0")
+    # The generator keeps the filter below from being pushed into the join, where the distances would be computed again.
+    once = F.explode(F.array(F.struct(l1("a.hist", "b.hist").alias("colour"), cosine.alias("cosine"))))
+    pairs = pairs.select(
+        F.col("a.team").alias("team"), F.col("a.shot_no").alias("shot_a"), F.col("a.track_id").alias("track_a"), F.col("b.shot_no").alias("shot_b"), F.col("b.track_id").alias("track_b"),
+        F.col("gap").cast("double").alias("gap"), F.hypot(F.col("a.lx") - F.col("b.fx"), F.col("a.ly") - F.col("b.fy")).alias("dist"),
+        F.least("a.n_frames", "b.n_frames").cast("double").alias("shorter"), once.alias("x"),
+    )
+    value = belief(F.col("gap"), F.col("x.colour"), F.col("x.cosine"), F.col("dist"), F.col("shorter"))
+    return pairs.filter("x.colour <= 0.45").select("team", "shot_a", "track_a", "shot_b", "track_b", F.round(value, 6).alias("belief")).filter("belief > 0")
+
+
+#: Edges that the last, sequential step of a greedy choice takes at most, in one task.
+LAST_EDGES = 50_000
 
 
 def greedy_chain(edges: DataFrame, least: float = ABSTAIN, splits: DataFrame | None = None, segments: DataFrame | None = None) -> DataFrame:
-    """Links by descending belief, each tracklet with one successor and one predecessor. Edges stay within a team, so
-    teams are decided side by side.
+    """Links by descending belief, each tracklet with one successor and one predecessor.
+
+    Rounds of mutual best edges choose what a pass in order of belief would (ties by shots and tracks, so the order is
+    total): an edge that is the best of both its ends is taken by that pass, whatever lies elsewhere. A round settles what
+    is left; the rest is finished in order, once it is no more than LAST_EDGES.
 
     splits: links of crossings, like edges with their place in the order of decisions; they are committed first, whatever
     their belief and teams. segments (shot_no, track_id): what crossings split; only such links join them to others."""
@@ -65,7 +83,18 @@ def greedy_chain(edges: DataFrame, least: float = ABSTAIN, splits: DataFrame | N
         splits = splits.withColumn("_k", F.row_number().over(first)).filter("_k = 1").select(*edges.columns)
         for side in "ab":
             edges = edges.join(splits.select(f"shot_{side}", f"track_{side}"), [f"shot_{side}", f"track_{side}"], "left_anti")
-    edges = edges.select("team", "shot_a", "track_a", "shot_b", "track_b", "belief")
+    columns = ["team", "shot_a", "track_a", "shot_b", "track_b", "belief"]
+    left = settle(edges.select(*columns).filter(F.col("belief") >= least), "greedy-edges")
+    place = F.struct(-F.col("belief"), "shot_a", "track_a", "shot_b", "track_b")
+    chosen = []
+    while left.count() > LAST_EDGES:
+        of_a, of_b = Window.partitionBy("shot_a", "track_a"), Window.partitionBy("shot_b", "track_b")
+        ranked = left.withColumn("_p", place).withColumn("_a", F.min("_p").over(of_a)).withColumn("_b", F.min("_p").over(of_b))
+        ranked = ranked.withColumn("_taken", (F.col("_p") == F.col("_a")) & (F.col("_p") == F.col("_b")))
+        ranked = ranked.withColumn("_gone", F.max("_taken").over(of_b)).withColumn("_gone", F.col("_gone") | F.max("_taken").over(of_a))
+        ranked = settle(ranked.filter("_taken OR NOT _gone").select(*columns, "_taken"), "greedy-round")
+        chosen.append(ranked.filter("_taken").select(*columns))
+        left = ranked.filter("NOT _taken").select(*columns)
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
         after, before, kept = set(), set(), []
@@ -78,19 +107,21 @@ def greedy_chain(edges: DataFrame, least: float = ABSTAIN, splits: DataFrame | N
                 kept.append(k)
         return group.loc[sorted(kept)]
 
-    chosen = edges.filter(F.col("belief") >= least).groupBy("team").applyInPandas(choose, edges.schema)
-    return chosen if splits is None else chosen.unionByName(splits)
+    out = left.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(lambda g: choose(g.drop(columns="_all")), left.schema)
+    for part in chosen:
+        out = out.unionByName(part)
+    return out if splits is None else out.unionByName(splits)
 
 
 def chain_labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """nodes (node), links (node, pred, belief) -> node, root, confidence (the least belief from the root), by pointer
     jumping: each round doubles how far a node sees."""
     now = nodes.join(links, "node", "left").select("node", F.coalesce("pred", "node").alias("root"), F.coalesce("belief", F.lit(1.0)).alias("confidence"))
-    now = now.checkpoint() if nodes.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else now.persist()
+    now = settle(now, "chains")
     while True:
         up = now.select(F.col("node").alias("root"), F.col("root").alias("_r"), F.col("confidence").alias("_c"))
         then = now.join(up, "root").select("node", F.col("_r").alias("root"), F.least("confidence", "_c").alias("confidence"), (F.col("_r") != F.col("root")).alias("_moved"))
-        then = then.checkpoint() if nodes.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else then.persist()
+        then = settle(then, "chains")
         if not then.filter("_moved").limit(1).count():
             return then.drop("_moved")
         now = then.drop("_moved")

@@ -23,21 +23,15 @@ def thinned_cuts(cuts: DataFrame, keys: list[str], at: str, least: int) -> DataF
     return cuts.groupBy(*keys).agg(fold.alias("bounds"))
 
 
-def _seen(keys: list[str], at: str, seen: Column) -> tuple[Column, Column]:
-    w = Window.partitionBy(*keys).orderBy(at)
-    mark = F.when(seen, F.col(at))
-    return F.max(mark).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.min(mark).over(w.rowsBetween(0, Window.unboundedFollowing))
-
-
 def fill_gaps(rows: DataFrame, keys: list[str], most: int, width: int, height: int, edge: float = 0.06) -> DataFrame:
     """Ball positions with a state: visible, occluded (interpolated over at most `most` frames), out_of_frame (lost near an
     edge) or unknown."""
-    before, after = _seen(keys, "frame", F.col("x").isNotNull())
-    w = Window.partitionBy(*keys).orderBy("frame")
-    rows = rows.withColumn("p", before).withColumn("q", after)
-    past, future = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    for c in ("x", "y"):
-        rows = rows.withColumn(f"p{c}", F.last(c, True).over(past)).withColumn(f"q{c}", F.first(c, True).over(future))
+    w = Window.partitionBy(*keys)
+    # What follows is what precedes in falling order: a frame that ends at the partition's end would start anew at each row.
+    past, future = (w.orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.col("frame").asc(), F.col("frame").desc()))
+    seen = F.when(F.col("x").isNotNull(), F.struct("frame", "x", "y"))
+    rows = rows.withColumn("_s", seen).withColumn("_p", F.last("_s", True).over(past)).withColumn("_q", F.last("_s", True).over(future))
+    rows = rows.select("*", *(F.col(f"_{k}.{c}").alias(n) for k in "pq" for c, n in (("frame", k), ("x", f"{k}x"), ("y", f"{k}y"))))
     near = F.least(F.col("px"), F.lit(width) - F.col("px"), F.col("py"), F.lit(height) - F.col("py")) < edge * min(width, height)
     inside = F.col("p").isNotNull() & F.col("q").isNotNull()
     state = F.when(F.col("x").isNotNull(), "visible").when(inside & (F.col("q") - F.col("p") <= most), "occluded").when(inside & near, "out_of_frame").otherwise("unknown")
@@ -73,14 +67,24 @@ def asof(left: DataFrame, right: DataFrame, keys: list[str], at: str, columns: l
     return out.select(*left.columns, F.col("_r.at").alias("matched_at"), *[F.col(f"_r.{c}").alias(c) for c in columns])
 
 
-def between(rows: DataFrame, knots: DataFrame, keys: list[str], at: str, value: str) -> DataFrame:
-    """For each row its knots before and after, the nearest one's distance, and the piecewise linear value (constant beyond the ends)."""
+def between(rows: DataFrame, knots: DataFrame, keys: list[str], at: str, value: str, chunk: int = 10_000) -> DataFrame:
+    """For each row its knots before and after, the nearest one's distance, and the piecewise linear value (constant beyond the ends).
+
+    Windows run over chunks of `chunk` frames; what a chunk gets from the ones before and behind it comes from a table of
+    the chunks' first and last knots."""
+    knot = F.struct(F.col(at).cast("long").alias("at"), F.col(value).cast("double").alias("v"))
     both = rows.select(*keys, at).withColumn("_k", F.lit(None).cast("struct<at:bigint,v:double>")).withColumn("_row", F.lit(1))
-    both = both.unionByName(knots.select(*keys, at, F.struct(F.col(at).cast("long").alias("at"), F.col(value).cast("double").alias("v")).alias("_k")).withColumn("_row", F.lit(0)))
-    w = Window.partitionBy(*keys).orderBy(at)
-    both = both.withColumn("p", F.last("_k", True).over(w.rangeBetween(Window.unboundedPreceding, 0))).withColumn("q", F.first("_k", True).over(w.rangeBetween(0, Window.unboundedFollowing)))
+    both = both.unionByName(knots.select(*keys, at, knot.alias("_k")).withColumn("_row", F.lit(0))).withColumn("_chunk", F.floor(F.col(at) / chunk))
+    per = both.groupBy(*keys, "_chunk").agg(F.min("_k").alias("_first"), F.max("_k").alias("_last"))
+    order = Window.partitionBy(*keys)
+    up, down = order.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1), order.orderBy(F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*keys, "_chunk", F.last("_last", True).over(up).alias("_before"), F.last("_first", True).over(down).alias("_behind"))
+    w = Window.partitionBy(*keys, "_chunk")
+    past, future = w.orderBy(at).rangeBetween(Window.unboundedPreceding, 0), w.orderBy(F.col(at).desc()).rangeBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("p", F.max("_k").over(past)).withColumn("q", F.min("_k").over(future)).filter("_row = 1").join(per, [*keys, "_chunk"])
+    both = both.withColumns({"p": F.coalesce("p", "_before"), "q": F.coalesce("q", "_behind")})
     share = (F.col(at) - F.col("p.at")).cast("double") / F.nullif(F.col("q.at") - F.col("p.at"), F.lit(0)).cast("double")
     lerp = F.coalesce(F.col("p.v") + (F.col("q.v") - F.col("p.v")) * share, "p.v", "q.v")
     near = F.least(F.col(at) - F.col("p.at"), F.col("q.at") - F.col(at))
     following = F.coalesce("q.at", "p.at")
-    return both.filter("_row = 1").select(*keys, at, near.alias("distance"), following.alias("next_or_last"), F.round(lerp, 6).alias("value"))
+    return both.select(*keys, at, near.alias("distance"), following.alias("next_or_last"), F.round(lerp, 6).alias("value"))
