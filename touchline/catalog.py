@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import geometry as g
 from .functions.vectors import unit
-from .operators import drawing, identity, projection, sequence, series, splits
+from .operators import crossings, drawing, identity, projection, sequence, series, splits
 from .sources import adapter as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,9 +152,7 @@ isl AS (SELECT *, sum(n) OVER (PARTITION BY a,b ORDER BY frame) AS k FROM br)"""
 
 
 def _windows(spark, d) -> DataFrame:
-    same = (F.col("a.team_online") < 0) | (F.col("b.team_online") < 0) | (F.col("a.team_online") == F.col("b.team_online"))
-    hits = _pairs(src.tracks(spark, d)).filter(same & (F.least("a.margin", "b.margin") <= 0.15) & (g.iou() >= 0.05))
-    return series.islands(hits.select(F.col("a.track_id").alias("a"), F.col("b.track_id").alias("b"), F.col("a.frame").alias("frame")), ["a", "b"], "frame", 15)
+    return crossings.ambiguous(src.tracks(spark, d))
 
 
 @query(f"WITH {_AMBIGUOUS} SELECT a, b, min(frame) AS f0, max(frame) AS f1 FROM isl GROUP BY a, b, k")
@@ -535,9 +533,10 @@ def split_links(spark, d):
 @query()
 def crossing_resolution(spark, d):
     """Decisions on ambiguous crossings, by vectors that stand for the tracks' appearance every five frames."""
-    from .operators import crossings
-
     v = src.vectors(spark, d).select("vec_id", F.col("v").alias("emb"))
     t = src.tracks(spark, d).withColumn("vec_id", F.when(F.col("frame") % 5 == 0, F.col("track_id") * 7 % 500)).join(F.broadcast(v.filter("vec_id < 500")), "vec_id", "left")  # 500 vectors
     w = _windows(spark, d).withColumn("shot_no", F.floor(F.col("f0") / 100))
     return crossings.decisions(crossings.resolve(t.select("shot_no", "frame", "track_id", "x1", "y1", "x2", "y2", "emb"), w))
+
+
+from . import catalog_pitch, catalog_tables  # noqa: E402, F401  register more queries

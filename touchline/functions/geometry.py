@@ -61,3 +61,16 @@ def apply_homography(h: list, x: Column, y: Column) -> tuple[Column, Column]:
     w = h[6] * x + h[7] * y + h[8]
     w = F.when(F.abs(w) > 1e-12, w)
     return (h[0] * x + h[1] * y + h[2]) / w, (h[3] * x + h[4] * y + h[5]) / w
+
+
+# Human limits in metres and seconds, and a body's height.
+FASTEST, HARDEST, BODY = 9.5, 7.0, 1.8
+
+
+def motion_log_likelihood(x: Column, y: Column, vx: Column, vy: Column, height: Column, gap: Column, to_x: Column, to_y: Column, fps: float = 25.0) -> Column:
+    """How well a start at (to_x, to_y) continues a track that was at (x, y) with a velocity, `gap` frames before."""
+    gap = F.greatest(gap, F.lit(1.0))
+    slowed = F.least(F.lit(1.0), (FASTEST * height / BODY / fps) / F.greatest(F.hypot(vx, vy), F.lit(1e-12)))
+    dx, dy = x + vx * slowed * gap - to_x, y + vy * slowed * gap - to_y
+    reach = 0.5 * (HARDEST * height / BODY / (fps * fps)) * gap * gap + 0.3 * height
+    return -0.5 * (dx * dx + dy * dy) / ((0.15 * height) * (0.15 * height) + reach * reach)

@@ -32,3 +32,30 @@ def draw_list(fused: DataFrame, fps: int = 25) -> DataFrame:
     percent = F.when((F.col("_p.kind") == "box") & known, F.floor(F.col("conf") * 100 + 0.5))
     return told.select("frame", "identity_id", colour.alias("colour"), F.col("_p.kind").alias("kind"), F.col("_p.thickness").alias("thickness"), F.col("_p.label").alias("label"), percent.alias("percent"),
         (F.col("x1") - pad).alias("x1"), (F.col("y1") - pad).alias("y1"), (F.col("x2") + pad).alias("x2"), (F.col("y2") + pad).alias("y2"))
+
+
+# The roster panel's first line, its line height and what it leaves free below, in pixels.
+FIRST_LINE, LINE, BELOW = 50, 18, 70
+
+
+def ball_marks(balls: DataFrame) -> DataFrame:
+    """balls (frame, x, y, state) -> a circle with the state where the ball is, else a line of text."""
+    seen = F.col("x").isNotNull()
+    return balls.select(
+        "frame", F.when(seen, "circle").otherwise("text").alias("kind"), F.when(seen, F.col("state")).otherwise(F.concat(F.lit("ball: "), "state")).alias("label"), F.floor("x").alias("x"), F.floor("y").alias("y"),
+    )
+
+
+def footers(fused: DataFrame) -> DataFrame:
+    """A line a frame: how many tracks it has, and how many of them are unknown."""
+    per = fused.groupBy("frame").agg(F.count("*").alias("n"), F.sum((F.col("identity_id") == -1).cast("long")).alias("u"))
+    label = F.format_string("frame %d  tracks %d  unknown %d", "frame", "n", "u")
+    none = F.lit(None).cast("long")
+    return per.select("frame", F.lit("footer").alias("kind"), label.alias("label"), none.alias("x"), none.alias("y"))
+
+
+def panel(rows: DataFrame, identity: str, height: int) -> DataFrame:
+    """rows (frame, team, identity, ...) with line, their place in the frame's roster panel, as far as the panel goes."""
+    lines = (height - BELOW - FIRST_LINE) // LINE + 1
+    order = Window.partitionBy("frame").orderBy("team", identity)
+    return rows.withColumn("line", F.row_number().over(order).cast("long")).filter(F.col("line") <= lines)

@@ -55,7 +55,7 @@ class Runner:
                 self._append(s.name, prints[s.name], path, time.time() - began, "cached" if cached else "done")
             except Exception as e:
                 failed.append(s.name)
-                self._append(s.name, prints[s.name], path, time.time() - began, f"failed: {type(e).__name__}")
+                self._append(s.name, prints[s.name], path, time.time() - began, f"failed: {type(e).__name__}: {str(e)[:500]}")
         if failed and not tables:
             raise RuntimeError(f"all stages failed: {', '.join(failed)}")
         return tables

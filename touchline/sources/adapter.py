@@ -51,6 +51,18 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.withColumn("_t", total).select("vec_id", "v", F.transform("v", lambda x: F.abs(x) / F.col("_t")).alias("hist"))
 
 
+#: A camera a frame, turning to and fro, and how well it fits: the same expressions for Spark and DuckDB.
+CAMERA_COLUMNS = (
+    "frame", "CAST(0 AS DOUBLE) AS cx", "CAST(-60 AS DOUBLE) AS cy", "CAST(18 AS DOUBLE) AS cz", "(CAST((frame * 37) % 100 AS DOUBLE) - 50) / 200 AS pan", "CAST(0.28 AS DOUBLE) AS tilt",
+    "CAST(900 AS DOUBLE) AS f", "CAST((frame * 41) % 100 AS DOUBLE) / 100 AS coverage", "CAST((frame * 13) % 50 AS DOUBLE) / 10 AS err_px", "CAST((frame * 29) % 100 AS DOUBLE) / 100 AS explained",
+)
+CALIBRATION = f"SELECT {', '.join(CAMERA_COLUMNS)}"
+
+
+def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detections(spark, sf_dir).select("frame").distinct().selectExpr(*CAMERA_COLUMNS)
+
+
 #: The same tables as common table expressions for DuckDB.
 VIEWS = """
 detections AS (SELECT det_id, frame, shot_no, track_id, x1, y1, x1+w AS x2, y1+h AS y2, score, cls FROM (
