@@ -12,8 +12,8 @@ log(1 - SHARE + SHARE * exp(a word's greatest evidence)): of spellings by their
 insults count in a long text), and of words after words by its root. A logistic calibration on labelled rows that the counts have not seen turns them into a score from
 0 to 1.
 
-Labels are learnt from a sample bounded in rows and bytes (labelled_sample), both parameters; the driver gets the
-sample's bigram counts and the features of its calibration rows. All tables are packed arrays of 64-bit hashes. Every
+Labels are learnt from a sample bounded in rows and bytes (labelled_sample), both parameters; a task makes the models of
+the sample's bigram counts, and the driver gets them sealed, with the features of the calibration rows. All tables are packed arrays of 64-bit hashes. Every
 text is scored whole; its language, source and id are no inputs. Null and empty texts have no evidence and get the
 calibration's intercept. Bytes that are no UTF-8 are parts of words. Rows are scored on their own: repeated rows alike, an
 empty table gives an empty result. Without labelled rows of both classes all scores are the share of toxic rows (0
@@ -22,11 +22,14 @@ without any).
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -248,18 +251,33 @@ def _count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"label": label, "before": [k[0] for k in keys], "word": [k[1] for k in keys], "n": list(seen[label].values())})
 
 
-def learnt(sample: DataFrame) -> Evidence | None:
-    """sample (label, text binary) -> the models; None where a class has no words."""
+class Sealed:
+    """A pickled object that unpickles to itself: the driver passes it on without opening it."""
+
+    def __init__(self, data: bytes) -> None:
+        self.data = data
+
+    def __reduce__(self) -> tuple:
+        return pickle.loads, (self.data,)
+
+
+def learnt(sample: DataFrame) -> Sealed | None:
+    """sample (label, text binary) -> the models, sealed; None where a class has no words. The sample is bounded, so one task
+    on an executor makes them of its pairs' counts."""
     counted = sample.select("label", "text").mapInPandas(_count_pairs, "label int, before binary, word binary, n long")
-    rows = counted.groupBy("before", "word").agg(*(F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1))).toArrow()
-    counts = np.column_stack([rows["n0"].to_numpy(), rows["n1"].to_numpy()]).astype(np.int64).reshape(-1, 2)
-    if not counts.sum(0).all():
-        return None
-    spellings = rows["word"].combine_chunks().dictionary_encode()
-    listed = spellings.dictionary.to_pylist()
-    place = {w: k for k, w in enumerate(listed)}
-    before = np.fromiter((place.get(b, -1) for b in rows["before"].to_pylist()), np.int64, rows.num_rows)
-    return Evidence(listed, before, spellings.indices.to_numpy().astype(np.int64), counts)
+    counted = counted.groupBy("before", "word").agg(*(F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)))
+
+    def build(rows: pa.Table) -> pa.Table:
+        counts = np.column_stack([rows[c].to_numpy() for c in ("n0", "n1")]).astype(np.int64)
+        if not counts.sum(0).all():
+            return pa.table({"model": pa.array([], pa.binary())})
+        spelt = rows["word"].combine_chunks().dictionary_encode()
+        before = pc.fill_null(pc.index_in(rows["before"].combine_chunks(), value_set=spelt.dictionary), -1)
+        model = Evidence(spelt.dictionary.to_pylist(), before.to_numpy().astype(np.int64), spelt.indices.to_numpy().astype(np.int64), counts)
+        return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    made = counted.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(build, "model binary").first()
+    return None if made is None else Sealed(bytes(made.model))
 
 
 def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, most_bytes: int = SAMPLE_BYTES):
