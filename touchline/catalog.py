@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import geometry as g
-from .functions.vectors import unit
+from .functions.vectors import l1, unit
 from .operators import crossings, drawing, identity, projection, sequence, series, splits
 from .sources import adapter as src
 
@@ -146,7 +146,7 @@ def occlusion_estimate(spark, d):
 
 
 _AMBIGUOUS = f"""ov AS (SELECT a.track_id AS a, b.track_id AS b, a.frame FROM tracks a JOIN tracks b ON a.frame=b.frame AND a.track_id<b.track_id
- WHERE a.team_online=b.team_online AND least(a.margin,b.margin)<=0.15 AND {_IOU}>=0.05),
+ WHERE (a.team_online<0 OR b.team_online<0 OR a.team_online=b.team_online) AND least(a.margin,b.margin)<=0.15 AND {_IOU}>=0.05),
 br AS (SELECT *, CASE WHEN frame - lag(frame) OVER (PARTITION BY a,b ORDER BY frame) <= 15 THEN 0 ELSE 1 END AS n FROM ov),
 isl AS (SELECT *, sum(n) OVER (PARTITION BY a,b ORDER BY frame) AS k FROM br)"""
 
@@ -223,26 +223,28 @@ def colour_histogram(spark, d):
 
 # Cuts and shots
 
-_CUTS = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: abs(CAST(x AS DOUBLE))) AS a FROM embeddings), h AS (SELECT vec_id, list_transform(a, lambda x: x / list_sum(a)) AS q FROM v),
-p AS (SELECT vec_id, q, lag(q) OVER (ORDER BY vec_id) AS o FROM h), cuts AS (SELECT vec_id AS c FROM p WHERE o IS NOT NULL AND 0.5 * list_sum(list_transform(list_zip(q, o), lambda z: abs(z[1] - z[2]))) > 0.35),
-kept(b) AS (SELECT CAST(0 AS BIGINT) UNION ALL SELECT (SELECT min(c) FROM cuts WHERE c - b >= 12) FROM kept WHERE (SELECT min(c) FROM cuts WHERE c - b >= 12) IS NOT NULL)
-SELECT b AS start_frame, coalesce(lead(b) OVER (ORDER BY b) - 1, (SELECT max(vec_id) FROM embeddings)) AS end_frame FROM kept"""
+#: Vectors of one clip follow one another; a clip is one window's partition.
+_CLIP = 2000
+_CUTS = f"""WITH v AS (SELECT vec_id, CAST(floor(vec_id / {_CLIP}) AS BIGINT) AS clip, list_transform(embedding, lambda x: abs(CAST(x AS DOUBLE))) AS a FROM embeddings),
+h AS (SELECT clip, vec_id, list_transform(a, lambda x: x / list_sum(a)) AS q FROM v), p AS (SELECT clip, vec_id, q, lag(q) OVER (PARTITION BY clip ORDER BY vec_id) AS o FROM h),
+cuts AS (SELECT clip, vec_id AS c FROM p WHERE o IS NOT NULL AND 0.5 * list_sum(list_transform(list_zip(q, o), lambda z: abs(z[1] - z[2]))) > 0.35),
+kept(clip, b) AS (SELECT clip, clip * {_CLIP} FROM v GROUP BY clip UNION ALL
+  SELECT k.clip, (SELECT min(c) FROM cuts WHERE cuts.clip = k.clip AND c - k.b >= 12) FROM kept k WHERE (SELECT min(c) FROM cuts WHERE cuts.clip = k.clip AND c - k.b >= 12) IS NOT NULL)
+SELECT kept.clip, b AS start_frame, coalesce(lead(b) OVER (PARTITION BY kept.clip ORDER BY b) - 1, last) AS end_frame FROM kept JOIN (SELECT clip, max(vec_id) AS last FROM v GROUP BY clip) l ON l.clip = kept.clip"""
 
 
 @query(_CUTS)
 def shot_intervals(spark, d):
-    """Histogram cuts, thinned by a least length, as closed intervals."""
-    v = src.vectors(spark, d)
-    w = Window.orderBy("vec_id")
-    jump = F.lag("hist").over(w)
-    cut = v.withColumn("o", jump).filter("o IS NOT NULL")
-    from .functions.vectors import l1
-
-    cut = cut.filter(l1("hist", "o") > 0.35).select(F.lit(1).alias("video"), F.col("vec_id").alias("c"))
-    bounds = series.thinned_cuts(cut.unionAll(spark.createDataFrame([(1, None)], "video int, c long")), ["video"], "c", 12)
-    starts = bounds.select(F.explode("bounds").alias("start_frame"))
-    last = v.agg(F.max("vec_id").alias("last"))
-    return starts.crossJoin(F.broadcast(last)).select("start_frame", F.coalesce(F.lead("start_frame").over(Window.orderBy("start_frame")) - 1, "last").alias("end_frame"))  # one row
+    """Histogram cuts of each clip, thinned by a least length, as closed intervals."""
+    v = src.vectors(spark, d).withColumn("clip", F.floor(F.col("vec_id") / _CLIP))
+    before = F.lag("hist").over(Window.partitionBy("clip").orderBy("vec_id"))
+    cut = v.withColumn("o", before).filter("o IS NOT NULL").withColumn("jump", l1("hist", "o")).filter("jump > 0.35")
+    first = F.col("clip") * _CLIP
+    every = cut.select("clip", (F.col("vec_id") - first).alias("c")).unionByName(v.select("clip", F.lit(None).cast("long").alias("c")).distinct())
+    starts = series.thinned_cuts(every, ["clip"], "c", 12).select("clip", F.explode("bounds").alias("b")).select("clip", (F.col("b") + first).alias("start_frame"))
+    last = v.groupBy("clip").agg(F.max("vec_id").alias("last"))
+    following = F.lead("start_frame").over(Window.partitionBy("clip").orderBy("start_frame")) - 1
+    return starts.join(last, "clip").select("clip", "start_frame", F.coalesce(following, "last").alias("end_frame"))
 
 
 @query("""WITH s AS (SELECT shot_no, quantile_cont(score, 0.5) AS green FROM detections GROUP BY 1), t AS (SELECT shot_no, round(green,6) AS green, CASE WHEN green > 0.495 THEN 'main' WHEN green > 0.2 THEN 'closeup' ELSE 'other' END AS shot_type FROM s)
@@ -340,14 +342,15 @@ def greedy_chain(spark, d):
     return identity.greedy_chain(identity.link_edges(t, src.vectors(spark, d)), 0.3, links, segments)
 
 
-@query("""WITH t AS (SELECT shot_no * 1000 + track_id AS node, track_id, start_frame, end_frame, mean_margin, row_number() OVER (PARTITION BY track_id ORDER BY start_frame) AS k FROM tracklets),
-ch(node, root, track_id, k, confidence) AS (SELECT node, node, track_id, k, CAST(1 AS DOUBLE) FROM t WHERE k % 4 = 1 UNION ALL SELECT t.node, ch.root, t.track_id, t.k, least(ch.confidence, t.mean_margin) FROM ch JOIN t ON t.track_id = ch.track_id AND t.k = ch.k + 1 WHERE t.k % 4 <> 1)
+@query("""WITH t AS (SELECT shot_no * 1000 + track_id AS node, track_id, mean_margin, row_number() OVER (PARTITION BY track_id ORDER BY start_frame) AS k FROM tracklets),
+ch(node, root, track_id, k, confidence) AS (SELECT node, node, track_id, k, CAST(1 AS DOUBLE) FROM t WHERE k = 1
+  UNION ALL SELECT t.node, ch.root, t.track_id, t.k, least(ch.confidence, t.mean_margin) FROM ch JOIN t ON t.track_id = ch.track_id AND t.k = ch.k + 1)
 SELECT node, root, confidence FROM ch""")
 def chain_identities(spark, d):
-    """Chains of up to four tracklets of a track, labelled by their root, with the least belief along the chain."""
+    """The chain of all tracklets of a track, labelled by their root, with the least belief along the chain."""
     w = Window.partitionBy("track_id").orderBy("start_frame")
-    t = identity.summarize(src.tracks(spark, d)).withColumn("node", F.col("shot_no") * 1000 + F.col("track_id")).withColumn("k", F.row_number().over(w))
-    links = t.withColumn("pred", F.lag("node").over(w)).filter("k % 4 <> 1").select("node", "pred", F.col("mean_margin").alias("belief"))
+    t = identity.summarize(src.tracks(spark, d)).withColumn("node", F.col("shot_no") * 1000 + F.col("track_id"))
+    links = t.withColumn("pred", F.lag("node").over(w)).filter("pred IS NOT NULL").select("node", "pred", F.col("mean_margin").alias("belief"))
     return identity.chain_labels(t.select("node"), links)
 
 
@@ -385,7 +388,7 @@ def roster_asof(spark, d):
 # Fusion
 
 
-_FUSED = f"""ident AS (SELECT shot_no, track_id, track_id + 1 AS identity_id, team, n_frames < 15 AS abstained, round(1 - frac_occluded, 6) AS confidence, row_number() OVER (PARTITION BY track_id ORDER BY start_frame) > 1 AS again FROM tracklets),
+_FUSED = f"""ident AS (SELECT shot_no, track_id, track_id + 1 AS identity_id, team, n_frames < 15 AND count(*) OVER (PARTITION BY track_id) = 1 AS abstained, round(1 - frac_occluded, 6) AS confidence, row_number() OVER (PARTITION BY track_id ORDER BY start_frame) > 1 AS again FROM tracklets),
 foot AS (SELECT t.*, (x1+x2)/2 AS fx, y2 AS fy FROM tracks t),
 j AS (SELECT f.frame, CASE WHEN abstained THEN -1 ELSE identity_id END AS identity_id, team, x1, y1, x2, y2, CASE WHEN abstained THEN 0 ELSE confidence END AS conf,
  round(greatest(least(0.5 * exp(-6 * margin), 0.5), 0.01), 6) AS link_err_p, CASE WHEN again AND NOT abstained AND row_number() OVER (PARTITION BY f.shot_no, f.track_id ORDER BY f.frame) = 1 THEN 1 ELSE 0 END AS reentry, {_XY}
@@ -395,7 +398,7 @@ j AS (SELECT f.frame, CASE WHEN abstained THEN -1 ELSE identity_id END AS identi
 def _fused(spark, d) -> DataFrame:
     t = src.tracks(spark, d)
     again = F.row_number().over(Window.partitionBy("track_id").orderBy("start_frame")) > 1
-    ident = identity.summarize(t).select("shot_no", "track_id", (F.col("track_id") + 1).alias("identity_id"), "team", (F.col("n_frames") < 15).alias("abstained"), F.round(1 - F.col("frac_occluded"), 6).alias("confidence"), again.alias("again"))
+    ident = identity.summarize(t).select("shot_no", "track_id", (F.col("track_id") + 1).alias("identity_id"), "team", ((F.col("n_frames") < 15) & (F.count("*").over(Window.partitionBy("track_id")) == 1)).alias("abstained"), F.round(1 - F.col("frac_occluded"), 6).alias("confidence"), again.alias("again"))
     first = F.row_number().over(Window.partitionBy("shot_no", "track_id").orderBy("frame")) == 1
     rows = _pitch(t.withColumn("first", first)).join(ident, ["shot_no", "track_id"])
     return rows.select(
