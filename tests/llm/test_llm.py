@@ -548,6 +548,25 @@ def test_every_stage_bears_odd_rows(spark, odd, tmp_path):
         assert stage(spark, odd.limit(0), SF).count() == 0
 
 
+def test_a_benchmark_beyond_one_index_bears_odd_rows(spark, odd):
+    benchmark = read(spark, "benchmark").select(F.col("item_id"), F.concat_ws(" ", "text", F.lit("tail")).alias("text"))
+    benchmark = benchmark.unionByName(spark.createDataFrame([(None, "lorem ipsum dolor sit amet lorem ipsum dolor sit amet"), (77, None)], "item_id long, text string").select(F.col("item_id").cast(benchmark.schema["item_id"].dataType).alias("item_id"), "text"))
+    untouched(decontaminate.clean(odd, benchmark, most=50), odd)
+    rows = decontaminate.clean(odd, benchmark, most=50).select("doc_id").collect()
+    assert 21 not in {r.doc_id for r in rows} and len(rows) == odd.count() - 1
+    assert decontaminate.clean(odd.limit(0), benchmark, most=50).count() == 0
+
+
+def test_work_folders_are_released(spark):
+    from touchline.llm.common import release, settle
+
+    kept = settle(spark.range(5), "t")
+    assert kept.count() == 5
+    release(spark)
+    with pytest.raises(Exception, match="(?i)not.*exist|not.*found"):
+        spark.read.parquet(kept.settled_at).count()
+
+
 def test_every_operator_has_a_query():
     assert {q.split("_")[0] for q in queries.queries()} == {f"op{n}" for n in range(1, 11)}
     assert set(queries.oracle_sql()) <= set(queries.queries())
