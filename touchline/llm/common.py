@@ -17,6 +17,9 @@ from pyspark.sql.types import StructField, StructType
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 16 << 20
 
+#: Bytes of a batch that Python works on at once.
+PIECE_BYTES = 8 << 20
+
 #: Bytes that end a white-space token: 0x20 and 0x09-0x0D, which bytes.split() uses too.
 SPACE_TOKEN = r"[^\x20\x09-\x0D]+"
 
@@ -159,7 +162,7 @@ def with_computed(df: DataFrame, inputs: list[str], outputs: str, make: Callable
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in slices(whole, PIECE_BYTES)):
             new = compute(*(values(batch.column(k)) for k in place))
             arrays = [pa.array(x, type=t) for x, t in zip(new, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), *arrays], names=[*(f"c{k}" for k in kept), *added.names])
@@ -168,6 +171,13 @@ def with_computed(df: DataFrame, inputs: list[str], outputs: str, make: Callable
     return numbered(df).mapInArrow(run, schema).toDF(*(names[k] for k in kept), *added.names)
 
 
+def slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about `size` bytes."""
+    rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
+    for k in range(0, batch.num_rows, rows):
+        yield batch.slice(k, rows)
+
+
 def numbered(df: DataFrame) -> DataFrame:
     """df with its columns called c0, c1 and so on: mapInArrow takes no names with dots."""
     return df.toDF(*(f"c{k}" for k in range(len(df.columns))))

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import fresh_path, lookup, remainder, settle, space_tokens
+from .common import fresh_path, lookup, remainder, settle, slices, space_tokens
 from .stores import open_store
 from .tables import Lookup
 
@@ -98,7 +98,7 @@ def count_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
             return pa.RecordBatch.from_pydict({"gram": pa.array(keys.astype(np.int64)), "n": pa.array(n.astype(np.int64))})
 
         for batch in batches:
-            for piece in _slices(batch, CHUNK_BYTES // 2):
+            for piece in slices(batch, CHUNK_BYTES // 2):
                 held.append(_distinct(gram_keys(piece.column("text").to_pylist(), order)[0]))
                 if sum(len(k) for k, _ in held) > FLUSH_GRAMS:
                     held = [merged()]
@@ -110,12 +110,6 @@ def count_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
     return texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
-    rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
-    for k in range(0, batch.num_rows, rows):
-        yield batch.slice(k, rows)
-
-
 class ByteModel:
     """PPM code lengths from gram counts of the whole corpus or of a block.
 
@@ -331,7 +325,7 @@ def pack_chunks(docs: DataFrame, model: ByteModel | StoredModel, size: int = CHU
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = 0
         for batch in batches:
-            for piece in _slices(batch, size):
+            for piece in slices(batch, size):
                 known: dict[bytes, int] = {}
                 ids, ends, at = [], [], 0
                 held = piece.column("_held").to_pylist()

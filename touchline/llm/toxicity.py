@@ -25,6 +25,7 @@ from __future__ import annotations
 import pickle
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -141,7 +142,22 @@ class Evidence:
     def __init__(self, listed: list[bytes], before: np.ndarray, word: np.ndarray, counts: np.ndarray) -> None:
         """listed: the sample's distinct words; before and word: bigrams as places in it (-1: none before); counts: theirs by
         class (a row each)."""
-        framed, self.memo = Framed(listed), {}
+        self.forget()
+        hashes, spelt = self._learn_spelling(listed, word, counts)
+        # Words after words: each class backs off to the pooled pairs, and these to the class's spelling.
+        previous = np.where(before < 0, FIRST, hashes[np.maximum(before, 0)]) if len(listed) else np.zeros(0, np.uint64)
+        pairs = pair_keys(previous, hashes[word]) if len(listed) else np.zeros(0, np.uint64)
+        pooled = Level(pairs, previous, counts.sum(1))
+        q = [np.log(Level(pairs, previous, counts[:, c]).p(pairs, previous, pooled.p(pairs, previous, spelt[c][word]))) for c in (0, 1)]
+        self.of_pair = Lookup(pairs, (q[1] - q[0]).astype(np.float32), np.nan)
+        del q, pooled
+        contexts = np.unique(previous)
+        share = [Level(pairs, previous, counts[:, c]).share(contexts) for c in (0, 1)]
+        self.of_previous = Lookup(contexts, np.log(share[1] / share[0]).astype(np.float32), 0.0)
+
+    def _learn_spelling(self, listed: list[bytes], word: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The byte model; returns the words' hashes and their probabilities by class."""
+        framed = Framed(listed)
         hashes = framed.hashes()
         by_word = np.stack([np.bincount(word, counts[:, c], len(listed)) for c in (0, 1)]) if len(listed) else np.zeros((2, 0))
         at = framed.coded
@@ -164,15 +180,7 @@ class Evidence:
         self.of_gram = Lookup(grams, told.astype(np.float32), np.nan)
         contexts = np.unique(context)
         self.of_context = Lookup(contexts, np.log(levels[1].share(contexts) / levels[0].share(contexts)).astype(np.float32), 0.0)
-        # Words after words: the byte model is the back-off of each class.
-        spelt = [np.exp(np.bincount(framed.word[at], np.log(x[of]), len(listed))) if len(listed) else np.zeros(0) for x in p]
-        previous = np.where(before < 0, FIRST, hashes[np.maximum(before, 0)]) if len(listed) else np.zeros(0, np.uint64)
-        pairs = pair_keys(previous, hashes[word]) if len(listed) else np.zeros(0, np.uint64)
-        pooled, both = Level(pairs, previous, counts.sum(1)), [Level(pairs, previous, counts[:, c]) for c in (0, 1)]
-        q = [x.p(pairs, previous, pooled.p(pairs, previous, s[word])) for x, s in zip(both, spelt, strict=True)]
-        self.of_pair = Lookup(pairs, np.log(q[1] / q[0]).astype(np.float32), np.nan)
-        contexts = np.unique(previous)
-        self.of_previous = Lookup(contexts, np.log(both[1].share(contexts) / both[0].share(contexts)).astype(np.float32), 0.0)
+        return hashes, [np.exp(np.bincount(framed.word[at], np.log(x[of]), len(listed))) if len(listed) else np.zeros(0) for x in p]
 
     def spelling(self, listed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Of each word its hash and log P(word | toxic) - log P(word | ordinary), by its bytes alone."""
@@ -185,70 +193,83 @@ class Evidence:
         return framed.hashes(), np.bincount(framed.word[at], told, len(listed))
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memo": {}}
+        return {k: v for k, v in self.__dict__.items() if k not in ("memo", "hashes", "spelt")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.forget()
 
-    def _known(self, listed: list[list[bytes]]) -> dict[bytes, tuple[int, float]]:
-        """hash and spelling of all words of some texts, remembered."""
-        if len(self.memo) > 200_000:
-            self.memo.clear()
+    def forget(self) -> None:
+        """Drop what is remembered of words: places in the arrays of their hashes and spellings."""
+        self.memo, self.hashes, self.spelt = {}, np.zeros(0, np.uint64), np.zeros(0)
+
+    def _remember(self, listed: list[list[bytes]]) -> None:
+        if len(self.memo) > 100_000:
+            self.forget()
         new = sorted(set().union(*listed) - self.memo.keys())
-        for k in range(0, len(new), 50_000):
-            part = new[k : k + 50_000]
-            hashes, told = self.spelling(part)
-            self.memo.update(zip(part, zip(hashes.tolist(), told.tolist(), strict=True), strict=True))
-        return self.memo
+        if new:
+            hashes, told = self.spelling(new)
+            self.memo.update(zip(new, range(len(self.hashes), len(self.hashes) + len(new)), strict=True))
+            self.hashes, self.spelt = np.concatenate([self.hashes, hashes]), np.concatenate([self.spelt, told])
 
     def features(self, texts: list[bytes | None]) -> np.ndarray:
         """A row a text: the difference of the log-likelihoods a word, and three sums over distinct words."""
         out = np.zeros((len(texts), 4))
-        for first, listed in _parts([words(t) for t in texts]):
+        for first, listed in _parts(texts):
             sizes = np.array([len(w) for w in listed])
             if not sizes.any():
                 continue
-            memo = self._known(listed)
-            both = [memo[w] for one in listed for w in one]
-            hashes = np.fromiter((x[0] for x in both), np.uint64, len(both))
-            spelt = np.fromiter((x[1] for x in both), np.float64, len(both))
+            self._remember(listed)
+            ids = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(listed)), np.int64, sizes.sum())
+            hashes, spelt = self.hashes[ids], self.spelt[ids]
             of = np.repeat(np.arange(len(listed)), sizes)
             previous = np.concatenate([[FIRST], hashes[:-1]])
             previous[(np.cumsum(sizes) - sizes)[sizes > 0]] = FIRST
             told = self.of_pair(pair_keys(previous, hashes)).astype(np.float64)
             new = np.flatnonzero(np.isnan(told))
             told[new] = spelt[new] + self.of_previous(previous[new])
+            # Of each distinct word of a text its greatest evidence.
+            key = of << 32 | ids
+            order = np.argsort(key, kind="stable")
+            start = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+            text = of[order][start]
             some = sizes > 0
+            kinds = np.bincount(text, minlength=len(listed))[some]
             here = out[first : first + len(listed)]
             here[some, 0] = np.bincount(of, told, len(listed))[some] / sizes[some]
-            for column, evidence in ((1, spelt), (3, told)):
-                order = np.lexsort((evidence, hashes, of))
-                last = np.append((hashes[order][1:] != hashes[order][:-1]) | (of[order][1:] != of[order][:-1]), True)
-                chosen = order[last]  # of each distinct word of a text its greatest evidence
-                weight = np.log1p(SHARE * np.expm1(np.minimum(evidence[chosen], MOST_EVIDENCE)))
-                sums, kinds = np.bincount(of[chosen], weight, len(listed))[some], np.bincount(of[chosen], minlength=len(listed))[some]
-                if column == 1:
-                    here[some, 1] = 20 * sums / kinds
-                here[some, 3 if column == 3 else 2] = sums / np.sqrt(kinds)
+            plain, paired = (np.log1p(SHARE * np.expm1(np.minimum(e, MOST_EVIDENCE))) for e in (spelt[order][start], np.maximum.reduceat(told[order], start)))
+            plain, paired = (np.bincount(text, e, len(listed))[some] for e in (plain, paired))
+            here[some, 1], here[some, 2], here[some, 3] = 20 * plain / kinds, plain / np.sqrt(kinds), paired / np.sqrt(kinds)
         return out
 
 
-def _parts(listed: list[list[bytes]], most: int = 200_000) -> Iterator[tuple[int, list[list[bytes]]]]:
-    """Runs of texts of about `most` words, and where they begin."""
+def _parts(texts: list[bytes | None], most: int = 1 << 20) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """The words of runs of texts of about `most` bytes, and where they begin."""
     first, held = 0, 0
-    for k, one in enumerate(listed):
-        held += len(one)
-        if held > most or k + 1 == len(listed):
-            yield first, listed[first : k + 1]
+    for k, text in enumerate(texts):
+        held += len(text or b"")
+        if held > most or k + 1 == len(texts):
+            yield first, [words(t) for t in texts[first : k + 1]]
             first, held = k + 1, 0
 
 
-def _count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    seen = (Counter(), Counter())
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each label and pair of words in how many documents it stands; a task sends its counts now and then."""
+    seen: Counter = Counter()
+
+    def told() -> pa.RecordBatch:
+        columns = (*zip(*seen, strict=True), seen.values()) if seen else ([],) * 4
+        types = (pa.int32(), pa.binary(), pa.binary(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["label", "before", "word", "n"])
+
     for batch in batches:
-        for label, text in zip(batch["label"], batch["text"], strict=True):
+        for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
             w = words(text)
-            seen[label].update(set(zip([b"", *w], w, strict=False)))
-    for label in (0, 1):
-        keys = list(seen[label])
-        yield pd.DataFrame({"label": label, "before": [k[0] for k in keys], "word": [k[1] for k in keys], "n": list(seen[label].values())})
+            seen.update({(label, a, b) for a, b in zip([b"", *w], w, strict=False)})
+            if len(seen) > 100_000:
+                yield told()
+                seen.clear()
+    yield told()
 
 
 class Sealed:
@@ -264,7 +285,7 @@ class Sealed:
 def learnt(sample: DataFrame) -> Sealed | None:
     """sample (label, text binary) -> the models, sealed; None where a class has no words. The sample is bounded, so one task
     on an executor makes them of its pairs' counts."""
-    counted = sample.select("label", "text").mapInPandas(_count_pairs, "label int, before binary, word binary, n long")
+    counted = sample.select("label", "text").mapInArrow(_count_pairs, "label int, before binary, word binary, n long")
     counted = counted.groupBy("before", "word").agg(*(F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)))
 
     def build(rows: pa.Table) -> pa.Table:
