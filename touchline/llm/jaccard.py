@@ -210,7 +210,7 @@ def _got(row) -> Cluster:
 
 
 _LEAF = "node long, level int, bits binary, smallest int, largest int, excess array<int>"
-_MET = f"run long, nodes array<long>, leaf struct<{_LEAF.replace(' ', ':').replace(',:', ',')}>"
+_MET = f"run long, piece int, n int, nodes array<long>, leaf struct<{_LEAF.replace(' ', ':').replace(',:', ',')}>"
 
 
 def candidate_edges(docs: DataFrame, buckets: int) -> DataFrame:
@@ -253,12 +253,12 @@ def candidate_edges(docs: DataFrame, buckets: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "x", "y"])
 
     def meet(group: pa.Table) -> pa.Table:
-        """Signatures that several nodes have, as lists of nodes; lists that return are told once. Bitmaps pass, once a node."""
+        """Signatures that several nodes have, as lists of nodes in pieces; lists that return are told once. Bitmaps pass, once a node."""
         xs, ys = group.column("x").to_pylist(), group.column("y").to_pylist()
         if group.column("bucket")[0].as_py() < 0:
             leaves = {leaf[0]: leaf for x in xs for leaf in pickle.loads(x)}
             names = _LEAF.replace(" long", "").replace(" int", "").replace(" binary", "").replace(" array<int>", "").split(", ")
-            rows = [(None, None, dict(zip(names, leaf, strict=True))) for leaf in leaves.values()]
+            rows = [(None, None, None, None, dict(zip(names, leaf, strict=True))) for leaf in leaves.values()]
         else:
             sigs = np.concatenate([np.frombuffer(x, np.uint64) for x in xs])
             nodes = np.concatenate([np.frombuffer(y, np.int64) for y in ys])
@@ -271,13 +271,13 @@ def candidate_edges(docs: DataFrame, buckets: int) -> DataFrame:
             runs = {}
             for i, j in zip(first[ends - first > 1].tolist(), ends[ends - first > 1].tolist(), strict=True):
                 runs.setdefault(set_key(nodes[i:j]), nodes[i:j])
-            rows = [(k, v.tolist(), None) for k, v in runs.items()]
-        columns = zip(*rows, strict=True) if rows else ([], [], [])
+            rows = [(k, i // SLICE, len(v), v[i : i + SLICE].tolist(), None) for k, v in runs.items() for i in range(0, len(v), SLICE)]
+        columns = zip(*rows, strict=True) if rows else ([],) * 5
         return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, met_schema, strict=True)], schema=met_schema)
 
     met = settle(docs.mapInArrow(sign, "bucket int, x binary, y binary").groupBy("bucket").applyInArrow(meet, _MET), "jaccard-signatures")
-    runs = met.filter("run IS NOT NULL").select("run", "nodes").dropDuplicates(["run"])
-    parts = F.ceil(F.size("nodes") / SLICE).cast("int")
+    runs = met.filter("run IS NOT NULL").select("run", "piece", "n", "nodes").dropDuplicates(["run", "piece"])
+    parts = F.ceil(F.col("n") / SLICE).cast("int")
     members = runs.select("run", parts.alias("slices"), F.explode("nodes").alias("node")).withColumn("slice", F.pmod(F.xxhash64("node"), "slices").cast("int"))
     leaves = met.filter("leaf IS NOT NULL").select("leaf.*")
     members = members.join(leaves, "node")
