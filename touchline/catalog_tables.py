@@ -116,6 +116,42 @@ def pan_closure(spark, d):
     return calibration.closure(moved, ["shot_no"]).withColumn("closure", F.round("closure", 6))
 
 
+_SHOT = "CAST(floor(frame / 100) AS BIGINT) AS shot_no"
+_MOVED = "CAST(frame % 5 - 2 AS DOUBLE) / 100 AS moved_pan, CAST(frame % 3 - 1 AS DOUBLE) / 100 AS moved_tilt, CAST(frame % 7 - 3 AS DOUBLE) / 1000 AS moved_zoom"
+_CHAIN = f"""{_CAMERAS}, m AS (SELECT frame, {_SHOT}, {_MOVED} FROM cam),
+t AS (SELECT shot_no, frame, coalesce(sum(moved_pan) OVER w, 0) AS tp, coalesce(sum(moved_tilt) OVER w, 0) AS tt, coalesce(sum(moved_zoom) OVER w, 0) AS tz
+  FROM m WINDOW w AS (PARTITION BY shot_no ORDER BY frame ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+k AS (SELECT t.*, pan, tilt + CAST(t.frame % 4 AS DOUBLE) / 50 AS tilt, f + t.frame % 9 AS f, cx + t.frame % 2 AS cx FROM t JOIN cam ON cam.frame = t.frame WHERE valid AND t.frame % 3 = 0)"""
+
+
+def _motion(spark, d) -> tuple[DataFrame, DataFrame]:
+    cam = src.calibration(spark, d).withColumn("valid", calibration.is_valid(F.col("coverage"), F.col("err_px"), F.col("explained")))
+    cam = cam.withColumn("shot_no", F.floor(F.col("frame") / 100))
+    keys = cam.filter("valid AND frame % 3 = 0").selectExpr("shot_no", "frame", "cx + frame % 2 AS cx", "cy", "cz", "pan", "tilt + CAST(frame % 4 AS DOUBLE) / 50 AS tilt", "f + frame % 9 AS f")
+    return cam.selectExpr("shot_no", "frame", *_MOVED.split(", ")), keys
+
+
+@query(f"""WITH {_CHAIN}, pq AS (SELECT t.*, max(a.frame) AS p FROM t LEFT JOIN k a ON a.shot_no = t.shot_no AND a.frame <= t.frame GROUP BY ALL),
+r AS (SELECT pq.*, min(b.frame) AS q FROM pq LEFT JOIN k b ON b.shot_no = pq.shot_no AND b.frame >= pq.frame GROUP BY ALL),
+x AS (SELECT r.*, coalesce(CAST(r.frame - p AS DOUBLE) / nullif(q - p, 0), 0) AS w, a.pan + r.tp - a.tp AS fp, b.pan + r.tp - b.tp AS bp, a.tilt + r.tt - a.tt AS ft, b.tilt + r.tt - b.tt AS bt,
+  ln(a.f) + r.tz - a.tz AS ff, ln(b.f) + r.tz - b.tz AS bf, coalesce(b.cx, a.cx) AS cx FROM r LEFT JOIN k a ON a.shot_no = r.shot_no AND a.frame = p LEFT JOIN k b ON b.shot_no = r.shot_no AND b.frame = q)
+SELECT shot_no, frame, cx, round(coalesce((1 - w) * fp + w * bp, fp, bp), 6) + CAST(0 AS DOUBLE) AS pan, round(coalesce((1 - w) * ft + w * bt, ft, bt), 6) + CAST(0 AS DOUBLE) AS tilt, round(exp(coalesce((1 - w) * ff + w * bf, ff, bf)), 5) AS f FROM x""")
+def camera_chaining(spark, d):
+    """A camera a frame from keyframes and the motion between frames."""
+    found = calibration.chained(*_motion(spark, d), ["shot_no"])
+    return found.select("shot_no", "frame", "cx", _metres(F.col("pan")).alias("pan"), _metres(F.col("tilt")).alias("tilt"), F.round("f", 5).alias("f"))
+
+
+@query(f"""WITH {_CHAIN}, n AS (SELECT *, lag(pan - tp) OVER w + tp AS fp, lead(pan - tp) OVER w + tp AS bp, lag(tilt - tt) OVER w + tt AS ft, lead(tilt - tt) OVER w + tt AS bt,
+  exp(lag(ln(f) - tz) OVER w + tz) AS ff, exp(lead(ln(f) - tz) OVER w + tz) AS bf FROM k WINDOW w AS (PARTITION BY shot_no ORDER BY frame))
+SELECT shot_no, frame, round((fp + bp) / 2, 6) + CAST(0 AS DOUBLE) AS pan, round((ft + bt) / 2, 6) AS tilt, round(sqrt(ff * bf), 5) AS f FROM n
+WHERE greatest(abs(fp - pan), abs(ft - tilt)) > 0.05 AND greatest(abs(bp - pan), abs(bt - tilt)) > 0.05 AND greatest(abs(fp - bp), abs(ft - bt)) <= 0.05""")
+def camera_outliers(spark, d):
+    """Keyframes that the motion from both neighbours contradicts."""
+    found = calibration.outliers(*_motion(spark, d), ["shot_no"], 0.05)
+    return found.select("shot_no", "frame", _metres(F.col("pan")).alias("pan"), F.round("tilt", 6).alias("tilt"), F.round("f", 5).alias("f"))
+
+
 _X, _Y, _C = g.PITCH_LENGTH / 2, g.PITCH_WIDTH / 2, calibration.CIRCLE
 _STRAIGHT = [
     *((-_X, s * _Y, _X, s * _Y) for s in (-1, 1)), *((s * _X, -_Y, s * _X, _Y) for s in (-1, 0, 1)),

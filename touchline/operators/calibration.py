@@ -84,6 +84,54 @@ def closure(keyframes: DataFrame, keys: list[str]) -> DataFrame:
     return per.select(*keys, "n", F.when(F.col("n") >= 2, F.col("c")).otherwise(float("inf")).alias("closure"))
 
 
+MOVED = ("moved_pan", "moved_tilt", "moved_zoom")
+
+
+def travelled(motion: DataFrame, keys: list[str]) -> DataFrame:
+    """motion (keys, frame, moved_pan, moved_tilt, moved_zoom: from a frame to the next; null where it isn't known, the zoom
+    as a logarithm) with to_pan, to_tilt and to_zoom: the sums of the frames before."""
+    w = Window.partitionBy(*keys).orderBy("frame").rowsBetween(Window.unboundedPreceding, -1)
+    return motion.withColumns({m.replace("moved", "to"): F.coalesce(F.sum(F.coalesce(F.col(m), F.lit(0.0))).over(w), F.lit(0.0)) for m in MOVED})
+
+
+def chained(motion: DataFrame, keyframes: DataFrame, keys: list[str]) -> DataFrame:
+    """A camera a frame of motion: keyframes (keys, frame, cx, cy, cz, pan, tilt, f) as they are; between two of them the one
+    before moved on and the one behind moved back, blended by time (the focal length by its logarithm); beyond the ends
+    moved from the nearest. Positions are those of the next keyframe, or the last. Sums stand for chains of steps."""
+    rows = travelled(motion, keys).join(keyframes.withColumn("_key", F.lit(True)), [*keys, "frame"], "left")
+    known = F.when(F.col("_key"), F.struct("frame", "cx", "cy", "cz", "pan", "tilt", "f", "to_pan", "to_tilt", "to_zoom"))
+    w = Window.partitionBy(*keys)
+    past, future = (w.orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.col("frame").asc(), F.col("frame").desc()))
+    rows = rows.withColumn("_c", known).withColumn("p", F.last("_c", True).over(past)).withColumn("q", F.last("_c", True).over(future))
+    share = F.coalesce((F.col("frame") - F.col("p.frame")) / F.nullif(F.col("q.frame") - F.col("p.frame"), F.lit(0)), F.lit(0.0))
+
+    def blended(start: Column, end: Column) -> Column:
+        return F.coalesce((1 - share) * start + share * end, start, end)
+
+    moved = lambda side, c, to: F.col(f"{side}.{c}") + F.col(f"to_{to}") - F.col(f"{side}.to_{to}")
+    focal = lambda side: F.log(F.col(f"{side}.f")) + F.col("to_zoom") - F.col(f"{side}.to_zoom")
+    place = [F.coalesce(f"q.{c}", f"p.{c}").alias(c) for c in ("cx", "cy", "cz")]
+    turned = [blended(moved("p", c, c), moved("q", c, c)).alias(c) for c in ("pan", "tilt")]
+    return rows.select(*keys, "frame", *place, *turned, F.exp(blended(focal("p"), focal("q"))).alias("f"))
+
+
+def outliers(motion: DataFrame, keyframes: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
+    """Keyframes that the motion from both neighbours contradicts, while these agree: keys, frame and the pan, tilt and focal
+    length that they foretell."""
+    rows = keyframes.join(travelled(motion, keys), [*keys, "frame"])
+    w = Window.partitionBy(*keys).orderBy("frame")
+    told = {}
+    for name, step in (("fwd", F.lag), ("bwd", F.lead)):
+        for c in ("pan", "tilt"):
+            told[f"{name}_{c}"] = step(F.col(c) - F.col(f"to_{c}")).over(w) + F.col(f"to_{c}")
+        told[f"{name}_f"] = F.exp(step(F.log("f") - F.col("to_zoom")).over(w) + F.col("to_zoom"))
+    rows = rows.withColumns(told)
+    off = lambda a, b: F.greatest(F.abs(F.col(f"{a}pan") - F.col(f"{b}pan")), F.abs(F.col(f"{a}tilt") - F.col(f"{b}tilt")))
+    rows = rows.filter((off("fwd_", "") > tolerance) & (off("bwd_", "") > tolerance) & (off("fwd_", "bwd_") <= tolerance))
+    mean = [((F.col(f"fwd_{c}") + F.col(f"bwd_{c}")) / 2).alias(c) for c in ("pan", "tilt")]
+    return rows.select(*keys, "frame", *mean, F.sqrt(F.col("fwd_f") * F.col("bwd_f")).alias("f"))
+
+
 def pitch_lines() -> list[list[tuple[float, float]]]:
     """Points along the lines, areas, arcs and the circle of the pitch, about a metre apart on straight lines."""
     x, y = g.PITCH_LENGTH / 2, g.PITCH_WIDTH / 2

@@ -21,7 +21,7 @@ KINDS = {
     "encoder": "shot_no long, frame long, track_id long, emb array<double>",
     "mask": "det_id long, grass boolean",
     "camera": "shot_no long, frame long, cx double, cy double, cz double, pan double, tilt double, f double, coverage double, err_px double, explained double",
-    "motion": "shot_no long, frame long, moved_pan double, moved_tilt double",
+    "motion": "shot_no long, frame long, moved_pan double, moved_tilt double, moved_zoom double",
 }
 _PLUGINS: dict[tuple[str, str], Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]] = {}
 
