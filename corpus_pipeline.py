@@ -1,4 +1,11 @@
-"""The corpus pipeline: stages that each take (spark, docs, sf_dir) and return what the next one reads."""
+"""The corpus pipeline: stages that each take (spark, docs, sf_dir) and return what the next one reads.
+
+All stages but the last return the columns of their documents, whatever their names, and rows as they came: documents with
+null, empty, very long or ill-encoded texts are ordinary, their own representatives, clean, of size 0 if they have no words
+(and so never dropped by the first three stages). Rows that repeat an id with the same text become one in the second
+stage; rows without an id stay. An empty table passes every stage. Each stage's table is settled in the shared folder;
+release() of touchline.llm.common deletes them once the last one's result is written.
+"""
 
 from __future__ import annotations
 
