@@ -557,6 +557,18 @@ def test_a_benchmark_beyond_one_index_bears_odd_rows(spark, odd):
     assert decontaminate.clean(odd.limit(0), benchmark, most=50).count() == 0
 
 
+@pytest.mark.parametrize("weight", [None, "n"])
+def test_lookups_beyond_a_broadcast_equal_plain_joins(spark, monkeypatch, weight):
+    from touchline.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 20)
+    left = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE concat('k', id % 100) END AS key", "id AS _salt", "concat('a', id) AS `_hash`")
+    right = left.filter("key IS NOT NULL AND _salt % 7 <> 0").groupBy("key").agg(F.count("*").alias("n"), F.max("_salt").alias("v"))
+    want = Counter(map(tuple, left.join(right.drop("n"), "key", "left").select("key", "_salt", "_hash", "v").collect()))
+    got = common.lookup(left, right if weight else right.drop("n"), "key", weight, salts=4, hot=100)
+    assert Counter(map(tuple, got.select("key", "_salt", "_hash", "v").collect())) == want
+
+
 def test_work_folders_are_released(spark):
     from touchline.llm.common import release, settle
 
