@@ -54,7 +54,8 @@ def person_ball_split(spark, d):
     return src.detections(spark, d).groupBy("cls", F.when(F.col("cls") == "ball", F.col("score") >= 0.2).otherwise(True).alias("usable")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT det_id, CASE WHEN score >= 0.5 THEN 'hi' ELSE 'lo' END AS band, (x1+x2)/2 AS foot_x, y2 AS foot_y, y2-y1 AS height FROM detections WHERE cls <> 'ball'")
+@query("""SELECT det_id, CASE WHEN score >= 0.5 THEN 'hi' ELSE 'lo' END AS band, (x1+x2)/2 AS foot_x, y2 AS foot_y, y2-y1 AS height FROM detections
+  WHERE cls <> 'ball'""")
 def hi_lo_split(spark, d):
     rows = src.detections(spark, d).filter("cls <> 'ball'")
     return rows.select("det_id", F.when(F.col("score") >= 0.5, "hi").otherwise("lo").alias("band"), ((F.col("x1") + F.col("x2")) / 2).alias("foot_x"), F.col("y2").alias("foot_y"), (F.col("y2") - F.col("y1")).alias("height"))
@@ -73,7 +74,8 @@ def _pitch(rows: DataFrame) -> DataFrame:
 @query(f"""WITH foot AS (SELECT det_id, frame, x1, (x1+x2)/2 AS fx, y2 AS fy FROM detections WHERE cls <> 'ball'),
 p AS (SELECT det_id, frame, CAST(x1 AS BIGINT) % 3 <> 0 AS grass, {_XY} FROM foot),
 k AS (SELECT *, coalesce(abs(px) <= 53.5 AND abs(py) <= 35.0, false) AS calib FROM p),
-n AS (SELECT *, sum(CASE WHEN grass THEN 1 ELSE 0 END) OVER (PARTITION BY frame) AS n_grass, sum(CASE WHEN grass AND calib THEN 1 ELSE 0 END) OVER (PARTITION BY frame) AS n_both FROM k)
+n AS (SELECT *, sum(CASE WHEN grass THEN 1 ELSE 0 END) OVER (PARTITION BY frame) AS n_grass, sum(CASE WHEN grass AND calib THEN 1 ELSE 0 END) OVER
+  (PARTITION BY frame) AS n_both FROM k)
 SELECT det_id, frame, px, py, n_grass >= 6 AND n_grass - n_both > 0.5 * n_grass AS distrusted FROM n
 WHERE CASE WHEN n_grass >= 6 AND n_grass - n_both > 0.5 * n_grass THEN grass ELSE calib END""")
 def off_pitch_filter(spark, d):
@@ -90,11 +92,15 @@ _W = f"({INVERSE[6]!r}*fx+{INVERSE[7]!r}*v+{INVERSE[8]!r})"
 _DET = CAMERA[0] * INVERSE[0] + CAMERA[1] * INVERSE[3] + CAMERA[2] * INVERSE[6]
 
 
-@query(f"""WITH b AS (SELECT det_id, y1, y2, (x1+x2)/2 AS fx, {projection.REACH} * greatest(y2 - y1, CAST({projection.LEAST_BOX} AS DOUBLE)) / {projection.SAMPLES - 1} AS step FROM detections WHERE cls <> 'ball'),
-k AS (SELECT *, unnest(range({projection.SAMPLES})) AS k FROM b WHERE y2 >= {src.HEIGHT - projection.EDGE} AND y1 > {projection.EDGE}), v AS (SELECT *, y2 + k * step AS v FROM k),
-s AS (SELECT *, {_DET!r} / nullif({_W}, 0) AS s FROM v), o AS (SELECT det_id, k, v, abs((v * s + {projection.PERSON * UP[1]!r}) / (s + {projection.PERSON * UP[2]!r}) - y1) AS miss FROM s),
+@query(f"""WITH b AS (SELECT det_id, y1, y2, (x1+x2)/2 AS fx, {projection.REACH} * greatest(y2 - y1, CAST({projection.LEAST_BOX} AS DOUBLE)) /
+  {projection.SAMPLES - 1} AS step FROM detections WHERE cls <> 'ball'),
+k AS (SELECT *, unnest(range({projection.SAMPLES})) AS k FROM b WHERE y2 >= {src.HEIGHT - projection.EDGE} AND y1 > {projection.EDGE}), v AS (SELECT
+  *, y2 + k * step AS v FROM k),
+s AS (SELECT *, {_DET!r} / nullif({_W}, 0) AS s FROM v), o AS (SELECT det_id, k, v, abs((v * s + {projection.PERSON * UP[1]!r}) / (s +
+  {projection.PERSON * UP[2]!r}) - y1) AS miss FROM s),
 best AS (SELECT *, row_number() OVER (PARTITION BY det_id ORDER BY miss NULLS LAST, k) AS rn FROM o),
-foot AS (SELECT b.det_id, b.y2 >= {src.HEIGHT - projection.EDGE} AS cut, fx, coalesce(v, y2) AS fy FROM b LEFT JOIN best ON best.det_id = b.det_id AND rn = 1)
+foot AS (SELECT b.det_id, b.y2 >= {src.HEIGHT - projection.EDGE} AS cut, fx, coalesce(v, y2) AS fy FROM b LEFT JOIN best ON best.det_id = b.det_id AND
+  rn = 1)
 SELECT det_id, cut, {_XY} FROM foot""")
 def truncated_feet(spark, d):
     """Pitch positions of feet, those of boxes that the lower border cuts searched by a person's height."""
@@ -109,7 +115,8 @@ def camera_footprints(spark, d):
     return projection.footprints(pan.selectExpr("frame", "pan", "0.28D AS tilt", "900D AS focal", "0D AS cx", "-60D AS cy", "18D AS cz"), src.WIDTH, src.HEIGHT)
 
 
-@query("""WITH f AS (SELECT det_id, frame FROM detections WHERE frame % 7 = 0) SELECT t.det_id, t.frame FROM tracks t WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.frame = t.frame)""")
+@query("""WITH f AS (SELECT det_id, frame FROM detections WHERE frame % 7 = 0) SELECT t.det_id, t.frame FROM tracks t WHERE NOT EXISTS (SELECT 1 FROM
+  f WHERE f.frame = t.frame)""")
 def distrusted_antijoin(spark, d):
     bad = src.detections(spark, d).filter("frame % 7 = 0").select("frame").distinct()
     return src.tracks(spark, d).join(bad, "frame", "left_anti").select("det_id", "frame")
@@ -131,13 +138,15 @@ _INTER = "greatest(least(a.x2,b.x2)-greatest(a.x1,b.x1),0)*greatest(least(a.y2,b
 _IOU = f"{_INTER}/((a.x2-a.x1)*(a.y2-a.y1)+(b.x2-b.x1)*(b.y2-b.y1)-{_INTER}+CAST(1e-9 AS DOUBLE))"
 
 
-@query(f"SELECT a.frame, a.track_id AS track_a, b.track_id AS track_b, round({_IOU},6) AS iou FROM tracks a JOIN tracks b ON a.frame=b.frame AND a.track_id<b.track_id WHERE {_IOU} >= 0.05")
+@query(f"""SELECT a.frame, a.track_id AS track_a, b.track_id AS track_b, round({_IOU},6) AS iou FROM tracks a JOIN tracks b ON a.frame=b.frame AND
+  a.track_id<b.track_id WHERE {_IOU} >= 0.05""")
 def overlap_pairs(spark, d):
     pairs = _pairs(src.tracks(spark, d)).filter(g.iou() >= 0.05)
     return pairs.select(F.col("a.frame").alias("frame"), F.col("a.track_id").alias("track_a"), F.col("b.track_id").alias("track_b"), F.round(g.iou(), 6).alias("iou"))
 
 
-@query(f"SELECT a.det_id, round(coalesce(max(least({_INTER}/((a.x2-a.x1)*(a.y2-a.y1)),1)),0),6) AS occl FROM tracks a LEFT JOIN tracks b ON a.frame=b.frame AND a.track_id<>b.track_id GROUP BY a.det_id")
+@query(f"""SELECT a.det_id, round(coalesce(max(least({_INTER}/((a.x2-a.x1)*(a.y2-a.y1)),1)),0),6) AS occl FROM tracks a LEFT JOIN tracks b ON
+  a.frame=b.frame AND a.track_id<>b.track_id GROUP BY a.det_id""")
 def occlusion_estimate(spark, d):
     t = src.tracks(spark, d)
     both = t.alias("a").join(t.alias("b"), (F.col("a.frame") == F.col("b.frame")) & (F.col("a.track_id") != F.col("b.track_id")), "left")
@@ -161,9 +170,11 @@ def ambiguous_windows(spark, d):
 
 
 @query(f"""WITH {_AMBIGUOUS}, w AS (SELECT a, b, min(frame) AS f0, max(frame) AS f1 FROM isl GROUP BY a, b, k),
-r AS (SELECT w.a, w.b, f0, f1, min(x1) rx1, min(y1) ry1, max(x2) rx2, max(y2) ry2, quantile_cont(y2-y1, 0.5) rh FROM w JOIN tracks t ON t.frame BETWEEN f0 AND f1 AND t.track_id IN (w.a, w.b) GROUP BY w.a, w.b, f0, f1),
+r AS (SELECT w.a, w.b, f0, f1, min(x1) rx1, min(y1) ry1, max(x2) rx2, max(y2) ry2, quantile_cont(y2-y1, 0.5) rh FROM w JOIN tracks t ON t.frame
+  BETWEEN f0 AND f1 AND t.track_id IN (w.a, w.b) GROUP BY w.a, w.b, f0, f1),
 born AS (SELECT shot_no, track_id, min(frame) AS frame, arg_min((x1+x2)/2, frame) AS fx, arg_min(y2, frame) AS fy FROM tracks GROUP BY 1, 2)
-SELECT a, b, f0, track_id, frame AS born_at FROM r JOIN born ON frame BETWEEN f0 AND f1+30 AND track_id NOT IN (a, b) AND fx BETWEEN rx1-rh AND rx2+rh AND fy BETWEEN ry1-rh AND ry2+rh""")
+SELECT a, b, f0, track_id, frame AS born_at FROM r JOIN born ON frame BETWEEN f0 AND f1+30 AND track_id NOT IN (a, b) AND fx BETWEEN rx1-rh AND rx2+rh
+  AND fy BETWEEN ry1-rh AND ry2+rh""")
 def births_near_windows(spark, d):
     """Tracks born during a window or 30 frames after it, close to the crossing: an equi-join on frame buckets."""
     t = src.tracks(spark, d)
@@ -178,24 +189,29 @@ def births_near_windows(spark, d):
 # Aggregates
 
 
-@query("SELECT shot_no, track_id, team, start_frame, end_frame, n_frames, cls, mean_margin, frac_occluded, mean_height_px, lx, ly, fx, fy FROM tracklets")
+@query("""SELECT shot_no, track_id, team, start_frame, end_frame, n_frames, cls, mean_margin, frac_occluded, mean_height_px, lx, ly, fx, fy FROM
+  tracklets""")
 def tracklet_summary(spark, d):
     return identity.summarize(src.tracks(spark, d))
 
 
-@query("SELECT team, count(*) AS n, round(avg(CAST(CASE WHEN n_frames < 15 THEN 1 ELSE 0 END AS DOUBLE)),6) AS short_fraction, round(quantile_cont(n_frames,0.5),6) AS median_len, round(quantile_cont(n_frames,0.9),6) AS p90_len, count(DISTINCT track_id) AS n_tracks FROM tracklets GROUP BY team")
+@query("""SELECT team, count(*) AS n, round(avg(CAST(CASE WHEN n_frames < 15 THEN 1 ELSE 0 END AS DOUBLE)),6) AS short_fraction,
+  round(quantile_cont(n_frames,0.5),6) AS median_len, round(quantile_cont(n_frames,0.9),6) AS p90_len, count(DISTINCT track_id) AS n_tracks FROM
+  tracklets GROUP BY team""")
 def tracklet_lengths(spark, d):
     t = identity.summarize(src.tracks(spark, d))
     return t.groupBy("team").agg(F.count("*").alias("n"), F.round(F.avg((F.col("n_frames") < 15).cast("double")), 6).alias("short_fraction"), F.round(F.percentile("n_frames", 0.5), 6).alias("median_len"), F.round(F.percentile("n_frames", 0.9), 6).alias("p90_len"), F.countDistinct("track_id").alias("n_tracks"))
 
 
-@query("SELECT shot_no, track_id, CASE WHEN count(*) >= 3 THEN round(regr_slope((x1+x2)/2, frame),6) END AS vx, CASE WHEN count(*) >= 3 THEN round(regr_slope(y2, frame),6) END AS vy FROM tracks GROUP BY 1, 2")
+@query("""SELECT shot_no, track_id, CASE WHEN count(*) >= 3 THEN round(regr_slope((x1+x2)/2, frame),6) END AS vx, CASE WHEN count(*) >= 3 THEN
+  round(regr_slope(y2, frame),6) END AS vy FROM tracks GROUP BY 1, 2""")
 def track_velocity(spark, d):
     slope = lambda y: F.when(F.count("*") >= 3, F.round(F.regr_slope(y, F.col("frame").cast("double")), 6))
     return src.tracks(spark, d).groupBy("shot_no", "track_id").agg(slope((F.col("x1") + F.col("x2")) / 2).alias("vx"), slope(F.col("y2")).alias("vy"))
 
 
-@query("""WITH c AS (SELECT track_id, team_online, count(*) n, max(frame) AS f FROM tracks WHERE occl < 0.4 GROUP BY 1,2), r AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY n DESC, team_online) rn, sum(n) OVER (PARTITION BY track_id) AS votes FROM c)
+@query("""WITH c AS (SELECT track_id, team_online, count(*) n, max(frame) AS f FROM tracks WHERE occl < 0.4 GROUP BY 1,2), r AS (SELECT *,
+  row_number() OVER (PARTITION BY track_id ORDER BY n DESC, team_online) rn, sum(n) OVER (PARTITION BY track_id) AS votes FROM c)
 SELECT track_id, team_online AS mode_team, CASE WHEN votes >= 3 AND n >= 0.75 * votes THEN team_online ELSE -1 END AS settled FROM r WHERE rn = 1""")
 def team_votes(spark, d):
     """A track's most frequent team, settled by at least three unoccluded votes of which three quarters agree."""
@@ -205,7 +221,8 @@ def team_votes(spark, d):
     return r.select("track_id", F.col("team_online").alias("mode_team"), F.when((F.col("votes") >= 3) & (F.col("n") >= 0.75 * F.col("votes")), F.col("team_online")).otherwise(-1).alias("settled"))
 
 
-@query("""WITH e AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m FROM embeddings, (SELECT unnest(range(1, 65)) AS i) GROUP BY 1, 2), n AS (SELECT label, sqrt(sum(m*m)) + 1e-9 AS norm FROM e GROUP BY 1)
+@query("""WITH e AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m FROM embeddings, (SELECT unnest(range(1, 65)) AS i) GROUP BY 1, 2), n AS
+  (SELECT label, sqrt(sum(m*m)) + 1e-9 AS norm FROM e GROUP BY 1)
 SELECT label, CAST(i AS INTEGER) AS i, round(m / norm, 6) AS v FROM e JOIN n USING (label)""")
 def reid_mean_embedding(spark, d):
     """The normalised mean vector of each label, one row a component."""
@@ -214,7 +231,8 @@ def reid_mean_embedding(spark, d):
     return means.select("label", F.posexplode(unit("m")).alias("i", "v")).select("label", (F.col("i") + 1).alias("i"), F.round("v", 6).alias("v"))
 
 
-@query("SELECT CAST(floor(l_quantity / 10) AS BIGINT) AS hue, CAST(floor(l_discount * 100 / 3) AS BIGINT) AS sat, round(count(*) / CAST((SELECT count(*) FROM lineitem) AS DOUBLE), 9) AS share FROM lineitem GROUP BY 1, 2")
+@query("""SELECT CAST(floor(l_quantity / 10) AS BIGINT) AS hue, CAST(floor(l_discount * 100 / 3) AS BIGINT) AS sat, round(count(*) / CAST((SELECT
+  count(*) FROM lineitem) AS DOUBLE), 9) AS share FROM lineitem GROUP BY 1, 2""")
 def colour_histogram(spark, d):
     """A normalised two-dimensional histogram of pixel-like rows."""
     p = src.table(spark, d, "lineitem").groupBy(F.floor(F.col("l_quantity") / 10).alias("hue"), F.floor(F.col("l_discount") * 100 / 3).alias("sat")).agg(F.count("*").alias("n"))
@@ -225,12 +243,16 @@ def colour_histogram(spark, d):
 
 #: Vectors of one clip follow one another; a clip is one window's partition.
 _CLIP = 2000
-_CUTS = f"""WITH v AS (SELECT vec_id, CAST(floor(vec_id / {_CLIP}) AS BIGINT) AS clip, list_transform(embedding, lambda x: abs(CAST(x AS DOUBLE))) AS a FROM embeddings),
-h AS (SELECT clip, vec_id, list_transform(a, lambda x: x / list_sum(a)) AS q FROM v), p AS (SELECT clip, vec_id, q, lag(q) OVER (PARTITION BY clip ORDER BY vec_id) AS o FROM h),
+_CUTS = f"""WITH v AS (SELECT vec_id, CAST(floor(vec_id / {_CLIP}) AS BIGINT) AS clip, list_transform(embedding, lambda x: abs(CAST(x AS DOUBLE))) AS
+  a FROM embeddings),
+h AS (SELECT clip, vec_id, list_transform(a, lambda x: x / list_sum(a)) AS q FROM v), p AS (SELECT clip, vec_id, q, lag(q) OVER (PARTITION BY clip
+  ORDER BY vec_id) AS o FROM h),
 cuts AS (SELECT clip, vec_id AS c FROM p WHERE o IS NOT NULL AND 0.5 * list_sum(list_transform(list_zip(q, o), lambda z: abs(z[1] - z[2]))) > 0.35),
 kept(clip, b) AS (SELECT clip, clip * {_CLIP} FROM v GROUP BY clip UNION ALL
-  SELECT k.clip, (SELECT min(c) FROM cuts WHERE cuts.clip = k.clip AND c - k.b >= 12) FROM kept k WHERE (SELECT min(c) FROM cuts WHERE cuts.clip = k.clip AND c - k.b >= 12) IS NOT NULL)
-SELECT kept.clip, b AS start_frame, coalesce(lead(b) OVER (PARTITION BY kept.clip ORDER BY b) - 1, last) AS end_frame FROM kept JOIN (SELECT clip, max(vec_id) AS last FROM v GROUP BY clip) l ON l.clip = kept.clip"""
+  SELECT k.clip, (SELECT min(c) FROM cuts WHERE cuts.clip = k.clip AND c - k.b >= 12) FROM kept k WHERE (SELECT min(c) FROM cuts WHERE cuts.clip =
+    k.clip AND c - k.b >= 12) IS NOT NULL)
+SELECT kept.clip, b AS start_frame, coalesce(lead(b) OVER (PARTITION BY kept.clip ORDER BY b) - 1, last) AS end_frame FROM kept JOIN (SELECT clip,
+  max(vec_id) AS last FROM v GROUP BY clip) l ON l.clip = kept.clip"""
 
 
 @query(_CUTS)
@@ -247,7 +269,8 @@ def shot_intervals(spark, d):
     return starts.join(last, "clip").select("clip", "start_frame", F.coalesce(following, "last").alias("end_frame"))
 
 
-@query("""WITH s AS (SELECT shot_no, quantile_cont(score, 0.5) AS green FROM detections GROUP BY 1), t AS (SELECT shot_no, round(green,6) AS green, CASE WHEN green > 0.495 THEN 'main' WHEN green > 0.2 THEN 'closeup' ELSE 'other' END AS shot_type FROM s)
+@query("""WITH s AS (SELECT shot_no, quantile_cont(score, 0.5) AS green FROM detections GROUP BY 1), t AS (SELECT shot_no, round(green,6) AS green,
+  CASE WHEN green > 0.495 THEN 'main' WHEN green > 0.2 THEN 'closeup' ELSE 'other' END AS shot_type FROM s)
 SELECT * FROM t WHERE shot_type = 'main' OR NOT EXISTS (SELECT 1 FROM t WHERE shot_type = 'main')""")
 def main_shots_or_all(spark, d):
     s = src.detections(spark, d).groupBy("shot_no").agg(F.percentile("score", 0.5).alias("green"))
@@ -257,11 +280,15 @@ def main_shots_or_all(spark, d):
 
 # Ball
 
-_FILL = """p AS (SELECT *, max(CASE WHEN x IS NOT NULL THEN frame END) OVER (PARTITION BY shot_no ORDER BY frame) AS p, min(CASE WHEN x IS NOT NULL THEN frame END) OVER (PARTITION BY shot_no ORDER BY frame ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS q FROM balls),
+_FILL = """p AS (SELECT *, max(CASE WHEN x IS NOT NULL THEN frame END) OVER (PARTITION BY shot_no ORDER BY frame) AS p, min(CASE WHEN x IS NOT NULL
+  THEN frame END) OVER (PARTITION BY shot_no ORDER BY frame ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS q FROM balls),
 pq AS (SELECT p.*, a.x px, a.y py, b.x qx, b.y qy FROM p LEFT JOIN balls a ON a.frame = p.p LEFT JOIN balls b ON b.frame = p.q),
-st AS (SELECT *, CASE WHEN x IS NOT NULL THEN 'visible' WHEN p IS NULL OR q IS NULL THEN 'unknown' WHEN q - p <= 20 THEN 'occluded' WHEN least(px, 640 - px, py, 360 - py) < 0.06 * 360 THEN 'out_of_frame' ELSE 'unknown' END AS state FROM pq),
-filled AS (SELECT shot_no, frame, round(CASE WHEN x IS NOT NULL THEN x WHEN state = 'occluded' THEN px + (qx - px) * (CAST(frame - p AS DOUBLE) / nullif(q - p, 0)) END, 6) AS x,
- round(CASE WHEN y IS NOT NULL THEN y WHEN state = 'occluded' THEN py + (qy - py) * (CAST(frame - p AS DOUBLE) / nullif(q - p, 0)) END, 6) AS y, coalesce(score, 0) AS score, state FROM st)"""
+st AS (SELECT *, CASE WHEN x IS NOT NULL THEN 'visible' WHEN p IS NULL OR q IS NULL THEN 'unknown' WHEN q - p <= 20 THEN 'occluded' WHEN least(px, 640
+  - px, py, 360 - py) < 0.06 * 360 THEN 'out_of_frame' ELSE 'unknown' END AS state FROM pq),
+filled AS (SELECT shot_no, frame, round(CASE WHEN x IS NOT NULL THEN x WHEN state = 'occluded' THEN px + (qx - px) * (CAST(frame - p AS DOUBLE) /
+  nullif(q - p, 0)) END, 6) AS x,
+ round(CASE WHEN y IS NOT NULL THEN y WHEN state = 'occluded' THEN py + (qy - py) * (CAST(frame - p AS DOUBLE) / nullif(q - p, 0)) END, 6) AS y,
+   coalesce(score, 0) AS score, state FROM st)"""
 
 
 def _filled(spark, d) -> DataFrame:
@@ -274,8 +301,10 @@ def ball_gapfill(spark, d):
 
 
 @query(f"""WITH {_FILL}, dd AS (SELECT *, lead(y) OVER w - 2 * y + lag(y) OVER w AS b FROM filled WINDOW w AS (PARTITION BY shot_no ORDER BY frame)),
-c AS (SELECT *, count(b) OVER w AS n, avg(b) OVER w AS m, min(b) OVER w AS lo FROM dd WINDOW w AS (PARTITION BY shot_no ORDER BY frame ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
-s AS (SELECT CASE WHEN state = 'visible' AND n = 7 AND m > 0.35 AND lo > -0.2 THEN 'in_flight' ELSE state END AS state FROM c) SELECT state, count(*) AS n FROM s GROUP BY 1""")
+c AS (SELECT *, count(b) OVER w AS n, avg(b) OVER w AS m, min(b) OVER w AS lo FROM dd WINDOW w AS (PARTITION BY shot_no ORDER BY frame ROWS BETWEEN 3
+  PRECEDING AND 3 FOLLOWING)),
+s AS (SELECT CASE WHEN state = 'visible' AND n = 7 AND m > 0.35 AND lo > -0.2 THEN 'in_flight' ELSE state END AS state FROM c) SELECT state, count(*)
+  AS n FROM s GROUP BY 1""")
 def ball_states(spark, d):
     """How many frames each ball state has, after the in-flight test."""
     return series.in_flight(_filled(spark, d), ["shot_no"]).groupBy("state").agg(F.count("*").alias("n"))
@@ -284,15 +313,18 @@ def ball_states(spark, d):
 # Windows
 
 
-@query("""WITH b AS (SELECT frame, shot_no, track_id, (x1+x2)/2 AS x, y2 AS y, CASE WHEN frame - lag(frame) OVER (PARTITION BY track_id ORDER BY frame) = 1 THEN 0 ELSE 1 END AS n FROM tracks),
+@query("""WITH b AS (SELECT frame, shot_no, track_id, (x1+x2)/2 AS x, y2 AS y, CASE WHEN frame - lag(frame) OVER (PARTITION BY track_id ORDER BY
+  frame) = 1 THEN 0 ELSE 1 END AS n FROM tracks),
 r AS (SELECT *, sum(n) OVER (PARTITION BY track_id ORDER BY frame) AS run FROM b)
-SELECT frame, track_id, CAST(run AS BIGINT) AS run, round(avg(x) OVER w,6) AS x, round(avg(y) OVER w,6) AS y FROM r WINDOW w AS (PARTITION BY track_id, run ORDER BY frame ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING)""")
+SELECT frame, track_id, CAST(run AS BIGINT) AS run, round(avg(x) OVER w,6) AS x, round(avg(y) OVER w,6) AS y FROM r WINDOW w AS (PARTITION BY
+  track_id, run ORDER BY frame ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING)""")
 def rolling_positions(spark, d):
     t = src.tracks(spark, d).select("frame", "track_id", ((F.col("x1") + F.col("x2")) / 2).alias("x"), F.col("y2").alias("y"))
     return series.rolling_mean(t, ["track_id"], ["x", "y"])
 
 
-@query("""SELECT frame, track_id, count(*) OVER w AS trail_len, min(frame) OVER w AS trail_from, row_number() OVER (PARTITION BY shot_no, track_id ORDER BY frame) = 1 AS first_row FROM tracks
+@query("""SELECT frame, track_id, count(*) OVER w AS trail_len, min(frame) OVER w AS trail_from, row_number() OVER (PARTITION BY shot_no, track_id
+  ORDER BY frame) = 1 AS first_row FROM tracks
 WINDOW w AS (PARTITION BY track_id ORDER BY frame RANGE BETWEEN 50 PRECEDING AND CURRENT ROW)""")
 def trails(spark, d):
     """How many positions the last two seconds of each track hold, and whether a row is its tracklet's first."""
@@ -301,10 +333,13 @@ def trails(spark, d):
     return src.tracks(spark, d).select("frame", "track_id", F.count("*").over(w).alias("trail_len"), F.min("frame").over(w).alias("trail_from"), first.alias("first_row"))
 
 
-@query("""WITH k AS (SELECT frame, avg(score) * 30 AS pan FROM detections WHERE frame % 25 = 3 GROUP BY frame), f AS (SELECT DISTINCT frame FROM detections),
+@query("""WITH k AS (SELECT frame, avg(score) * 30 AS pan FROM detections WHERE frame % 25 = 3 GROUP BY frame), f AS (SELECT DISTINCT frame FROM
+  detections),
 pq AS (SELECT f.frame, (SELECT max(frame) FROM k WHERE k.frame <= f.frame) p, (SELECT min(frame) FROM k WHERE k.frame >= f.frame) q FROM f)
-SELECT pq.frame, least(pq.frame - p, q - pq.frame) AS distance, coalesce(q, p) AS next_or_last, round(coalesce(a.pan + (b.pan - a.pan) * (CAST(pq.frame - p AS DOUBLE) / nullif(q - p, 0)), a.pan, b.pan), 6) AS value,
- coalesce(least(coalesce(pq.frame - p, 1000000), coalesce(q - pq.frame, 1000000)) <= 10, false) AS valid FROM pq LEFT JOIN k a ON a.frame = p LEFT JOIN k b ON b.frame = q""")
+SELECT pq.frame, least(pq.frame - p, q - pq.frame) AS distance, coalesce(q, p) AS next_or_last, round(coalesce(a.pan + (b.pan - a.pan) *
+  (CAST(pq.frame - p AS DOUBLE) / nullif(q - p, 0)), a.pan, b.pan), 6) AS value,
+ coalesce(least(coalesce(pq.frame - p, 1000000), coalesce(q - pq.frame, 1000000)) <= 10, false) AS valid FROM pq LEFT JOIN k a ON a.frame = p LEFT
+   JOIN k b ON b.frame = q""")
 def keyframe_interp(spark, d):
     """Camera values between keyframes: linear, constant beyond the ends, valid near a keyframe."""
     t = src.detections(spark, d)
@@ -315,13 +350,18 @@ def keyframe_interp(spark, d):
 # Identity
 
 
-_LINKS = """vec AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), hv AS (SELECT vec_id, v, list_transform(v, lambda x: abs(x) / list_sum(list_transform(v, lambda y: abs(y)))) AS q FROM vec),
+_LINKS = """vec AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), hv AS (SELECT vec_id, v,
+  list_transform(v, lambda x: abs(x) / list_sum(list_transform(v, lambda y: abs(y)))) AS q FROM vec),
 tv AS (SELECT t.*, v, q FROM tracklets t JOIN hv ON vec_id = (track_id * 7 + shot_no) % 500),
-pr AS (SELECT a.team, a.shot_no shot_a, a.track_id track_a, b.shot_no shot_b, b.track_id track_b, b.start_frame - a.end_frame AS gap, least(a.n_frames, b.n_frames) AS sh,
- sqrt((a.lx-b.fx)*(a.lx-b.fx)+(a.ly-b.fy)*(a.ly-b.fy)) AS dist, list_inner_product(a.v, b.v) AS co, 0.5 * list_sum(list_transform(list_zip(a.q, b.q), lambda z: abs(z[1]-z[2]))) AS l1
+pr AS (SELECT a.team, a.shot_no shot_a, a.track_id track_a, b.shot_no shot_b, b.track_id track_b, b.start_frame - a.end_frame AS gap,
+  least(a.n_frames, b.n_frames) AS sh,
+ sqrt((a.lx-b.fx)*(a.lx-b.fx)+(a.ly-b.fy)*(a.ly-b.fy)) AS dist, list_inner_product(a.v, b.v) AS co, 0.5 * list_sum(list_transform(list_zip(a.q, b.q),
+   lambda z: abs(z[1]-z[2]))) AS l1
  FROM tv a JOIN tv b ON a.team = b.team AND b.start_frame - a.end_frame BETWEEN 1 AND 750),
-bl AS (SELECT team, shot_a, track_a, shot_b, track_b, round(CASE WHEN l1 > 0.45 THEN 0 ELSE greatest(least(0.55 * (0.3 * (1 - l1 / 0.45) + 0.7 * greatest(least((co - 0.75) / (0.92 - 0.75), 1), 0))
- + 0.25 * exp(-CAST(gap AS DOUBLE) / 250) + 0.20 * exp(-greatest(dist - 12 * gap, 0) / 300), 1), 0) * (0.5 + 0.5 * least(1, CAST(sh AS DOUBLE) / 15)) END, 6) AS belief FROM pr)"""
+bl AS (SELECT team, shot_a, track_a, shot_b, track_b, round(CASE WHEN l1 > 0.45 THEN 0 ELSE greatest(least(0.55 * (0.3 * (1 - l1 / 0.45) + 0.7 *
+  greatest(least((co - 0.75) / (0.92 - 0.75), 1), 0))
+ + 0.25 * exp(-CAST(gap AS DOUBLE) / 250) + 0.20 * exp(-greatest(dist - 12 * gap, 0) / 300), 1), 0) * (0.5 + 0.5 * least(1, CAST(sh AS DOUBLE) / 15))
+   END, 6) AS belief FROM pr)"""
 
 
 @query(f"WITH {_LINKS} SELECT * FROM bl WHERE belief > 0")
@@ -342,9 +382,11 @@ def greedy_chain(spark, d):
     return identity.greedy_chain(identity.link_edges(t, src.vectors(spark, d)), 0.3, links, segments)
 
 
-@query("""WITH t AS (SELECT shot_no * 1000 + track_id AS node, track_id, mean_margin, row_number() OVER (PARTITION BY track_id ORDER BY start_frame) AS k FROM tracklets),
+@query("""WITH t AS (SELECT shot_no * 1000 + track_id AS node, track_id, mean_margin, row_number() OVER (PARTITION BY track_id ORDER BY start_frame)
+  AS k FROM tracklets),
 ch(node, root, track_id, k, confidence) AS (SELECT node, node, track_id, k, CAST(1 AS DOUBLE) FROM t WHERE k = 1
-  UNION ALL SELECT t.node, ch.root, t.track_id, t.k, least(ch.confidence, t.mean_margin) FROM ch JOIN t ON t.track_id = ch.track_id AND t.k = ch.k + 1)
+  UNION ALL SELECT t.node, ch.root, t.track_id, t.k, least(ch.confidence, t.mean_margin) FROM ch JOIN t ON t.track_id = ch.track_id AND t.k = ch.k +
+    1)
 SELECT node, root, confidence FROM ch""")
 def chain_identities(spark, d):
     """The chain of all tracklets of a track, labelled by their root, with the least belief along the chain."""
@@ -354,24 +396,31 @@ def chain_identities(spark, d):
     return identity.chain_labels(t.select("node"), links)
 
 
-@query("""WITH s AS (SELECT team, start_frame AS frame, 1 AS step FROM tracklets UNION ALL SELECT team, end_frame + 1, -1 FROM tracklets), a AS (SELECT team, frame, sum(step) AS step FROM s GROUP BY 1, 2)
+@query("""WITH s AS (SELECT team, start_frame AS frame, 1 AS step FROM tracklets UNION ALL SELECT team, end_frame + 1, -1 FROM tracklets), a AS
+  (SELECT team, frame, sum(step) AS step FROM s GROUP BY 1, 2)
 SELECT team, frame, CAST(sum(step) OVER (PARTITION BY team ORDER BY frame) AS BIGINT) AS active FROM a""")
 def concurrency(spark, d):
     return identity.concurrency(identity.summarize(src.tracks(spark, d)))
 
 
-@query("""WITH s AS (SELECT team, start_frame AS frame, 1 AS step FROM tracklets UNION ALL SELECT team, end_frame + 1, -1 FROM tracklets), a AS (SELECT team, frame, sum(step) AS step FROM s GROUP BY 1, 2),
-c AS (SELECT team, frame, sum(step) OVER (PARTITION BY team ORDER BY frame) AS active FROM a), bad AS (SELECT team, min(frame) f0, max(frame) f1 FROM c WHERE active > 11 GROUP BY 1),
-h AS (SELECT t.*, count(*) OVER (PARTITION BY t.team) AS n, row_number() OVER (PARTITION BY t.team ORDER BY mean_margin, shot_no, track_id) AS rn FROM tracklets t JOIN bad ON t.team = bad.team AND start_frame <= f1 AND end_frame >= f0)
+@query("""WITH s AS (SELECT team, start_frame AS frame, 1 AS step FROM tracklets UNION ALL SELECT team, end_frame + 1, -1 FROM tracklets), a AS
+  (SELECT team, frame, sum(step) AS step FROM s GROUP BY 1, 2),
+c AS (SELECT team, frame, sum(step) OVER (PARTITION BY team ORDER BY frame) AS active FROM a), bad AS (SELECT team, min(frame) f0, max(frame) f1 FROM
+  c WHERE active > 11 GROUP BY 1),
+h AS (SELECT t.*, count(*) OVER (PARTITION BY t.team) AS n, row_number() OVER (PARTITION BY t.team ORDER BY mean_margin, shot_no, track_id) AS rn FROM
+  tracklets t JOIN bad ON t.team = bad.team AND start_frame <= f1 AND end_frame >= f0)
 SELECT team, shot_no, track_id, mean_margin FROM h WHERE rn <= greatest(1, n - 11)""")
 def demotion(spark, d):
     return identity.demoted(identity.summarize(src.tracks(spark, d)), 11)
 
 
-@query("""WITH hi AS (SELECT max(end_frame) AS hi FROM tracklets), n AS (SELECT *, lead(start_frame) OVER w - 1 AS until, lag(lx) OVER w AS plx, lag(ly) OVER w AS ply FROM tracklets WINDOW w AS (PARTITION BY track_id ORDER BY start_frame)),
+@query("""WITH hi AS (SELECT max(end_frame) AS hi FROM tracklets), n AS (SELECT *, lead(start_frame) OVER w - 1 AS until, lag(lx) OVER w AS plx,
+  lag(ly) OVER w AS ply FROM tracklets WINDOW w AS (PARTITION BY track_id ORDER BY start_frame)),
 f AS (SELECT n.*, unnest(range(start_frame, least(coalesce(until, hi), hi) + 1)) AS frame FROM n, hi)
-SELECT frame, track_id, team, CASE WHEN frame <= end_frame THEN 'visible' WHEN frame - end_frame > 250 THEN 'uncertain' ELSE 'off_frame' END AS state, CASE WHEN frame <= end_frame THEN plx ELSE lx END AS last_x,
- CASE WHEN frame <= end_frame THEN ply ELSE ly END AS last_y, CAST(CASE WHEN frame <= end_frame THEN 0 ELSE frame - end_frame END AS BIGINT) AS frames_since_seen FROM f WHERE frame % 5 = 0""")
+SELECT frame, track_id, team, CASE WHEN frame <= end_frame THEN 'visible' WHEN frame - end_frame > 250 THEN 'uncertain' ELSE 'off_frame' END AS state,
+  CASE WHEN frame <= end_frame THEN plx ELSE lx END AS last_x,
+ CASE WHEN frame <= end_frame THEN ply ELSE ly END AS last_y, CAST(CASE WHEN frame <= end_frame THEN 0 ELSE frame - end_frame END AS BIGINT) AS
+   frames_since_seen FROM f WHERE frame % 5 = 0""")
 def roster_state(spark, d):
     return identity.roster(identity.summarize(src.tracks(spark, d)))
 
@@ -388,10 +437,13 @@ def roster_asof(spark, d):
 # Fusion
 
 
-_FUSED = f"""ident AS (SELECT shot_no, track_id, track_id + 1 AS identity_id, team, n_frames < 15 AND count(*) OVER (PARTITION BY track_id) = 1 AS abstained, round(1 - frac_occluded, 6) AS confidence, row_number() OVER (PARTITION BY track_id ORDER BY start_frame) > 1 AS again FROM tracklets),
+_FUSED = f"""ident AS (SELECT shot_no, track_id, track_id + 1 AS identity_id, team, n_frames < 15 AND count(*) OVER (PARTITION BY track_id) = 1 AS
+  abstained, round(1 - frac_occluded, 6) AS confidence, row_number() OVER (PARTITION BY track_id ORDER BY start_frame) > 1 AS again FROM tracklets),
 foot AS (SELECT t.*, (x1+x2)/2 AS fx, y2 AS fy FROM tracks t),
-j AS (SELECT f.frame, CASE WHEN abstained THEN -1 ELSE identity_id END AS identity_id, team, x1, y1, x2, y2, CASE WHEN abstained THEN 0 ELSE confidence END AS conf,
- round(greatest(least(0.5 * exp(-6 * margin), 0.5), 0.01), 6) AS link_err_p, CASE WHEN again AND NOT abstained AND row_number() OVER (PARTITION BY f.shot_no, f.track_id ORDER BY f.frame) = 1 THEN 1 ELSE 0 END AS reentry, {_XY}
+j AS (SELECT f.frame, CASE WHEN abstained THEN -1 ELSE identity_id END AS identity_id, team, x1, y1, x2, y2, CASE WHEN abstained THEN 0 ELSE
+  confidence END AS conf,
+ round(greatest(least(0.5 * exp(-6 * margin), 0.5), 0.01), 6) AS link_err_p, CASE WHEN again AND NOT abstained AND row_number() OVER (PARTITION BY
+   f.shot_no, f.track_id ORDER BY f.frame) = 1 THEN 1 ELSE 0 END AS reentry, {_XY}
  FROM foot f JOIN ident i ON f.shot_no = i.shot_no AND f.track_id = i.track_id)"""
 
 
@@ -413,7 +465,8 @@ def fused_positions(spark, d):
     return _fused(spark, d)
 
 
-@query(f"WITH {_FUSED}, k AS (SELECT frame, count(*) AS n_players, string_agg(concat_ws(':', identity_id, team), ',' ORDER BY identity_id, team, px, py) AS players FROM j WHERE abs(px) <= 58.5 AND abs(py) <= 40 GROUP BY frame) SELECT * FROM k")
+@query(f"""WITH {_FUSED}, k AS (SELECT frame, count(*) AS n_players, string_agg(concat_ws(':', identity_id, team), ',' ORDER BY identity_id, team, px,
+  py) AS players FROM j WHERE abs(px) <= 58.5 AND abs(py) <= 40 GROUP BY frame) SELECT * FROM k""")
 def pitch2d_frames(spark, d):
     """Per frame, the players within six metres of the pitch, in a fixed order."""
     rows = _fused(spark, d).filter("abs(px) <= 58.5 AND abs(py) <= 40")
@@ -423,8 +476,10 @@ def pitch2d_frames(spark, d):
 
 @query(f"""WITH {_FUSED}, n AS (SELECT *, row_number() OVER w AS n FROM j WINDOW w AS (PARTITION BY identity_id ORDER BY frame, x1, y1, x2, y2)),
 s AS (SELECT *, n - max(CASE WHEN reentry = 1 THEN n END) OVER (PARTITION BY identity_id ORDER BY n) AS since FROM n),
-c AS (SELECT *, identity_id <> -1 AS known, coalesce(identity_id <> -1 AND since < 25, false) AS flash, CASE WHEN identity_id <> -1 THEN team ELSE -1 END AS colour FROM s)
-SELECT frame, identity_id, colour, 'box' AS kind, CASE WHEN known AND conf > 0.75 THEN 2 ELSE 1 END AS thickness, CASE WHEN known THEN CASE WHEN flash THEN '<- ' ELSE '' END || CAST(identity_id AS VARCHAR) ELSE '?' END AS label,
+c AS (SELECT *, identity_id <> -1 AS known, coalesce(identity_id <> -1 AND since < 25, false) AS flash, CASE WHEN identity_id <> -1 THEN team ELSE -1
+  END AS colour FROM s)
+SELECT frame, identity_id, colour, 'box' AS kind, CASE WHEN known AND conf > 0.75 THEN 2 ELSE 1 END AS thickness, CASE WHEN known THEN CASE WHEN flash
+  THEN '<- ' ELSE '' END || CAST(identity_id AS VARCHAR) ELSE '?' END AS label,
  CASE WHEN known THEN CAST(floor(conf * 100 + 0.5) AS BIGINT) END AS percent, x1, y1, x2, y2 FROM c
 UNION ALL SELECT frame, identity_id, colour, 'flash', 2, NULL, NULL, x1 - 4, y1 - 4, x2 + 4, y2 + 4 FROM c WHERE flash
 UNION ALL SELECT frame, identity_id, colour, 'dot', 1, NULL, NULL, x1, y1, x2, y2 FROM c WHERE known AND link_err_p > 0.25""")
@@ -436,7 +491,8 @@ def draw_list(spark, d):
 # Unions, preferences, reports
 
 
-@query("""WITH a AS (SELECT shot_no, frame, track_id, 1 AS pref FROM tracks WHERE shot_no % 2 = 0 UNION ALL SELECT shot_no, frame, track_id, 2 AS pref FROM tracks), r AS (SELECT *, rank() OVER (PARTITION BY shot_no ORDER BY pref) AS k FROM a)
+@query("""WITH a AS (SELECT shot_no, frame, track_id, 1 AS pref FROM tracks WHERE shot_no % 2 = 0 UNION ALL SELECT shot_no, frame, track_id, 2 AS pref
+  FROM tracks), r AS (SELECT *, rank() OVER (PARTITION BY shot_no ORDER BY pref) AS k FROM a)
 SELECT shot_no, pref, count(*) AS n FROM r WHERE k = 1 GROUP BY 1, 2""")
 def source_preference(spark, d):
     """Per shot the rows of the preferred stage, if it has any."""
@@ -446,7 +502,8 @@ def source_preference(spark, d):
     return both.join(best, ["shot_no", "pref"]).groupBy("shot_no", "pref").agg(F.count("*").alias("n"))
 
 
-@query("""WITH u AS (SELECT frame, 1 AS ord, avg(x1) AS v FROM detections WHERE frame % 2 = 0 GROUP BY 1 UNION ALL SELECT frame, 2, avg(y1) FROM detections WHERE frame % 3 = 0 GROUP BY 1), r AS (SELECT *, row_number() OVER (PARTITION BY frame ORDER BY ord DESC) AS k FROM u)
+@query("""WITH u AS (SELECT frame, 1 AS ord, avg(x1) AS v FROM detections WHERE frame % 2 = 0 GROUP BY 1 UNION ALL SELECT frame, 2, avg(y1) FROM
+  detections WHERE frame % 3 = 0 GROUP BY 1), r AS (SELECT *, row_number() OVER (PARTITION BY frame ORDER BY ord DESC) AS k FROM u)
 SELECT frame, ord, round(v,6) AS v FROM r WHERE k = 1""")
 def keyed_overwrite(spark, d):
     """A union in which later sources overwrite earlier ones by key."""
@@ -457,9 +514,11 @@ def keyed_overwrite(spark, d):
     return u.select("frame", "s.ord", F.round("s.v", 6).alias("v"))
 
 
-@query("""WITH m AS (SELECT shot_no, 'detect' AS stage, 'n' AS k, CAST(count(*) AS DOUBLE) AS v FROM detections GROUP BY 1 UNION ALL SELECT shot_no, 'track', 'tracks', CAST(count(DISTINCT track_id) AS DOUBLE) FROM tracks GROUP BY 1
+@query("""WITH m AS (SELECT shot_no, 'detect' AS stage, 'n' AS k, CAST(count(*) AS DOUBLE) AS v FROM detections GROUP BY 1 UNION ALL SELECT shot_no,
+  'track', 'tracks', CAST(count(DISTINCT track_id) AS DOUBLE) FROM tracks GROUP BY 1
  UNION ALL SELECT shot_no, 'track', 'rows_per_frame', round(count(*) / CAST(greatest(count(DISTINCT frame), 1) AS DOUBLE), 6) FROM tracks GROUP BY 1)
-SELECT stage, k, max_by(v, shot_no) AS last_value, sum(v) AS total FROM m WHERE k <> 'rows_per_frame' GROUP BY 1, 2 UNION ALL SELECT stage, k, max_by(v, shot_no), round(sum(v), 4) FROM m WHERE k = 'rows_per_frame' GROUP BY 1, 2""")
+SELECT stage, k, max_by(v, shot_no) AS last_value, sum(v) AS total FROM m WHERE k <> 'rows_per_frame' GROUP BY 1, 2 UNION ALL SELECT stage, k,
+  max_by(v, shot_no), round(sum(v), 4) FROM m WHERE k = 'rows_per_frame' GROUP BY 1, 2""")
 def quality_report(spark, d):
     """Metrics by stage over shots: the last shot's value, and the sum."""
     det, t = src.detections(spark, d), src.tracks(spark, d)
@@ -470,9 +529,12 @@ def quality_report(spark, d):
     return m.groupBy("stage", "k").agg(F.max_by("v", "shot_no").alias("last_value"), F.round(F.sum("v"), 4).alias("total"))
 
 
-@query("""WITH c AS (SELECT shot_no, 'classical' AS solver, avg(CAST(CASE WHEN det_id % 3 > 0 THEN 1 ELSE 0 END AS DOUBLE)) AS valid, quantile_cont(margin, 0.9) AS closure FROM tracks GROUP BY 1
- UNION ALL SELECT shot_no, 'learned', avg(CAST(CASE WHEN det_id % 2 > 0 THEN 1 ELSE 0 END AS DOUBLE)), quantile_cont(occl, 0.9) FROM tracks GROUP BY 1),
-r AS (SELECT *, row_number() OVER (PARTITION BY shot_no ORDER BY CASE WHEN valid >= 0.5 THEN closure END NULLS LAST, valid DESC, solver) AS k FROM c) SELECT shot_no, solver, round(valid,6) AS valid, round(closure,6) AS closure FROM r WHERE k = 1""")
+@query("""WITH c AS (SELECT shot_no, 'classical' AS solver, avg(CAST(CASE WHEN det_id % 3 > 0 THEN 1 ELSE 0 END AS DOUBLE)) AS valid,
+  quantile_cont(margin, 0.9) AS closure FROM tracks GROUP BY 1
+ UNION ALL SELECT shot_no, 'learned', avg(CAST(CASE WHEN det_id % 2 > 0 THEN 1 ELSE 0 END AS DOUBLE)), quantile_cont(occl, 0.9) FROM tracks GROUP BY
+   1),
+r AS (SELECT *, row_number() OVER (PARTITION BY shot_no ORDER BY CASE WHEN valid >= 0.5 THEN closure END NULLS LAST, valid DESC, solver) AS k FROM c)
+  SELECT shot_no, solver, round(valid,6) AS valid, round(closure,6) AS closure FROM r WHERE k = 1""")
 def calib_arbitration(spark, d):
     """Of two calibrations the one with the smaller motion closure, if enough of it is valid."""
     t = src.tracks(spark, d)

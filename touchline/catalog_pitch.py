@@ -13,8 +13,10 @@ from .sources import adapter as src
 from .sources import files
 
 _FLIGHT = f"""{_FILL}, dd AS (SELECT *, lead(y) OVER w - 2 * y + lag(y) OVER w AS b FROM filled WINDOW w AS (PARTITION BY shot_no ORDER BY frame)),
-c AS (SELECT *, count(b) OVER w AS n, avg(b) OVER w AS m, min(b) OVER w AS lo FROM dd WINDOW w AS (PARTITION BY shot_no ORDER BY frame ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
-flown AS (SELECT shot_no, frame, x, y, score, CASE WHEN state = 'visible' AND n = 7 AND m > 0.35 AND lo > -0.2 THEN 'in_flight' ELSE state END AS state FROM c)"""
+c AS (SELECT *, count(b) OVER w AS n, avg(b) OVER w AS m, min(b) OVER w AS lo FROM dd WINDOW w AS (PARTITION BY shot_no ORDER BY frame ROWS BETWEEN 3
+  PRECEDING AND 3 FOLLOWING)),
+flown AS (SELECT shot_no, frame, x, y, score, CASE WHEN state = 'visible' AND n = 7 AND m > 0.35 AND lo > -0.2 THEN 'in_flight' ELSE state END AS
+  state FROM c)"""
 _CODE = "CASE state WHEN 'visible' THEN 0 WHEN 'occluded' THEN 1 WHEN 'in_flight' THEN 2 WHEN 'held' THEN 3 ELSE 4 END"
 
 
@@ -30,9 +32,11 @@ def ball_codes(spark, d):
 
 # Smoothing of known identities; unknown rows pass as they are.
 _SMOOTH = f"""{_FUSED}, f AS (SELECT frame, identity_id, team, conf, px, py FROM j WHERE abs(px) <= 58.5 AND abs(py) <= 40),
-b AS (SELECT *, CASE WHEN frame - lag(frame) OVER (PARTITION BY identity_id ORDER BY frame, px, py) = 1 THEN 0 ELSE 1 END AS n FROM f WHERE identity_id >= 0),
+b AS (SELECT *, CASE WHEN frame - lag(frame) OVER (PARTITION BY identity_id ORDER BY frame, px, py) = 1 THEN 0 ELSE 1 END AS n FROM f WHERE
+  identity_id >= 0),
 r AS (SELECT *, sum(n) OVER (PARTITION BY identity_id ORDER BY frame, px, py ROWS UNBOUNDED PRECEDING) AS run FROM b),
-sm AS (SELECT frame, identity_id, team, conf, round(avg(px) OVER w, 9) AS x, round(avg(py) OVER w, 9) AS y FROM r WINDOW w AS (PARTITION BY identity_id, run ORDER BY frame, px, py ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING)
+sm AS (SELECT frame, identity_id, team, conf, round(avg(px) OVER w, 9) AS x, round(avg(py) OVER w, 9) AS y FROM r WINDOW w AS (PARTITION BY
+  identity_id, run ORDER BY frame, px, py ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING)
   UNION ALL SELECT frame, identity_id, team, conf, px, py FROM f WHERE identity_id < 0)"""
 
 
@@ -47,7 +51,8 @@ def smoothed_positions(spark, d):
     return _smooth(spark, d)
 
 
-@query(f"""WITH {_SMOOTH} SELECT frame, CAST(to_json(list([CAST(identity_id AS DOUBLE), CAST(team AS DOUBLE), round_even(x, 1) + CAST(0 AS DOUBLE), round_even(y, 1) + CAST(0 AS DOUBLE), round_even(conf, 2)]
+@query(f"""WITH {_SMOOTH} SELECT frame, CAST(to_json(list([CAST(identity_id AS DOUBLE), CAST(team AS DOUBLE), round_even(x, 1) + CAST(0 AS DOUBLE),
+  round_even(y, 1) + CAST(0 AS DOUBLE), round_even(conf, 2)]
   ORDER BY identity_id, team, x, y)) AS VARCHAR) AS players FROM sm GROUP BY frame""")
 def pitch2d_json(spark, d):
     """Per frame a JSON list of players: identity, team, position and confidence."""
@@ -58,7 +63,8 @@ _BALL_XY = f"""{_FLIGHT}, g AS (SELECT frame, state, {g.inverse(projection.refer
 w AS (SELECT frame, state, i[1]*x+i[2]*y+i[3] AS gx, i[4]*x+i[5]*y+i[6] AS gy, i[7]*x+i[8]*y+i[9] AS gw FROM g)"""
 
 
-@query(f"WITH {_BALL_XY} SELECT frame, round_even(gx / gw, 1) + CAST(0 AS DOUBLE) AS x, round_even(gy / gw, 1) + CAST(0 AS DOUBLE) AS y, CAST({_CODE} AS INTEGER) AS code FROM w WHERE gw <> 0 AND abs(gx / gw) <= 67.5 AND abs(gy / gw) <= 49")
+@query(f"""WITH {_BALL_XY} SELECT frame, round_even(gx / gw, 1) + CAST(0 AS DOUBLE) AS x, round_even(gy / gw, 1) + CAST(0 AS DOUBLE) AS y,
+  CAST({_CODE} AS INTEGER) AS code FROM w WHERE gw <> 0 AND abs(gx / gw) <= 67.5 AND abs(gy / gw) <= 49""")
 def pitch2d_ball(spark, d):
     """The ball on the ground plane with its state's number, as far as it lies near the pitch."""
     inverse = g.inverse(projection.reference_camera(src.WIDTH, src.HEIGHT))
@@ -74,7 +80,8 @@ def pitch2d_views(spark, d):
 
 
 @query("""WITH t AS (SELECT frame, track_id, (x1 + x2) / 2 AS x, y2 AS y FROM tracks)
-SELECT frame, track_id, CAST(to_json(list([CAST(x AS DOUBLE), y]) OVER w) AS VARCHAR) AS trail FROM t WINDOW w AS (PARTITION BY track_id ORDER BY frame RANGE BETWEEN 50 PRECEDING AND CURRENT ROW)""")
+SELECT frame, track_id, CAST(to_json(list([CAST(x AS DOUBLE), y]) OVER w) AS VARCHAR) AS trail FROM t WINDOW w AS (PARTITION BY track_id ORDER BY
+  frame RANGE BETWEEN 50 PRECEDING AND CURRENT ROW)""")
 def trail_positions(spark, d):
     """Where each track was in the last two seconds, in order of time."""
     t = src.tracks(spark, d).select("frame", "track_id", ((F.col("x1") + F.col("x2")) / 2).alias("x"), F.col("y2").alias("y"))
@@ -82,7 +89,8 @@ def trail_positions(spark, d):
 
 
 @query(f"""WITH {_FLIGHT}, t AS (SELECT shot_no, frame, x, y FROM flown WHERE x IS NOT NULL)
-SELECT shot_no, frame, CAST(to_json(list([x, y]) OVER w) AS VARCHAR) AS trail FROM t WINDOW w AS (PARTITION BY shot_no ORDER BY frame RANGE BETWEEN 25 PRECEDING AND CURRENT ROW)""")
+SELECT shot_no, frame, CAST(to_json(list([x, y]) OVER w) AS VARCHAR) AS trail FROM t WINDOW w AS (PARTITION BY shot_no ORDER BY frame RANGE BETWEEN 25
+  PRECEDING AND CURRENT ROW)""")
 def ball_trail(spark, d):
     """Where the ball was in the last second."""
     t = _flown(spark, d).filter("x IS NOT NULL").select("shot_no", "frame", "x", "y")
@@ -93,14 +101,16 @@ def ball_trail(spark, d):
 
 
 @query(f"""WITH {_FUSED}, {_FLIGHT}, n AS (SELECT frame, count(*) AS n, sum(CASE WHEN identity_id = -1 THEN 1 ELSE 0 END) AS u FROM j GROUP BY frame)
-SELECT b.frame, CASE WHEN x IS NULL THEN 'text' ELSE 'circle' END AS kind, CASE WHEN x IS NULL THEN 'ball: ' || state ELSE state END AS label, CAST(floor(x) AS BIGINT) AS x, CAST(floor(y) AS BIGINT) AS y FROM flown b
+SELECT b.frame, CASE WHEN x IS NULL THEN 'text' ELSE 'circle' END AS kind, CASE WHEN x IS NULL THEN 'ball: ' || state ELSE state END AS label,
+  CAST(floor(x) AS BIGINT) AS x, CAST(floor(y) AS BIGINT) AS y FROM flown b
 UNION ALL SELECT frame, 'footer', 'frame ' || frame || '  tracks ' || n || '  unknown ' || CAST(u AS BIGINT), NULL, NULL FROM n""")
 def overlay_texts(spark, d):
     """The ball's mark and state, and a footer with each frame's counts."""
     return drawing.ball_marks(_flown(spark, d)).unionByName(drawing.footers(_fused(spark, d)))
 
 
-@query("""WITH s AS (SELECT frame, team_online AS team, track_id, margin FROM tracks WHERE frame % 5 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY frame ORDER BY team, track_id) AS line FROM s)
+@query("""WITH s AS (SELECT frame, team_online AS team, track_id, margin FROM tracks WHERE frame % 5 = 0), r AS (SELECT *, row_number() OVER
+  (PARTITION BY frame ORDER BY team, track_id) AS line FROM s)
 SELECT frame, line, team, track_id FROM r WHERE line <= 14""")
 def roster_panel(spark, d):
     """The lines of the roster panel by team and identity, as many as fit."""
@@ -111,9 +121,12 @@ def roster_panel(spark, d):
 # Reports
 
 
-@query("""WITH m AS (SELECT shot_no, 'detect' AS stage, 'n' AS k, CAST(count(*) AS DOUBLE) AS v FROM detections GROUP BY 1 UNION ALL SELECT shot_no, 'track', 'tracks', CAST(count(DISTINCT track_id) AS DOUBLE) FROM tracks GROUP BY 1
-  UNION ALL SELECT shot_no, 'track', 'frames', CAST(count(DISTINCT frame) AS DOUBLE) FROM tracks GROUP BY 1), l AS (SELECT stage, k, max_by(v, shot_no) AS v FROM m GROUP BY 1, 2)
-SELECT max(CASE WHEN stage = 'detect' AND k = 'n' THEN v END) AS detect_n, max(CASE WHEN stage = 'track' AND k = 'tracks' THEN v END) AS track_tracks, max(CASE WHEN stage = 'track' AND k = 'frames' THEN v END) AS track_frames FROM l""")
+@query("""WITH m AS (SELECT shot_no, 'detect' AS stage, 'n' AS k, CAST(count(*) AS DOUBLE) AS v FROM detections GROUP BY 1 UNION ALL SELECT shot_no,
+  'track', 'tracks', CAST(count(DISTINCT track_id) AS DOUBLE) FROM tracks GROUP BY 1
+  UNION ALL SELECT shot_no, 'track', 'frames', CAST(count(DISTINCT frame) AS DOUBLE) FROM tracks GROUP BY 1), l AS (SELECT stage, k, max_by(v,
+    shot_no) AS v FROM m GROUP BY 1, 2)
+SELECT max(CASE WHEN stage = 'detect' AND k = 'n' THEN v END) AS detect_n, max(CASE WHEN stage = 'track' AND k = 'tracks' THEN v END) AS track_tracks,
+  max(CASE WHEN stage = 'track' AND k = 'frames' THEN v END) AS track_frames FROM l""")
 def quality_card(spark, d):
     """The last shot's metrics as one row, from a manifest of stages."""
     det, t = src.detections(spark, d), src.tracks(spark, d)
@@ -147,7 +160,8 @@ def json_documents(spark, d):
     return spark.read.schema(rows.schema).json(path)
 
 
-@query("""SELECT 'shot_' || lpad(CAST(shot_no AS VARCHAR), 4, '0') AS shot_id, CASE WHEN shot_no % 2 = 0 THEN 's5_reid' ELSE 's4_track' END AS stage, count(*) AS n, min(frame) AS first_frame FROM tracks GROUP BY 1, 2""")
+@query("""SELECT 'shot_' || lpad(CAST(shot_no AS VARCHAR), 4, '0') AS shot_id, CASE WHEN shot_no % 2 = 0 THEN 's5_reid' ELSE 's4_track' END AS stage,
+  count(*) AS n, min(frame) AS first_frame FROM tracks GROUP BY 1, 2""")
 def shot_folders(spark, d):
     """Tables of many shot folders as one, shot and stage taken from the paths."""
     root = files.fresh(spark, "run")
@@ -160,7 +174,8 @@ def shot_folders(spark, d):
     return per.select(F.regexp_replace("shot_id", "^.*=", "").alias("shot_id"), F.regexp_replace("stage", "^.*=", "").alias("stage"), "n", "first_frame")
 
 
-@query("""SELECT 'shot_' || lpad(CAST(shot_no AS VARCHAR), 4, '0') AS shot_id, min(frame) AS start_frame, max(frame) AS end_frame FROM detections GROUP BY shot_no""")
+@query("""SELECT 'shot_' || lpad(CAST(shot_no AS VARCHAR), 4, '0') AS shot_id, min(frame) AS start_frame, max(frame) AS end_frame FROM detections
+  GROUP BY shot_no""")
 def shots_table(spark, d):
     """Shots as JSON documents, read as a table."""
     path = files.fresh(spark, "shots")
@@ -170,14 +185,16 @@ def shots_table(spark, d):
     return spark.read.schema(rows.schema).json(path)
 
 
-@query("""SELECT shot_no, count(*) AS n, bit_xor(CAST('0x' || substr(md5(frame || '|' || track_id || '|' || CAST(x1 AS BIGINT) || '|' || CAST(y1 AS BIGINT)), 1, 15) AS BIGINT)) AS hash FROM tracks GROUP BY 1""")
+@query("""SELECT shot_no, count(*) AS n, bit_xor(CAST('0x' || substr(md5(frame || '|' || track_id || '|' || CAST(x1 AS BIGINT) || '|' || CAST(y1 AS
+  BIGINT)), 1, 15) AS BIGINT)) AS hash FROM tracks GROUP BY 1""")
 def content_hash(spark, d):
     """A hash of each shot's boxes that the order of rows doesn't change."""
     t = src.tracks(spark, d).selectExpr("shot_no", "frame", "track_id", "CAST(x1 AS BIGINT) AS x1", "CAST(y1 AS BIGINT) AS y1")
     return files.content_hash(t, ["frame", "track_id", "x1", "y1"], ["shot_no"])
 
 
-@query("""SELECT n_name || CASE WHEN n_nationkey % 3 = 0 THEN '/x' WHEN n_nationkey % 3 = 1 THEN '..' ELSE '' END AS run, n_nationkey % 3 = 2 AS valid, 'gs://runs/' || n_name || '/tier_a' AS path FROM nation""")
+@query("""SELECT n_name || CASE WHEN n_nationkey % 3 = 0 THEN '/x' WHEN n_nationkey % 3 = 1 THEN '..' ELSE '' END AS run, n_nationkey % 3 = 2 AS
+  valid, 'gs://runs/' || n_name || '/tier_a' AS path FROM nation""")
 def run_paths(spark, d):
     """Which names of runs are safe, and paths below them."""
     n = src.table(spark, d, "nation")
