@@ -1,7 +1,6 @@
 import hashlib
 import io
 import math
-import pickle
 import re
 import zipfile
 import zlib
@@ -340,7 +339,7 @@ def test_toxicity_models_equal_their_definition(spark):
     listed = [(k % 3 == 0, words((t or "")[:400].encode())) for k, (_, t) in enumerate(texts(read(spark, "documents").limit(24)))]
     listed[0][1].extend([b"stupid", b"clown", b"of", b"a", b"stupid", b"clown"])
     sample = spark.createDataFrame([(int(k), bytearray(b" ".join(w))) for k, w in listed], "label int, text binary")
-    model = pickle.loads(toxicity.learnt(sample).data)
+    model = toxicity.learnt(sample).open()
     evidence, spelling = naive_evidence([(int(k), w) for k, w in listed])
     asked = [w for _, one in listed[:6] for w in one][:60] + [b"clowns", b"stupidest", b"never-seen", "ä".encode(), b"x" * 40]
     _, told = model.spelling(asked)

@@ -13,7 +13,8 @@ insults count in a long text), and of words after words by its root. A logistic
 0 to 1.
 
 Labels are learnt from a sample bounded in rows and bytes (labelled_sample), both parameters; a task makes the models of
-the sample's bigram counts, and the driver gets them sealed, with the features of the calibration rows. All tables are packed arrays of 64-bit hashes. Every
+the sample's bigram counts and workers read them from the shared folder; the driver gets the features of the calibration
+rows. All tables are packed arrays of 64-bit hashes. Every
 text is scored whole; its language, source and id are no inputs. Null and empty texts have no evidence and get the
 calibration's intercept. Bytes that are no UTF-8 are parts of words. Rows are scored on their own: repeated rows alike, an
 empty table gives an empty result. Without labelled rows of both classes all scores are the share of toxic rows (0
@@ -31,11 +32,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import own, unused, with_computed, words
+from .common import own, settle, unused, with_computed, words
 from .learning import SAMPLE_BYTES, held_out, labelled_sample, logistic, sigmoid
+from .stores import open_store
 from .tables import Lookup
 
 ORDER, BACK = 12, 11
@@ -72,11 +76,14 @@ class Framed:
     def runs(self, last: np.ndarray, n: np.ndarray | int) -> np.ndarray:
         """Hashes of the n (at most ORDER) bytes that end with position last, by position and length."""
         n = np.broadcast_to(np.asarray(n, np.int64), last.shape)
-        h = n.astype(np.uint64)
-        for k in range(int(n.max(initial=0))):
-            inside = n > k
-            h = h + np.where(inside, (self.data[np.maximum(last - k, 0)].astype(np.uint64) + np.uint64(1)) * self.powers[k + 1], np.uint64(0))
-        return _mixed(h)
+        out = np.empty(len(last), np.uint64)
+        for i in range(0, len(last), 1 << 17):
+            end, size = last[i : i + (1 << 17)], n[i : i + (1 << 17)]
+            h = size.astype(np.uint64)
+            for k in range(int(size.max(initial=0))):
+                h += np.where(size > k, (self.data[np.maximum(end - k, 0)].astype(np.uint64) + np.uint64(1)) * self.powers[k + 1], np.uint64(0))
+            out[i : i + len(end)] = _mixed(h)
+        return out
 
     def hashes(self) -> np.ndarray:
         """One hash a word, of all its bytes."""
@@ -272,19 +279,28 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield told()
 
 
-class Sealed:
-    """A pickled object that unpickles to itself: the driver passes it on without opening it."""
+_OPEN: dict[str, Evidence] = {}
+
+
+class Stored:
+    """Models in the shared folder; a worker that opens them keeps the last it has opened."""
 
-    def __init__(self, data: bytes) -> None:
-        self.data = data
+    def __init__(self, path: str) -> None:
+        self.path = path
 
-    def __reduce__(self) -> tuple:
-        return pickle.loads, (self.data,)
+    def open(self) -> Evidence:
+        if self.path not in _OPEN:
+            fs, folder = open_store(self.path)
+            files = [f.path for f in fs.get_file_info(pafs.FileSelector(folder)) if f.base_name.endswith(".parquet")]
+            held = [x for f in files for x in pq.read_table(f, filesystem=fs)["model"].to_pylist()]
+            _OPEN.clear()
+            _OPEN[self.path] = pickle.loads(held[0])
+        return _OPEN[self.path]
 
 
-def learnt(sample: DataFrame) -> Sealed | None:
-    """sample (label, text binary) -> the models, sealed; None where a class has no words. The sample is bounded, so one task
-    on an executor makes them of its pairs' counts."""
+def learnt(sample: DataFrame) -> Stored | None:
+    """sample (label, text binary) -> the models, stored; None where a class has no words. The sample is bounded, so one task
+    makes them of its pairs' counts."""
     counted = sample.select("label", "text").mapInArrow(_count_pairs, "label int, before binary, word binary, n long")
     counted = counted.groupBy("before", "word").agg(*(F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)))
 
@@ -297,28 +313,27 @@ def learnt(sample: DataFrame) -> Sealed | None:
         model = Evidence(spelt.dictionary.to_pylist(), before.to_numpy().astype(np.int64), spelt.indices.to_numpy().astype(np.int64), counts)
         return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
-    made = counted.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(build, "model binary").first()
-    return None if made is None else Sealed(bytes(made.model))
+    made = settle(counted.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(build, "model binary"), "toxicity-model")
+    return Stored(made.settled_at) if made.count() else None
 
 
 def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, most_bytes: int = SAMPLE_BYTES):
-    """The models, broadcast, and the calibration's weights; or the share of toxic rows where one class is missing."""
+    """The models, stored, and the calibration's weights; or the share of toxic rows where one class is missing."""
     sample = labelled_sample(docs, labels, "toxic", MOD, OUT, each, most_bytes)
     model = learnt(sample.filter("part > 0"))
     if model is None:
         told = sample.agg(F.avg("label")).first()[0]
         return float(told or 0.0)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at = shared.value
+        at = model.open()
         for batch in batches:
             yield pd.DataFrame({"label": batch["label"], "x": at.features(batch["text"].to_list()).tolist()})
 
     rest = sample.filter("part = 0").select("label", "text").mapInPandas(measure, "label int, x array<double>").toPandas()
     if rest["label"].nunique() < 2:
-        return shared, np.array([0.0, 4.0, 4.0, 4.0, -6.0])
-    return shared, logistic(np.array(rest["x"].to_list()), rest["label"].to_numpy(float), l2=0.1)
+        return model, np.array([0.0, 4.0, 4.0, 4.0, -6.0])
+    return model, logistic(np.array(rest["x"].to_list()), rest["label"].to_numpy(float), l2=0.1)
 
 
 def score(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, drop: tuple[str, ...] = (), out: str = "_score") -> DataFrame:
@@ -326,10 +341,10 @@ def score(docs: DataFrame, labels: DataFrame, each: int = SAMPLE, drop: tuple[st
     fitted = fit(docs, labels, each)
     if isinstance(fitted, float):
         return docs.drop(*drop).withColumn(out, F.lit(fitted))
-    shared, weights = fitted
+    stored, weights = fitted
 
     def make():
-        model = shared.value
+        model = stored.open()
         return lambda texts: [sigmoid(model.features(texts) @ weights[:-1] + weights[-1])]
 
     return with_computed(docs, ["text"], f"`{out}` double", make, drop)
