@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -166,11 +167,19 @@ def with_computed(df: DataFrame, inputs: list[str], outputs: str, make: Callable
             new = compute(*(values(batch.column(k)) for k in place))
             arrays = [pa.array(x, type=t) for x, t in zip(new, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), *arrays], names=[*(f"c{k}" for k in kept), *added.names])
+        tidy()
 
     schema = StructType([*(StructField(f"c{k}", df.schema[k].dataType) for k in kept), *added.fields])
     return numbered(df).mapInArrow(run, schema).toDF(*(names[k] for k in kept), *added.names)
 
 
+def tidy() -> None:
+    """Hand memory that is free back to the system: workers are kept between tasks, whose next one may need it elsewhere."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of about `size` bytes."""
     rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))

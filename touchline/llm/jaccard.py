@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import discard, is_small, lookup, own, settle, space_tokens, with_computed
+from .common import is_small, lookup, own, settle, space_tokens, tidy, with_computed
 from .components import components
 
 WORDS = 5
@@ -236,6 +236,8 @@ def candidate_edges(docs: DataFrame, buckets: int) -> DataFrame:
                     held, size = [], 0
             if held:
                 yield told(held)
+        held = []
+        tidy()
 
     def told(held: list[tuple]) -> pa.RecordBatch:
         """One row a bucket: signatures and nodes, packed; and the bitmaps, dealt over as many buckets below zero."""

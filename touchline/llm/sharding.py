@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructType
 
-from .common import delete, fresh_path, lookup, numbered, unused
+from .common import delete, fresh_path, lookup, numbered, tidy, unused
 from .stores import attempt_name, commit_once, join, names, open_store, read_text, write_text, writing
 
 ARRIVAL_BYTES = 4 << 20
@@ -112,6 +112,8 @@ class ShardStore:
                     size += piece.nbytes
             if held:
                 yield _told(*_write(folder, attempt_name("arrival", k, ".parquet"), held))
+            held = []
+            tidy()
 
         with self._at_work():
             # Written before any commit, and once: what is read back names finished attempts' shards only.
@@ -162,6 +164,7 @@ class ShardStore:
                 for shards in batch.column("shards").to_pylist():
                     yield _told(*_write(folder, attempt_name("merged", k, ".parquet"), _read(folder, shards)))
                     k += 1
+            tidy()
 
         # A run is a bounded number of bytes; one or a few runs a task.
         return runs.select("shards").repartition(min(n, 10_000)).mapInArrow(merge, "shard string, rows long, bytes long")
@@ -224,6 +227,7 @@ class ShardStore:
                     for rows in _read(folder, [name], want.names):
                         held = [c if c.type == t else c.cast(t) for c, t in zip((rows.column(n) for n in want.names), want.types, strict=True)]
                         yield pa.RecordBatch.from_arrays([*held, pa.array([name] * rows.num_rows, pa.string())], names=[*want.names, shard_column])
+            tidy()
 
         shards = self.manifest(version).select("shard")
         return shards.repartition(min(max(shards.count(), 1), 10_000)).mapInArrow(load, out)

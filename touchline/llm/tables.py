@@ -24,7 +24,7 @@ class Lookup:
         self.__dict__.update(more)
 
     def _fill(self, keys: np.ndarray, values: np.ndarray, missing: float) -> None:
-        self.bits = max(4, int(2 * len(keys) + 1).bit_length())
+        self.bits = max(4, int(1.4 * len(keys) + 1).bit_length())
         self.mask = np.int64((1 << self.bits) - 1)
         self.keys = np.full(1 << self.bits, self.FREE)
         self.values = np.full(1 << self.bits, missing, values.dtype)

@@ -37,7 +37,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import own, settle, unused, with_computed, words
+from .common import own, settle, tidy, unused, with_computed, words
 from .learning import SAMPLE_BYTES, held_out, labelled_sample, logistic, sigmoid
 from .stores import open_store
 from .tables import Lookup
@@ -66,16 +66,16 @@ class Framed:
         sizes = np.fromiter((len(w) + 2 for w in listed), np.int64, len(listed))
         ends = np.cumsum(sizes)
         self.data, self.starts = data, ends - sizes
-        self.place = np.arange(len(data)) - np.repeat(self.starts, sizes)
-        self.word = np.repeat(np.arange(len(listed)), sizes)
-        self.coded = np.flatnonzero(self.place > 0)  # every byte after a start mark is predicted
+        self.place = (np.arange(len(data)) - np.repeat(self.starts, sizes)).astype(np.int32)
+        self.word = np.repeat(np.arange(len(listed), dtype=np.int32), sizes)
+        self.coded = np.flatnonzero(self.place > 0).astype(np.int32)  # every byte after a start mark is predicted
         self.powers = np.full(ORDER + 2, _BASE, np.uint64)
         self.powers[0] = 1
         self.powers = np.multiply.accumulate(self.powers)
 
     def runs(self, last: np.ndarray, n: np.ndarray | int) -> np.ndarray:
         """Hashes of the n (at most ORDER) bytes that end with position last, by position and length."""
-        n = np.broadcast_to(np.asarray(n, np.int64), last.shape)
+        n = np.broadcast_to(np.asarray(n, np.int32), last.shape)
         out = np.empty(len(last), np.uint64)
         for i in range(0, len(last), 1 << 17):
             end, size = last[i : i + (1 << 17)], n[i : i + (1 << 17)]
@@ -179,7 +179,11 @@ class Evidence:
             ahead = np.where(framed.place[last] >= k, framed.data[np.maximum(last - k, 0)].astype(np.uint64) + np.uint64(1), np.uint64(0))
             _, first = np.unique(pair_keys(run, ahead), return_index=True)
             kinds, one, times = np.unique(run[first], return_index=True, return_counts=True)
-            lower[there] = Level(kinds, its_context[first][one], times).p(run, its_context, lower[there])
+            del ahead
+            level = Level(kinds, its_context[first][one], times)
+            for i in range(0, len(there), 1 << 17):  # a part at a time, for memory
+                part = slice(i, i + (1 << 17))
+                lower[there[part]] = level.p(run[part], its_context[part], lower[there[part]])
         grams, first, of = np.unique(top, return_index=True, return_inverse=True)
         levels = [Level(grams, context[first], np.bincount(of, by_word[c][framed.word[at]], len(grams)).astype(np.int64)) for c in (0, 1)]
         p = [x.p(grams, context[first], lower[first]) for x in levels]
@@ -294,7 +298,8 @@ class Stored:
             files = [f.path for f in fs.get_file_info(pafs.FileSelector(folder)) if f.base_name.endswith(".parquet")]
             held = [x for f in files for x in pq.read_table(f, filesystem=fs)["model"].to_pylist()]
             _OPEN.clear()
-            _OPEN[self.path] = pickle.loads(held[0])
+            _OPEN[self.path] = pickle.loads(held.pop())
+            tidy()
         return _OPEN[self.path]
 
 
@@ -311,7 +316,10 @@ def learnt(sample: DataFrame) -> Stored | None:
         spelt = rows["word"].combine_chunks().dictionary_encode()
         before = pc.fill_null(pc.index_in(rows["before"].combine_chunks(), value_set=spelt.dictionary), -1)
         model = Evidence(spelt.dictionary.to_pylist(), before.to_numpy().astype(np.int64), spelt.indices.to_numpy().astype(np.int64), counts)
-        return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+        made = pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+        del model, spelt, before, rows
+        tidy()
+        return made
 
     made = settle(counted.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(build, "model binary"), "toxicity-model")
     return Stored(made.settled_at) if made.count() else None
