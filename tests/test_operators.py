@@ -56,6 +56,15 @@ def test_occlusion_of_lone_boxes_equals_its_sql(spark, tmp_path):
     assert {(10, 0.0), (20, 1.0), (31, 1.0)} <= got
 
 
+def test_file_ends_of_tables_in_folders(spark, tmp_path):
+    spark.range(100).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(100).withColumn("k", F.col("id") % 2).repartition(3).write.partitionBy("k").parquet(f"{tmp_path}/embeddings.parquet")
+    ends = lambda: [tuple(r) for r in catalog.queries()["file_ends"](spark, str(tmp_path)).collect()]
+    assert sorted(ends()) == sorted(duckdb.sql(catalog.oracle_sql()["file_ends"]).fetchall())
+    (tmp_path / "embeddings.parquet" / "k=1" / "part-9.parquet").write_bytes(b"PA\xff")  # cut short: told, not lost among the others
+    assert sorted(ends()) == [("embeddings.parquet", "PAR1", "PAR1"), ("embeddings.parquet", "PA\ufffd", "PA\ufffd"), ("events.parquet", "PAR1", "PAR1")]
+
+
 def test_islands_merge_up_to_the_gap(spark):
     d = spark.createDataFrame([(1, 10), (1, 25), (2, 10), (2, 26)], "k int, frame long")
     assert rows(series.islands(d, ["k"], "frame", 15)) == [(1, 10, 25), (2, 10, 10), (2, 26, 26)]

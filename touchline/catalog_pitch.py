@@ -204,10 +204,12 @@ def run_paths(spark, d):
 
 @query("SELECT * FROM (VALUES ('events.parquet', 'PAR1', 'PAR1'), ('embeddings.parquet', 'PAR1', 'PAR1')) AS t(name, head, tail)")
 def file_ends(spark, d):
-    """The first and last bytes of files, by ranges."""
+    """The first and last bytes of files, by ranges; a table in a folder has a row for each kind of ends among all its files."""
     rows = []
     for name in ("events.parquet", "embeddings.parquet"):
-        path = files.joined(d, name)
-        n = files.size(spark, path)
-        rows.append((name, files.read_range(spark, path, 0, 3).decode(), files.read_range(spark, path, n - 4, n + 99).decode()))
+        for path in files.parts(spark, files.joined(d, name)):
+            n = files.size(spark, path)
+            ends = (files.read_range(spark, path, 0, 3), files.read_range(spark, path, max(n - 4, 0), n + 99))
+            rows.append((name, *(b.decode(errors="replace") for b in ends)))
+    rows = sorted(set(rows), reverse=True)
     return spark.createDataFrame(rows, "name string, head string, tail string")

@@ -81,6 +81,16 @@ def size(spark: SparkSession, uri: str) -> int:
     return fs.getFileStatus(path).getLen()
 
 
+def parts(spark: SparkSession, uri: str) -> list[str]:
+    """The data files of a table, in order of names: the file itself, or all under its folder but those that Spark takes for hidden."""
+    fs, path = _fs(spark, uri)
+    if not fs.getFileStatus(path).isDirectory():
+        return [uri]
+    shown = lambda name: not name.startswith(".") and (not name.startswith("_") or "=" in name)
+    below = sorted(x.getPath().toString() for x in fs.listStatus(path) if shown(x.getPath().getName()))
+    return [f for b in below for f in parts(spark, b)]
+
+
 def read_range(spark: SparkSession, uri: str, start: int, end: int) -> bytes:
     """Bytes start to end, both included, as far as the file goes."""
     fs, path = _fs(spark, uri)
