@@ -2,6 +2,7 @@ import hashlib
 import io
 import math
 import re
+import tracemalloc
 import zipfile
 import zlib
 from collections import Counter, defaultdict
@@ -74,6 +75,30 @@ def test_ppm_equals_a_recursive_model(spark):
             assert r.score == pytest.approx(sum(log_p(q[j - order : j], q[j]) for j in range(order, len(q))), rel=1e-9)
 
 
+def test_a_block_of_the_ppm_model_fits_two_workers_of_an_executor():
+    keys = np.unique(np.random.default_rng(0).integers(0, 1 << 48, ppm.BLOCK_GRAMS, dtype=np.uint64))
+    tracemalloc.start()
+    try:
+        ppm.ByteModel(keys, np.ones(len(keys), np.int64), ppm._distinct(keys & np.uint64(0xFFFF), np.ones(len(keys), np.int64)))
+        assert tracemalloc.get_traced_memory()[1] < 400e6  # random grams share no contexts: over twice what as many of texts take
+    finally:
+        tracemalloc.stop()
+
+
+def test_ppm_chunks_of_a_stored_model_ask_for_rare_grams_only(spark):
+    docs = read(spark, "documents").limit(60).selectExpr("doc_id", "text", "false AS _held").coalesce(1)
+    grams = ppm.settle(ppm.count_grams(docs.select(docs.text.cast("binary").alias("text"))), "grams")
+    stored = ppm.model_of(grams, most=4000)
+    chunks = ppm.pack_chunks(docs, stored).collect()
+    asked = np.concatenate([ppm._loosened(bytes(c.rare), np.uint64) for c in chunks])
+    distinct = np.unique(np.concatenate([ppm.gram_keys([t.encode()])[0] for _, t in texts(docs.drop("_held"))]))
+    kept = stored.frequent(distinct) <= 0
+    assert len(chunks) == 1 and 0 < kept.sum() <= 4000
+    assert sorted(asked.tolist()) == distinct[~kept].tolist()
+    whole = ppm.model_of(grams, most=1 << 30)
+    assert stored.frequent(distinct[kept]).tolist() == whole.log10(distinct[kept]).tolist()
+
+
 # 2
 
 

@@ -12,9 +12,11 @@ Counting: tasks sort their (ORDER + 1)-byte grams and send each distinct one onc
 folder. Scoring: a model of at most BLOCK_GRAMS grams, which is counted, is broadcast and every chunk of documents scored
 where it is packed. A larger one stays in the shared folder, cut into blocks of at most so many grams by the two context
 bytes next to the predicted byte, or more of them where two have too many (no back-off above the shared orders crosses
-such a cut; the few counts of the shared orders go with each block). Then every chunk asks for its distinct grams, a
-packed list a block; tasks that each load a block's model one after another answer; and the answers return to their
-chunk. So the documents are read and packed once, whatever the model's size, and no task holds more than a block and a chunk.
+such a cut; the few counts of the shared orders go with each block). Of its most frequent grams, as many as a block holds,
+the code lengths are broadcast, and chunks are scored with them where they are packed; for its other distinct grams, rare
+or unseen, every chunk asks by a packed list a block; tasks that each load a block's model one after another answer; and
+the answers return to their chunk. So the documents are read and packed once, whatever the model's size, no text is
+written, and no task holds more than a block and a chunk.
 
 The base score needs the corpus count of every token, a vocabulary without a bound, so nothing of it is broadcast:
 documents are packed in chunks of about CHUNK_BYTES as ids of the chunk's own vocabulary; the chunks' counts are summed
@@ -29,6 +31,7 @@ empty result. Only doc_id and text are read, so other columns can't clash.
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Iterator
 
@@ -49,7 +52,7 @@ from .tables import Lookup
 ORDER = 5
 MOD, OUT = 7, 2
 END = b"\n"
-BLOCK_GRAMS = 4_000_000
+BLOCK_GRAMS = 1_000_000
 CHUNK_BYTES = 6 << 20
 FLUSH_GRAMS = 2_000_000
 
@@ -130,7 +133,8 @@ class ByteModel:
             table.append(held)
         self.n, self.context = [], []
         top = None
-        for k, (keys, counts) in enumerate(table):
+        for k in range(len(table)):
+            (keys, counts), table[k] = table[k], None
             narrow = np.int32 if len(counts) == 0 or counts.max() < 1 << 31 else np.float64
             self.n.append(Lookup(keys, counts.astype(narrow), 0) if k < order else None)
             contexts, first = np.unique(keys >> np.uint64(8), return_index=True)
@@ -231,8 +235,20 @@ class Blocks:
         return self._first
 
 
+def _frequent(grams: DataFrame, most: int) -> Lookup:
+    """log10 of the probabilities of the most frequent grams, `most` of them at most; 1 for others."""
+    steps = sorted({int(2 ** (k / 2)) for k in range(2, 122)})
+    held = grams.agg(*(F.count_if(F.col("n") >= t) for t in steps)).first()
+    least = next(t for t, rows in zip(steps, held, strict=True) if rows <= most)
+    by_context = grams.withColumn("context", F.shiftrightunsigned("gram", 8))
+    sums = by_context.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    rows = by_context.filter(F.col("n") >= least).join(sums, "context").select("gram", "n", "total", "kinds").toArrow()
+    n, total, kinds = (rows[c].to_numpy().astype(np.float64) for c in ("n", "total", "kinds"))
+    return Lookup(rows["gram"].to_numpy().view(np.uint64), np.log10(n / (total + kinds)), 1.0)
+
+
 class StoredModel:
-    """A model in the shared folder, by block."""
+    """A model in the shared folder, by block; the code lengths of its most frequent grams go with it."""
 
     def __init__(self, grams: DataFrame, low: tuple[np.ndarray, np.ndarray], order: int, most: int) -> None:
         self.low, self.order, self.blocks = low, order, Blocks(grams, order, most)
@@ -251,6 +267,7 @@ class StoredModel:
             rows = rows.unionByName(some.join(F.broadcast(asked), "context").select("block", F.lit(k).alias("k"), "gram", "n"))
         self.path = fresh_path(spark, "ppm-model")
         rows.repartition(min(self.blocks.n, 2000), "block").write.partitionBy("block").option("compression", "zstd").parquet(self.path)
+        self.frequent = _frequent(grams, most)
 
     def load(self, block: int) -> ByteModel:
         fs, path = open_store(f"{self.path}/block={block}")
@@ -290,7 +307,7 @@ def _parts(texts: list[bytes | None], size: int = 1 << 18) -> Iterator[tuple[int
         yield first, part
 
 
-CHUNK = "chunk long, doc_ids array<long>, held array<boolean>, scores array<double>, ends array<int>, ids binary, tokens array<binary>, counts array<long>, raw binary"
+CHUNK = "chunk long, doc_ids array<long>, held array<boolean>, scores array<double>, ends array<int>, ids binary, tokens array<binary>, counts array<long>, rare binary, places binary"
 
 
 def packed(ids: np.ndarray) -> bytes:
@@ -304,23 +321,41 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(pa.decompress(data[4:], 4 * n, codec="zstd", asbytes=True), np.int32), dtype=np.int64)
 
 
-def _squeezed(texts: list[bytes | None]) -> bytes:
-    """Coded texts, which end in a mark that none holds, in one."""
-    data = b"".join(coded(t) for t in texts)
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+def _squeezed(numbers: np.ndarray) -> bytes:
+    return numbers.nbytes.to_bytes(8, "little") + pa.compress(numbers.tobytes(), codec="zstd", asbytes=True)
+
 
+def _loosened(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), kind)
 
-def _texts(data: bytes) -> list[bytes]:
-    whole = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
-    return whole.split(END)[:-1]
+
+def frequent_scores(stored: StoredModel, texts: list[bytes | None]) -> tuple[list[float], bytes, bytes]:
+    """Of each text the sum over frequent grams; the other distinct grams, ordered by block; and where each text's begin to
+    differ from the one before, places among them and how often each occurs."""
+    scores, keys, of = np.zeros(len(texts)), [], []
+    for first, part in _parts(texts):
+        grams, starts = gram_keys(part, stored.order)
+        told = stored.frequent(grams)
+        rare = np.flatnonzero(told > 0)
+        told[rare] = 0
+        scores[first : first + len(part)] = np.add.reduceat(told, starts)
+        keys.append(grams[rare])
+        of.append(first + np.searchsorted(starts, rare, side="right") - 1)
+    distinct, at = np.unique(np.concatenate(keys or [np.zeros(0, np.uint64)]), return_inverse=True)
+    order = np.argsort(stored.blocks(distinct), kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    pairs, times = np.unique(np.concatenate(of or [np.zeros(0, np.int64)]) * max(len(order), 1) + place[at], return_counts=True)
+    ends = np.searchsorted(pairs, np.arange(1, len(texts) + 1) * max(len(order), 1))
+    return scores.tolist(), _squeezed(distinct[order]), _squeezed(np.concatenate([ends, pairs % max(len(order), 1), times]).astype(np.int32))
 
 
 def pack_chunks(docs: DataFrame, model: ByteModel | StoredModel, size: int = CHUNK_BYTES) -> DataFrame:
     """(doc_id, text, _held) -> chunks of documents as ids of their own vocabulary; counts: by token, of training rows;
-    scores: in the same pass, by a model that is broadcast; else raw: the chunk's texts."""
+    scores: in the same pass, by a model that is broadcast, or by what is frequent in a stored one; rare, places: the rest."""
 
     schema = to_arrow_schema(StructType.fromDDL(CHUNK))
-    whole = docs.sparkSession.sparkContext.broadcast(model) if isinstance(model, ByteModel) else None
+    whole = docs.sparkSession.sparkContext.broadcast(model)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = 0
@@ -339,33 +374,26 @@ def pack_chunks(docs: DataFrame, model: ByteModel | StoredModel, size: int = CHU
                 trained = [x for x, out in zip(ids, held, strict=True) if not out]
                 if trained:
                     counts += np.bincount(np.concatenate(trained), minlength=len(known))
-                scores, raw = (scores_of(whole.value, texts).tolist(), None) if whole else (None, _squeezed(texts))
-                row = [(TaskContext.get().partitionId() << 32) + k, piece.column("doc_id").to_pylist(), held, scores, ends, packed(np.concatenate(ids)), list(known), counts.tolist(), raw]
+                told = (scores_of(whole.value, texts).tolist(), None, None) if isinstance(whole.value, ByteModel) else frequent_scores(whole.value, texts)
+                scores, *rest = told
+                row = [(TaskContext.get().partitionId() << 32) + k, piece.column("doc_id").to_pylist(), held, scores, ends, packed(np.concatenate(ids)), list(known), counts.tolist(), *rest]
                 yield pa.RecordBatch.from_arrays([pa.array([x], type=f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
                 k += 1
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), "_held").mapInArrow(pack, CHUNK)
 
 
-def _by_block(texts: list[bytes], stored: StoredModel) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct grams ordered by block, their blocks, of each coded byte the place of its gram, and where texts begin."""
-    keys, starts = gram_keys(texts, stored.order)
-    distinct, at = np.unique(keys, return_inverse=True)
-    block = stored.blocks(distinct)
-    order = np.argsort(block, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return distinct[order], block[order], place[at], starts
-
-
 def answers_of(chunks: DataFrame, model: StoredModel) -> DataFrame:
-    """Settled chunks -> chunk, told: of the chunk's distinct grams log10 of their probabilities, packed, a block each."""
-    stored = chunks.sparkSession.sparkContext.broadcast(model)
+    """Settled chunks -> chunk, told: of the chunk's rare grams log10 of their probabilities, packed, a block each."""
+    slim = copy.copy(model)
+    slim.frequent = None
+    stored = chunks.sparkSession.sparkContext.broadcast(slim)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, raw in zip(batch.column("chunk").to_pylist(), batch.column("raw").to_pylist(), strict=True):
-                keys, block, _, _ = _by_block(_texts(raw), stored.value)
+            for chunk, rare in zip(batch.column("chunk").to_pylist(), batch.column("rare").to_pylist(), strict=True):
+                keys = _loosened(rare, np.uint64)
+                block = stored.value.blocks(keys)
                 first = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, np.int64)
                 parts = [keys[i:j].tobytes() for i, j in zip(first, np.append(first[1:], len(keys)), strict=True)]
                 yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk] * len(parts), pa.int64()), "block": pa.array(block[first], pa.int64()), "x": pa.array(parts, pa.binary())})
@@ -381,9 +409,9 @@ def answers_of(chunks: DataFrame, model: StoredModel) -> DataFrame:
                 told.append(at.log10(np.frombuffer(x, np.uint64)).tobytes())
             yield pa.RecordBatch.from_pydict({"chunk": batch.column("chunk"), "block": batch.column("block"), "x": pa.array(told, pa.binary())})
 
-    asked = chunks.select("chunk", "raw").mapInArrow(ask, "chunk long, block long, x binary")
+    asked = chunks.select("chunk", "rare").mapInArrow(ask, "chunk long, block long, x binary")
     n = chunks.count()
-    deals = 1 + n // 1000  # a block is asked by every chunk, so its questions are dealt over tasks as chunks grow in number
+    deals = 2 + n // 1000  # a block is asked by every chunk, so its questions are dealt over tasks as chunks grow in number
     asked = asked.repartition(int(min(model.blocks.n * deals, 20_000)), "block", F.pmod(F.xxhash64("chunk"), F.lit(deals))).sortWithinPartitions("block")
     told = settle(asked.mapInArrow(answer, "chunk long, block long, x binary"), "ppm-answers")
     return told.groupBy("chunk").agg(F.transform(F.array_sort(F.collect_list(F.struct("block", "x"))), lambda x: x["x"]).alias("told"))
@@ -397,11 +425,10 @@ def base_scores(chunks: DataFrame, model: ByteModel | StoredModel) -> DataFrame:
     n, v = int(sums.n), int(sums.v)
     answers = lookup(asked.select("chunk", "pos", "tokens"), totals, "tokens", "n").filter("c IS NOT NULL")
     answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("pos", "c")).alias("x")).select("chunk", F.col("x.pos").alias("pos"), F.col("x.c").alias("c"))
-    own = chunks.select("chunk", "doc_ids", "held", "scores", "ends", "ids", F.size("tokens").alias("kinds"), "raw").join(answers, "chunk", "left")
-    stored = None
-    if isinstance(model, StoredModel):
-        stored = chunks.sparkSession.sparkContext.broadcast(model)
-        own = own.join(answers_of(chunks, model), "chunk")
+    own = chunks.select("chunk", "doc_ids", "held", "scores", "ends", "ids", F.size("tokens").alias("kinds"), "places").join(answers, "chunk", "left")
+    stored = isinstance(model, StoredModel)
+    if stored:
+        own = own.join(answers_of(chunks, model), "chunk", "left")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -414,10 +441,12 @@ def base_scores(chunks: DataFrame, model: ByteModel | StoredModel) -> DataFrame:
                 ends = x["ends"].values.to_numpy().astype(np.int64)
                 starts = np.concatenate([[0], ends[:-1]])
                 scores = x["scores"].values
-                if stored is not None:
-                    _, _, place, first = _by_block(_texts(x["raw"].as_py()), stored.value)
+                if stored and x["told"].is_valid:
                     told = np.concatenate([np.frombuffer(t, np.float64) for t in x["told"].as_py()])
-                    scores = pa.array(np.add.reduceat(told[place], first))
+                    places = _loosened(x["places"].as_py(), np.int32)
+                    of = np.repeat(np.arange(len(ends)), np.diff(places[: len(ends)], prepend=0))
+                    place, times = places[len(ends) :].reshape(2, -1)
+                    scores = pa.array(scores.to_numpy() + np.bincount(of, told[place] * times, len(ends)))
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": x["doc_ids"].values, "held_out": x["held"].values, "n_tokens": pa.array(ends - starts), "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64)[ids], starts)),
                     "logs": pa.array(np.add.reduceat(np.log10(c + 1.0)[ids], starts)), "score": scores,
