@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import fresh_path, lookup, remainder, settle, slices, space_tokens
+from .common import fresh_path, lookup, remainder, settle, slices, space_tokens, tidy
 from .stores import open_store
 from .tables import Lookup
 
@@ -109,6 +109,8 @@ def count_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
                         yield told(*held.pop())
         if held:
             yield told(*merged())
+        held.clear()
+        tidy()
 
     return texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -258,6 +260,7 @@ class StoredModel:
             for batch in batches:
                 at = blocks.value(batch.column("gram").to_numpy().view(np.uint64))
                 yield pa.RecordBatch.from_pydict({"block": at, "k": pa.array(np.full(len(at), order, np.int32)), "gram": batch.column("gram"), "n": batch.column("n")})
+            tidy()
 
         rows = grams.select("gram", "n").mapInArrow(place, "block long, k int, gram long, n long")
         for k in sorted({o for _, o, _ in self.blocks.shared}):
@@ -379,6 +382,8 @@ def pack_chunks(docs: DataFrame, model: ByteModel | StoredModel, size: int = CHU
                 row = [(TaskContext.get().partitionId() << 32) + k, piece.column("doc_id").to_pylist(), held, scores, ends, packed(np.concatenate(ids)), list(known), counts.tolist(), *rest]
                 yield pa.RecordBatch.from_arrays([pa.array([x], type=f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
                 k += 1
+                del known, ids, texts, tokens, row, told, rest
+                tidy()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), "_held").mapInArrow(pack, CHUNK)
 
@@ -408,6 +413,8 @@ def answers_of(chunks: DataFrame, model: StoredModel) -> DataFrame:
                     at = stored.value.load(block)
                 told.append(at.log10(np.frombuffer(x, np.uint64)).tobytes())
             yield pa.RecordBatch.from_pydict({"chunk": batch.column("chunk"), "block": batch.column("block"), "x": pa.array(told, pa.binary())})
+        at = None
+        tidy()
 
     asked = chunks.select("chunk", "rare").mapInArrow(ask, "chunk long, block long, x binary")
     n = chunks.count()
@@ -451,6 +458,7 @@ def base_scores(chunks: DataFrame, model: ByteModel | StoredModel) -> DataFrame:
                     "doc_id": x["doc_ids"].values, "held_out": x["held"].values, "n_tokens": pa.array(ends - starts), "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64)[ids], starts)),
                     "logs": pa.array(np.add.reduceat(np.log10(c + 1.0)[ids], starts)), "score": scores,
                 })
+            tidy()
 
     rows = own.mapInArrow(measure, "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double")
     base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(n + v + 1))
